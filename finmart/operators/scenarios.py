@@ -1,0 +1,98 @@
+"""Scenario simulation as a relational job: paths, per-day bands, recommendation.
+
+Shocks are key-derived normals (md5 of seed|symbol|sim|day), so a path is the same
+on any cluster size and after any task retry. Paths are generated without joins:
+each symbol's trend row explodes into its simulations, which are hash-spread over
+the cluster and compounded inside the row.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from ..functions.numeric import hashed_normal, percent_change
+
+BAND_PROBS = [0.05, 0.25, 0.5, 0.75, 0.95]
+
+
+def trend_returns(forecast: DataFrame, ctx: DataFrame, key: str = "symbol") -> DataFrame:
+    """Per symbol: start price/date, daily vol and the ordered trend returns array."""
+    from pyspark.sql import Window
+    w = Window.partitionBy(key).orderBy("step")
+    start = ctx.select(key, F.col("close").alias("start_price"), "daily_volatility")
+    f = forecast.join(start, key)
+    prev = F.coalesce(F.lag("predicted_price").over(w), F.col("start_price"))
+    f = f.withColumn("expected_return", F.try_divide(F.col("predicted_price") - prev, prev))
+    return f.groupBy(key, "start_price", "daily_volatility").agg(
+        F.array_sort(F.collect_list(F.struct("step", "date", "expected_return")))
+        .alias("trend"))
+
+
+def scenario_paths(trend: DataFrame, num_sims: int, seed: int = 42, key: str = "symbol",
+                   partitions: int | None = None) -> DataFrame:
+    """(key, sim, day, date, price): price_d = price_{d-1} · (1 + trend_d + σ·z)."""
+    sims = trend.select("*", F.explode(F.sequence(F.lit(0), F.lit(num_sims - 1))).alias("sim"))
+    n = partitions or int(sims.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    sims = sims.repartition(n, key, "sim")
+    sigma = F.col("daily_volatility")
+    init = F.struct(F.col("start_price").alias("price"),
+                    F.array().cast("array<struct<day:int,date:date,price:double>>").alias("path"))
+
+    def step(acc, t):
+        z = hashed_normal(F.lit(seed), F.col(key), F.col("sim"), t["step"])
+        price = acc["price"] * (F.lit(1.0) + (t["expected_return"] + sigma * z))
+        return F.struct(price.alias("price"),
+                        F.concat(acc["path"], F.array(F.struct(t["step"].alias("day"),
+                                                               t["date"].alias("date"),
+                                                               price.alias("price"))))
+                        .alias("path"))
+
+    run = F.aggregate(F.col("trend"), init, step)
+    return sims.select(key, "sim", F.inline(run["path"]))
+
+
+def plot_paths(paths: DataFrame, n: int = 100) -> DataFrame:
+    """The first min(n, sims) paths, as drawn on the chart."""
+    return paths.filter(F.col("sim") < n)
+
+
+def scenario_bands(paths: DataFrame, key: str = "symbol") -> DataFrame:
+    """Per (key, day): mean, median, p5/p25/p75/p95 (linear), min, max, population std.
+
+    A group holds one value per simulation, so its size is bounded by ``num_sims``.
+    """
+    q = F.percentile(F.col("price"), BAND_PROBS)
+    return (paths.groupBy(key, "day", "date")
+            .agg(F.avg("price").alias("mean_price"), q.alias("__q"),
+                 F.max("price").alias("max_price"), F.min("price").alias("min_price"),
+                 F.stddev_pop("price").alias("std_dev"))
+            .select(key, "day", "date", "mean_price",
+                    F.col("__q")[2].alias("median_price"), F.col("__q")[4].alias("p95_price"),
+                    F.col("__q")[3].alias("p75_price"), F.col("__q")[1].alias("p25_price"),
+                    F.col("__q")[0].alias("p5_price"), "max_price", "min_price", "std_dev"))
+
+
+def recommend_scenario(bands: DataFrame, ctx: DataFrame, key: str = "symbol") -> DataFrame:
+    """Final-day mean vs current close, banded at ±5 / ±2 / ±0.5 % with a risk level."""
+    final = F.struct("mean_price", "median_price", "p95_price", "p5_price")
+    summary = bands.groupBy(key).agg(F.max_by(final, "day").alias("f"),
+                                     F.max("mean_price").alias("highest_mean_price"),
+                                     F.min("mean_price").alias("lowest_mean_price"))
+    out = summary.join(ctx.select(key, F.col("close").alias("current_price")), key)
+    chg = percent_change("f.mean_price", "current_price")
+    status = (F.when(chg > 5.0, "UP_STRONG").when(chg > 2.0, "UP_MODERATE")
+              .when(chg > 0.5, "UP_SLIGHT").when(chg < -5.0, "DOWN_STRONG")
+              .when(chg < -2.0, "DOWN_MODERATE").when(chg < -0.5, "DOWN_SLIGHT")
+              .otherwise("FLAT"))
+    risk = (F.when(chg > 5.0, "MEDIUM").when(chg > 2.0, "MEDIUM").when(chg > 0.5, "HIGH")
+            .when(chg < -5.0, "HIGH").when(chg < -2.0, "HIGH").when(chg < -0.5, "MEDIUM")
+            .otherwise("LOW"))
+    return out.select(key, "current_price", F.col("f.mean_price").alias("mean_target_price"),
+                      F.col("f.median_price").alias("median_target_price"),
+                      F.col("f.p95_price").alias("best_case_price"),
+                      F.col("f.p5_price").alias("worst_case_price"),
+                      "highest_mean_price", "lowest_mean_price",
+                      chg.alias("change_percent"),
+                      (F.col("f.mean_price") - F.col("current_price")).alias("expected_profit"),
+                      status.alias("status"), risk.alias("risk_level"))
