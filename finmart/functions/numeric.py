@@ -50,3 +50,14 @@ def hashed_normal(*parts) -> Column:
 
 def rnd(c, digits: int) -> Column:
     return F.round(_c(c), digits)
+
+
+def round_sig(c, digits: int) -> Column:
+    """Round to ``digits`` significant digits (scientific text, parsed back to DOUBLE).
+
+    Used where values span many magnitudes (compounded prices), so fixed decimal
+    places would be either meaningless or too fine.
+    """
+    c = _c(c)
+    text = F.format_string(f"%.{digits - 1}e", c)
+    return F.when(c.isNull() | F.isnan(c), c).otherwise(text.cast("double"))

@@ -151,21 +151,30 @@ def column_medians(df: DataFrame, columns: list[str], method: str = "distributed
     return out
 
 
+EXACT_BUFFER_LIMIT = 1_000_000
+
+
 def impute_median(df: DataFrame, columns: list[str] | None = None,
-                  method: str = "distributed") -> DataFrame:
+                  method: str = "auto", buffer_limit: int = EXACT_BUFFER_LIMIT) -> DataFrame:
     """Fill NULLs of every numeric column with that column's exact whole-table median.
 
-    Medians come back as one small row (one value per column) and enter the plan
-    as literals, so the fill itself is a narrow projection.
+    One aggregate counts rows and NULLs per column; ``auto`` then uses the single
+    ``median`` aggregate when every column's values fit one task's buffer
+    (``buffer_limit`` rows) and the distributed sort-and-pick otherwise — a size
+    check, like a broadcast threshold. Medians enter the plan as literals, so the
+    fill itself is a narrow projection.
     """
     cols = columns if columns is not None else numeric_columns(df)
     with_nulls = [c for c in cols if c in df.columns]
     if not with_nulls:
         return df
-    counts = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in with_nulls]).first()
+    counts = df.agg(F.count(F.lit(1)).alias("__rows"),
+                    *[F.count_if(F.col(c).isNull()).alias(c) for c in with_nulls]).first()
     targets = [c for c in with_nulls if counts[c] > 0]
     if not targets:
         return df
+    if method == "auto":
+        method = "aggregate" if counts["__rows"] <= buffer_limit else "distributed"
     med = column_medians(df, targets, method)
     fills = {c: F.coalesce(F.col(c), F.lit(med[c]).cast(df.schema[c].dataType))
              for c in targets if med[c] is not None}
@@ -198,11 +207,30 @@ def preprocess_raw(df: DataFrame) -> DataFrame:
     return dedupe_rows(drop_empty_columns(normalize_columns(df)))
 
 
-def clean_statement(raw: DataFrame, median_method: str = "distributed",
-                    default_symbol: str = DEFAULT_SYMBOL) -> DataFrame:
-    """Raw statement → Silver: light clean, unified date, median fill, symbol."""
-    df = unify_statement_date(preprocess_raw(raw))
-    df = impute_median(df, method=median_method)
+def clean_statement(raw: DataFrame, median_method: str = "auto",
+                    default_symbol: str = DEFAULT_SYMBOL,
+                    buffer_limit: int = EXACT_BUFFER_LIMIT) -> DataFrame:
+    """Raw statement → Silver: names, empty columns, duplicates, date, median fill, symbol.
+
+    Two actions in total: one profile aggregate (rows and non-null count per
+    column, which finds both the empty columns and the columns to fill) and one
+    for the medians. Duplicates are dropped before either, so medians see each
+    row once; an all-NULL column does not change which rows are duplicates.
+    """
+    df = dedupe_rows(normalize_columns(raw))
+    prof = df.agg(F.count(F.lit(1)).alias("__rows"),
+                  *[F.count(F.col(c)).alias(c) for c in df.columns]).first()
+    rows = prof["__rows"]
+    df = df.drop(*[c for c in df.columns if prof[c] == 0])
+    df = unify_statement_date(df)
+    targets = [c for c in numeric_columns(df) if c in prof and 0 < prof[c] < rows]
+    if targets:
+        method = median_method
+        if method == "auto":
+            method = "aggregate" if rows <= buffer_limit else "distributed"
+        med = column_medians(df, targets, method)
+        df = df.withColumns({c: F.coalesce(F.col(c), F.lit(med[c]).cast(df.schema[c].dataType))
+                             for c in targets if med[c] is not None})
     return ensure_symbol(df, default_symbol)
 
 

@@ -180,18 +180,55 @@ def fact_stock_prices(prices: DataFrame, dim_company_df: DataFrame, dim_date_df:
     return _conform(keyed, "fact_stock_prices")
 
 
+class LazyTables(dict):
+    """A dict of table builders evaluated on first access (and then kept).
+
+    Keying a fact materialises it, so building only what a caller reads avoids
+    paying for tables it never touches.
+    """
+
+    def __init__(self, builders):
+        super().__init__()
+        self._builders = builders
+
+    def __getitem__(self, name):
+        if not dict.__contains__(self, name):
+            dict.__setitem__(self, name, self._builders[name]())
+        return dict.__getitem__(self, name)
+
+    def __contains__(self, name):
+        return name in self._builders
+
+    def __iter__(self):
+        return iter(self._builders)
+
+    def __len__(self):
+        return len(self._builders)
+
+    def keys(self):
+        return self._builders.keys()
+
+    def items(self):
+        return [(k, self[k]) for k in self._builders]
+
+    def values(self):
+        return [self[k] for k in self._builders]
+
+
 def build_star(spark: SparkSession, prices: DataFrame,
                statements: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """All five dimensions and both facts from Silver prices and statements."""
-    dd = dim_date(prices, *[statements[n] for n in STATEMENT_ORDER if n in statements])
-    dc = dim_company(statements)
-    dm = dim_fin_metric(spark, statements)
-    return {
-        "dim_date": dd,
-        "dim_company": dc,
-        "dim_fin_metric": dm,
-        "dim_fin_statement_type": dim_fin_statement_type(spark),
-        "dim_stock_metric": dim_stock_metric(spark),
-        "fact_finance": fact_finance(statements, dc, dm, dd),
-        "fact_stock_prices": fact_stock_prices(prices, dc, dd),
-    }
+    """All five dimensions and both facts from Silver prices and statements (lazily)."""
+    stmts = [statements[n] for n in STATEMENT_ORDER if n in statements]
+    t: LazyTables
+    t = LazyTables({
+        "dim_date": lambda: dim_date(prices, *stmts),
+        "dim_company": lambda: dim_company(statements),
+        "dim_fin_metric": lambda: dim_fin_metric(spark, statements),
+        "dim_fin_statement_type": lambda: dim_fin_statement_type(spark),
+        "dim_stock_metric": lambda: dim_stock_metric(spark),
+        "fact_finance": lambda: fact_finance(statements, t["dim_company"],
+                                             t["dim_fin_metric"], t["dim_date"]),
+        "fact_stock_prices": lambda: fact_stock_prices(prices, t["dim_company"],
+                                                       t["dim_date"]),
+    })
+    return t

@@ -20,7 +20,8 @@ def exact_quantiles_long(long: DataFrame, group_col: str, value_col: str,
     """
     vals = long.select(group_col, value_col).filter(F.col(value_col).isNotNull())
     indexed = dense_index(vals.withColumn("_tie", F.rand(17)),
-                          [group_col, value_col, "_tie"], "_gpos", start=0, dtype="long")
+                          [group_col, value_col, "_tie"], "_gpos", start=0, dtype="long",
+                          small_rows=None)
     bounds = indexed.groupBy(group_col).agg(F.min("_gpos").alias("_first"),
                                             F.count(F.lit(1)).alias("_n"))
     pos = F.col("p") * (F.col("_n") - 1)

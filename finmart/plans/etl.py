@@ -16,23 +16,29 @@ def silver_prices(raw_prices: DataFrame, default_symbol: str = DEFAULT_SYMBOL) -
     return features.add_price_features(df)
 
 
-def silver_statements(raw: dict[str, DataFrame], median_method: str = "distributed",
+def silver_statements(raw: dict[str, DataFrame], median_method: str = "auto",
                       default_symbol: str = DEFAULT_SYMBOL) -> dict[str, DataFrame]:
-    return {name: clean.clean_statement(raw[name], median_method, default_symbol)
-            for name in STATEMENT_ORDER if name in raw}
+    """Cleaned statements, each cleaned on first use (cleaning runs data-dependent
+    profile passes, so statements nobody reads are never profiled)."""
+    from ..operators.star import LazyTables
 
+    def builder(name):
+        return lambda: clean.clean_statement(raw[name], median_method, default_symbol)
+    return LazyTables({name: builder(name) for name in STATEMENT_ORDER if name in raw})
 
-def silver_layer(raw: dict[str, DataFrame], median_method: str = "distributed",
+
+def silver_layer(raw: dict[str, DataFrame], median_method: str = "auto",
                  default_symbol: str = DEFAULT_SYMBOL) -> dict[str, DataFrame]:
-    out = silver_statements(raw, median_method, default_symbol)
+    out = dict(silver_statements(raw, median_method, default_symbol).items())
     if "prices" in raw:
         out["prices"] = silver_prices(raw["prices"], default_symbol)
     return out
 
 
-def gold_layer(spark: SparkSession, silver: dict[str, DataFrame]) -> dict[str, DataFrame]:
+def gold_layer(spark: SparkSession, silver: dict[str, DataFrame],
+               prices: DataFrame | None = None) -> dict[str, DataFrame]:
     statements = {n: silver[n] for n in STATEMENT_ORDER if n in silver}
-    return star.build_star(spark, silver["prices"], statements)
+    return star.build_star(spark, prices if prices is not None else silver["prices"], statements)
 
 
 def run_etl(spark: SparkSession, raw: dict[str, DataFrame], silver_path: str | None = None,

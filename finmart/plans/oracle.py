@@ -9,6 +9,12 @@ from __future__ import annotations
 from ..schemas import STOCK_METRICS
 
 R_MONEY, R_STAT, R_PRICE = 6, 9, 2
+SIG_COEF, SIG_PRICE, SIG_PATH = 12, 10, 9
+
+
+def sig(expr: str, digits: int = SIG_PRICE, alias: str | None = None) -> str:
+    out = f"CAST(printf('%.{digits - 1}e', {expr}) AS DOUBLE)"
+    return f"{out} AS {alias}" if alias else out
 TICKER = "1-URGENT"
 HORIZON = 30
 NUM_SIMS = 2000
@@ -206,7 +212,8 @@ def with_all(body: str) -> str:
 
 
 def with_prices(body: str) -> str:
-    return f"WITH {PRICES}\n{body}"
+    kw = "WITH RECURSIVE" if "fc(symbol" in body else "WITH"
+    return f"{kw} {PRICES}\n{body}"
 
 
 def with_statements(body: str, stmts=ORDER) -> str:
@@ -285,9 +292,9 @@ def _training() -> str:
 split AS (SELECT *, CASE WHEN row_number() OVER (PARTITION BY symbol ORDER BY date ASC NULLS LAST)
     <= floor(count(*) OVER (PARTITION BY symbol) * 0.8) THEN 'train' ELSE 'test' END AS split
   FROM training),
-coef AS (SELECT symbol, regr_slope(target, pct_change) AS slope,
-    regr_intercept(target, pct_change) AS intercept FROM split WHERE split = 'train'
-  GROUP BY symbol),
+coef AS (SELECT symbol, CAST(printf('%.11e', regr_slope(target, pct_change)) AS DOUBLE) AS slope,
+    CAST(printf('%.11e', regr_intercept(target, pct_change)) AS DOUBLE) AS intercept
+  FROM split WHERE split = 'train' GROUP BY symbol),
 pred AS (SELECT s.*, c.slope, c.intercept, c.intercept + c.slope * s.pct_change AS prediction
   FROM split s JOIN coef c ON s.symbol = c.symbol)"""
 
@@ -590,8 +597,8 @@ FROM k WHERE date = last_date""")
     q["train_test_split"] = with_prices(f", {_training()} SELECT {t_round}, split FROM split")
     q["price_reconstruction"] = with_prices(
         f", {_training()} SELECT symbol, date, round(close, {R_MONEY}) AS close, "
-        f"round(close * (1 + prediction), {R_PRICE}) AS predicted_price, "
-        f"round(close * (1 + target), {R_PRICE}) AS actual_price FROM pred WHERE split = 'test'")
+        f"{sig('close * (1 + prediction)', alias='predicted_price')}, "
+        f"{sig('close * (1 + target)', alias='actual_price')} FROM pred WHERE split = 'test'")
     q["model_metrics"] = with_prices(
         f", {_training()}, mm AS ({_metrics('pred', 'symbol')}) "
         f"SELECT {_round_metrics('symbol')} FROM mm")
@@ -612,16 +619,16 @@ FROM mm""")
         + ", ".join(r(c, R_STAT) for c in ["avg_volatility_5d", "avg_volatility_20d",
                                            "avg_volume", "daily_volatility"]) + " FROM ctx")
     q["recursive_forecast"] = with_prices(
-        f", {_forecast()} SELECT symbol, step, date, round(predicted_price, {R_PRICE}) "
-        f"AS predicted_price FROM forecast")
+        f", {_forecast()} SELECT symbol, step, date, {sig('predicted_price', alias='predicted_price')} "
+        f"FROM forecast")
     q["scenario_paths"] = with_prices(
-        f", {_paths()} SELECT symbol, sim, day, date, round(price, {R_PRICE}) AS price "
+        f", {_paths()} SELECT symbol, sim, day, date, {sig('price', SIG_PATH, 'price')} "
         f"FROM path_rows")
     band_cols = ["mean_price", "median_price", "p95_price", "p75_price", "p25_price", "p5_price",
                  "max_price", "min_price", "std_dev"]
     q["scenario_bands"] = with_prices(
         f", {_bands()} SELECT symbol, day, date, "
-        + ", ".join(r(c, R_PRICE) for c in band_cols) + " FROM bands")
+        + ", ".join(sig(c, alias=c) for c in band_cols) + " FROM bands")
     q["recommend_basic"] = with_prices(
         f""", {_forecast()},
 rb AS (SELECT f.symbol, ctx.close AS current_price,
@@ -629,8 +636,9 @@ rb AS (SELECT f.symbol, ctx.close AS current_price,
     min(f.predicted_price) AS lowest_price
   FROM forecast f JOIN ctx ON f.symbol = ctx.symbol GROUP BY f.symbol, ctx.close),
 rc AS (SELECT *, (target_price - current_price) / NULLIF(current_price, 0) * 100.0 AS chg FROM rb)
-SELECT symbol, {r('current_price', R_MONEY)}, {r('target_price', R_PRICE)},
-  {r('highest_price', R_PRICE)}, {r('lowest_price', R_PRICE)}, round(chg, 4) AS change_percent,
+SELECT symbol, {sig('current_price', alias='current_price')},
+  {sig('target_price', alias='target_price')}, {sig('highest_price', alias='highest_price')},
+  {sig('lowest_price', alias='lowest_price')}, {sig('chg', alias='change_percent')},
   CASE WHEN chg > 2.0 THEN 'UP_STRONG' WHEN chg > 0.5 THEN 'UP_SLIGHT'
        WHEN chg < -2.0 THEN 'DOWN_STRONG' WHEN chg < -0.5 THEN 'DOWN_SLIGHT' ELSE 'FLAT' END
     AS status,
@@ -647,11 +655,14 @@ rs AS (SELECT b.symbol, ctx.close AS current_price,
   FROM bands b JOIN ctx ON b.symbol = ctx.symbol GROUP BY b.symbol, ctx.close),
 rc AS (SELECT *, (mean_target_price - current_price) / NULLIF(current_price, 0) * 100.0 AS chg
   FROM rs)
-SELECT symbol, {r('current_price', R_MONEY)}, {r('mean_target_price', R_PRICE)},
-  {r('median_target_price', R_PRICE)}, {r('best_case_price', R_PRICE)},
-  {r('worst_case_price', R_PRICE)}, {r('highest_mean_price', R_PRICE)},
-  {r('lowest_mean_price', R_PRICE)}, round(chg, 4) AS change_percent,
-  round(mean_target_price - current_price, {R_PRICE}) AS expected_profit,
+SELECT symbol, {sig('current_price', alias='current_price')},
+  {sig('mean_target_price', alias='mean_target_price')},
+  {sig('median_target_price', alias='median_target_price')},
+  {sig('best_case_price', alias='best_case_price')},
+  {sig('worst_case_price', alias='worst_case_price')},
+  {sig('highest_mean_price', alias='highest_mean_price')},
+  {sig('lowest_mean_price', alias='lowest_mean_price')}, {sig('chg', alias='change_percent')},
+  {sig('mean_target_price - current_price', alias='expected_profit')},
   CASE WHEN chg > 5.0 THEN 'UP_STRONG' WHEN chg > 2.0 THEN 'UP_MODERATE'
        WHEN chg > 0.5 THEN 'UP_SLIGHT' WHEN chg < -5.0 THEN 'DOWN_STRONG'
        WHEN chg < -2.0 THEN 'DOWN_MODERATE' WHEN chg < -0.5 THEN 'DOWN_SLIGHT' ELSE 'FLAT' END

@@ -17,10 +17,12 @@ from ..operators import clean, eda, features, forecast, marts, ml, quality, scen
 from ..schemas import FIN_TYPE_KEY, STATEMENT_ORDER
 from ..session import scratch_path
 from ..sources import files
+from ..functions.numeric import round_sig
 from ..sources.fixtures import raw_prices, raw_statements, read_table
 from . import etl
 
 R_MONEY, R_STAT, R_PRICE = 6, 9, 2
+SIG_COEF, SIG_PRICE, SIG_PATH = 12, 10, 9
 TICKER = "1-URGENT"
 HORIZON = 30
 NUM_SIMS = 2000
@@ -32,6 +34,15 @@ def rnd(df: DataFrame, spec: dict[str, int]) -> DataFrame:
     return df.withColumns({c: F.round(F.col(c), d) for c, d in spec.items() if c in df.columns})
 
 
+def sig(df: DataFrame, columns: list[str], digits: int = SIG_PRICE) -> DataFrame:
+    return df.withColumns({c: round_sig(c, digits) for c in columns if c in df.columns})
+
+
+def coefficients(train: DataFrame) -> DataFrame:
+    """Per-symbol OLS, coefficients kept to 12 significant digits."""
+    return sig(ml.fit_ols(train), ["slope", "intercept"], SIG_COEF)
+
+
 def _money_all(df: DataFrame, digits: int = R_MONEY) -> DataFrame:
     return rnd(df, {f.name: digits for f in df.schema.fields
                     if isinstance(f.dataType, T.DoubleType)})
@@ -58,9 +69,7 @@ def silver_statements(spark, d) -> dict[str, DataFrame]:
 
 
 def gold(spark, d) -> dict[str, DataFrame]:
-    silver = silver_statements(spark, d)
-    silver["prices"] = silver_prices(spark, d)
-    return etl.gold_layer(spark, silver)
+    return etl.gold_layer(spark, silver_statements(spark, d), silver_prices(spark, d))
 
 
 def split_frame(spark, d) -> DataFrame:
@@ -69,14 +78,14 @@ def split_frame(spark, d) -> DataFrame:
 
 def ols_predictions(spark, d) -> DataFrame:
     split = split_frame(spark, d)
-    coef = ml.fit_ols(split.filter(F.col("split") == "train"))
+    coef = coefficients(split.filter(F.col("split") == "train"))
     return ml.predict_ols(split, coef)
 
 
 def ols_context(spark, d) -> DataFrame:
     prices = silver_prices(spark, d)
     split = features.train_test_split(features.training_frame(prices))
-    coef = ml.fit_ols(split.filter(F.col("split") == "train"))
+    coef = coefficients(split.filter(F.col("split") == "train"))
     return forecast.forecast_context(prices).join(coef, "symbol")
 
 
@@ -225,7 +234,7 @@ def q_seed_missing_rows(spark, d):
     silver = silver_statements(spark, d)
     prices = silver_prices(spark, d)
     target = star.dim_date(prices)
-    seed = star.dim_date(*silver.values())
+    seed = star.dim_date(*[silver[n] for n in STATEMENT_ORDER])
     once = quality.seed_missing_rows(target, seed, ["date_key"])
     return quality.seed_missing_rows(once, seed, ["date_key"])
 
@@ -356,7 +365,7 @@ def q_price_reconstruction(spark, d):
     out = pred.select("symbol", "date", "close",
                       (F.col("close") * (1 + F.col("prediction"))).alias("predicted_price"),
                       (F.col("close") * (1 + F.col("target"))).alias("actual_price"))
-    return rnd(out, {"close": R_MONEY, "predicted_price": R_PRICE, "actual_price": R_PRICE})
+    return sig(rnd(out, {"close": R_MONEY}), ["predicted_price", "actual_price"])
 
 
 METRIC_ROUND = {"mae": R_STAT, "rmse": R_STAT, "r2_train": R_STAT - 3, "r2_test": R_STAT - 3,
@@ -394,7 +403,7 @@ def _forecast(spark, d):
 
 def q_recursive_forecast(spark, d):
     _, f = _forecast(spark, d)
-    return rnd(f, {"predicted_price": R_PRICE})
+    return sig(f, ["predicted_price"])
 
 
 def _paths(spark, d):
@@ -405,32 +414,31 @@ def _paths(spark, d):
 
 def q_scenario_paths(spark, d):
     _, paths = _paths(spark, d)
-    return rnd(paths, {"price": R_PRICE})
+    return sig(paths, ["price"], SIG_PATH)
 
 
-BAND_ROUND = {c: R_PRICE for c in ["mean_price", "median_price", "p95_price", "p75_price",
-                                   "p25_price", "p5_price", "max_price", "min_price", "std_dev"]}
+BAND_COLS = ["mean_price", "median_price", "p95_price", "p75_price", "p25_price", "p5_price",
+             "max_price", "min_price", "std_dev"]
 
 
 def q_scenario_bands(spark, d):
     _, paths = _paths(spark, d)
-    return rnd(scenarios.scenario_bands(paths), BAND_ROUND)
+    return sig(scenarios.scenario_bands(paths), BAND_COLS)
 
 
 def q_recommend_basic(spark, d):
     ctx, f = _forecast(spark, d)
     rec = forecast.recommend_basic(f, ctx)
-    return rnd(rec, {"current_price": R_MONEY, "target_price": R_PRICE, "highest_price": R_PRICE,
-                     "lowest_price": R_PRICE, "change_percent": 4})
+    return sig(rec, ["current_price", "target_price", "highest_price", "lowest_price",
+                     "change_percent"])
 
 
 def q_recommend_scenario(spark, d):
     ctx, paths = _paths(spark, d)
     rec = scenarios.recommend_scenario(scenarios.scenario_bands(paths), ctx)
-    spec = {c: R_PRICE for c in ["mean_target_price", "median_target_price", "best_case_price",
-                                 "worst_case_price", "highest_mean_price", "lowest_mean_price",
-                                 "expected_profit"]}
-    return rnd(rec, {**spec, "current_price": R_MONEY, "change_percent": 4})
+    return sig(rec, ["current_price", "mean_target_price", "median_target_price",
+                     "best_case_price", "worst_case_price", "highest_mean_price",
+                     "lowest_mean_price", "change_percent", "expected_profit"])
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
