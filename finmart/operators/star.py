@@ -216,11 +216,22 @@ class LazyTables(dict):
 
 
 def build_star(spark: SparkSession, prices: DataFrame,
-               statements: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """All five dimensions and both facts from Silver prices and statements (lazily)."""
+               statements: dict[str, DataFrame], land: bool = False) -> dict[str, DataFrame]:
+    """All five dimensions and both facts from Silver prices and statements (lazily).
+
+    With ``land`` each data-derived table is checkpointed when first built, so the
+    facts reuse the dimensions and marts read Gold instead of re-deriving it.
+    """
+    from ..session import materialize
+
     stmts = [statements[n] for n in STATEMENT_ORDER if n in statements]
     t: LazyTables
-    t = LazyTables({
+    landed = {"dim_date", "dim_company", "fact_finance", "fact_stock_prices"}
+
+    def maybe_land(name, build):
+        return (lambda: materialize(build())) if land and name in landed else build
+
+    builders = {
         "dim_date": lambda: dim_date(prices, *stmts),
         "dim_company": lambda: dim_company(statements),
         "dim_fin_metric": lambda: dim_fin_metric(spark, statements),
@@ -230,5 +241,6 @@ def build_star(spark: SparkSession, prices: DataFrame,
                                              t["dim_fin_metric"], t["dim_date"]),
         "fact_stock_prices": lambda: fact_stock_prices(prices, t["dim_company"],
                                                        t["dim_date"]),
-    })
+    }
+    t = LazyTables({k: maybe_land(k, b) for k, b in builders.items()})
     return t

@@ -6,24 +6,36 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import clean, features, star
 from ..schemas import DEFAULT_SYMBOL, STATEMENT_ORDER
+from ..session import materialize
 
 
-def silver_prices(raw_prices: DataFrame, default_symbol: str = DEFAULT_SYMBOL) -> DataFrame:
-    """Light clean, date coercion, per-symbol return/volatility features, symbol."""
+def silver_prices(raw_prices: DataFrame, default_symbol: str = DEFAULT_SYMBOL,
+                  land: bool = False) -> DataFrame:
+    """Light clean, date coercion, per-symbol return/volatility features, symbol.
+
+    ``land`` checkpoints the result: the Silver → Gold stage boundary, so the
+    several Gold tables built from it do not each recompute the windows.
+    """
     df = clean.preprocess_raw(raw_prices)
     df = clean.coerce_dates(df, "date")
     df = clean.ensure_symbol(df, default_symbol)
-    return features.add_price_features(df)
+    df = features.add_price_features(df)
+    return materialize(df) if land else df
 
 
 def silver_statements(raw: dict[str, DataFrame], median_method: str = "auto",
-                      default_symbol: str = DEFAULT_SYMBOL) -> dict[str, DataFrame]:
+                      default_symbol: str = DEFAULT_SYMBOL,
+                      land: bool = False) -> dict[str, DataFrame]:
     """Cleaned statements, each cleaned on first use (cleaning runs data-dependent
-    profile passes, so statements nobody reads are never profiled)."""
+    profile passes, so statements nobody reads are never profiled); ``land``
+    checkpoints each one at the Silver → Gold boundary."""
     from ..operators.star import LazyTables
 
     def builder(name):
-        return lambda: clean.clean_statement(raw[name], median_method, default_symbol)
+        def build():
+            df = clean.clean_statement(raw[name], median_method, default_symbol)
+            return materialize(df) if land else df
+        return build
     return LazyTables({name: builder(name) for name in STATEMENT_ORDER if name in raw})
 
 
@@ -36,9 +48,10 @@ def silver_layer(raw: dict[str, DataFrame], median_method: str = "auto",
 
 
 def gold_layer(spark: SparkSession, silver: dict[str, DataFrame],
-               prices: DataFrame | None = None) -> dict[str, DataFrame]:
+               prices: DataFrame | None = None, land: bool = False) -> dict[str, DataFrame]:
     statements = {n: silver[n] for n in STATEMENT_ORDER if n in silver}
-    return star.build_star(spark, prices if prices is not None else silver["prices"], statements)
+    return star.build_star(spark, prices if prices is not None else silver["prices"],
+                           statements, land)
 
 
 def run_etl(spark: SparkSession, raw: dict[str, DataFrame], silver_path: str | None = None,

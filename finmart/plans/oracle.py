@@ -63,13 +63,13 @@ LEDGER = """ledger AS (
     CAST(sum(ep * (disc + tax) * 4) AS DOUBLE) AS liabilities,
     CAST(sum(CASE WHEN flag <> 'N' THEN qty END) AS DOUBLE) AS inventory,
     CAST(count(*) AS DOUBLE) AS lines,
-    CAST(sum(ep * (1 - disc) * (1 + tax) - qty * retail * 0.5) AS DOUBLE) AS operating_cf,
+    CAST(sum(ep * (1 - disc) + ep * (1 - disc) * tax - qty * retail * 0.5) AS DOUBLE) AS operating_cf,
     CAST(sum(qty * retail * 0.1) AS DOUBLE) AS capex,
     CAST(sum(CASE WHEN flag = 'A' THEN ep END) AS DOUBLE) AS receivables
-  FROM (SELECT CAST(l_extendedprice AS DECIMAL(15,2)) AS ep,
-               CAST(l_discount AS DECIMAL(15,2)) AS disc, CAST(l_tax AS DECIMAL(15,2)) AS tax,
-               CAST(l_quantity AS DECIMAL(15,2)) AS qty,
-               CAST(p_retailprice AS DECIMAL(15,2)) AS retail, l_returnflag AS flag,
+  FROM (SELECT CAST(l_extendedprice AS DECIMAL(9,2)) AS ep,
+               CAST(l_discount AS DECIMAL(3,2)) AS disc, CAST(l_tax AS DECIMAL(3,2)) AS tax,
+               CAST(l_quantity AS DECIMAL(4,2)) AS qty,
+               CAST(p_retailprice AS DECIMAL(7,2)) AS retail, l_returnflag AS flag,
                l_shipdate, o_orderpriority
         FROM lineitem JOIN orders ON l_orderkey = o_orderkey
                       JOIN part ON l_partkey = p_partkey) j

@@ -69,7 +69,10 @@ def silver_statements(spark, d) -> dict[str, DataFrame]:
 
 
 def gold(spark, d) -> dict[str, DataFrame]:
-    return etl.gold_layer(spark, silver_statements(spark, d), silver_prices(spark, d))
+    """Gold tables over Silver landed once (the ETL's Silver → Gold boundary)."""
+    silver = etl.silver_statements(raw_statements(spark, d), land=True)
+    prices = etl.silver_prices(raw_prices(spark, d), land=True)
+    return etl.gold_layer(spark, silver, prices, land=True)
 
 
 def split_frame(spark, d) -> DataFrame:

@@ -52,8 +52,27 @@ def prices_from_events(events: DataFrame) -> DataFrame:
             .select("date", "open", "high", "low", "close", "volume", "symbol"))
 
 
-def _money(c: str):
-    return F.col(c).cast("decimal(15,2)")
+def _units(c: str, places: int = 2):
+    """A 2-decimal amount as an exact integer count of 10^-places units."""
+    return F.round(F.col(c) * (10 ** places)).cast("long")
+
+
+_SPLIT = 10 ** 6
+
+
+def exact_sum(term, scale: int):
+    """Exact sum of integer ``term`` (units of 10^-scale) as DOUBLE.
+
+    Each value is split at 10^6 into high and low parts summed as two longs, which
+    cannot overflow for any practical group size, and the two totals are combined
+    once per group in DECIMAL(38) before the single, correctly rounded conversion
+    to DOUBLE. Exact integer sums do not depend on the order partitions are merged.
+    """
+    lo = F.pmod(term, F.lit(_SPLIT))
+    hi = ((term - lo) / _SPLIT).cast("long")
+    total = (F.sum(hi).cast("decimal(38,0)") * F.lit(_SPLIT).cast("decimal(7,0)")
+             + F.sum(lo).cast("decimal(38,0)"))
+    return (total / F.lit(10 ** scale).cast(f"decimal({scale + 1},0)")).cast("double")
 
 
 def quarterly_ledger(lineitem: DataFrame, orders: DataFrame, part: DataFrame) -> DataFrame:
@@ -61,15 +80,13 @@ def quarterly_ledger(lineitem: DataFrame, orders: DataFrame, part: DataFrame) ->
 
     Each statement is a projection of this one aggregate, so a plan that uses all
     three statements shuffles line items once (the exchange is reused). Amounts
-    are summed as DECIMAL (exact, so independent of summation order across
-    partitions) and exposed as DOUBLE, the warehouse's amount type.
+    are summed exactly in integer units (cents and their products), independent of
+    summation order, and exposed as DOUBLE, the warehouse's amount type.
     """
-    ep, disc, tax, qty = (_money("l_extendedprice"), _money("l_discount"), _money("l_tax"),
-                          _money("l_quantity"))
-    cost = qty * _money("p_retailprice")
+    ep, disc, tax = _units("l_extendedprice"), _units("l_discount"), _units("l_tax")
+    qty, retail = _units("l_quantity"), _units("p_retailprice")
+    cost = qty * retail                               # 10^-4
     flag = F.col("l_returnflag")
-    half, tenth, four = (F.lit(0.5).cast("decimal(2,1)"), F.lit(0.1).cast("decimal(2,1)"),
-                         F.lit(4).cast("decimal(2,0)"))
     li = lineitem.select("l_orderkey", "l_partkey", "l_quantity", "l_extendedprice",
                          "l_discount", "l_tax", "l_returnflag", "l_shipdate")
     joined = (li.join(orders.select("o_orderkey", "o_orderpriority"),
@@ -77,24 +94,24 @@ def quarterly_ledger(lineitem: DataFrame, orders: DataFrame, part: DataFrame) ->
               .join(part.select("p_partkey", "p_retailprice"),
                     F.col("l_partkey") == F.col("p_partkey")))
     measures = {
-        "revenue": F.sum(ep * (1 - disc)),
-        "cogs": F.sum(cost * half),
-        "opex": F.sum(ep * disc),
-        "interest": F.sum(F.when((flag == "R") & (disc >= F.lit(0.09).cast("decimal(2,2)")), ep)),
-        "tax": F.sum(ep * tax),
-        "net": F.sum(ep * (1 - disc) - cost * half - ep * disc - ep * tax),
-        "gross": F.sum(ep),
-        "liabilities": F.sum(ep * (disc + tax) * four),
-        "inventory": F.sum(F.when(flag != "N", qty)),
-        "lines": F.count(F.lit(1)),
-        "operating_cf": F.sum(ep * (1 - disc) * (1 + tax) - cost * half),
-        "capex": F.sum(cost * tenth),
-        "receivables": F.sum(F.when(flag == "A", ep)),
+        "revenue": exact_sum(ep * (100 - disc), 4),
+        "cogs": exact_sum(cost * 5, 5),
+        "opex": exact_sum(ep * disc, 4),
+        "interest": exact_sum(F.when((flag == "R") & (disc >= 9), ep), 2),
+        "tax": exact_sum(ep * tax, 4),
+        "net": exact_sum((ep * (100 - disc) - ep * disc - ep * tax) * 10 - cost * 5, 5),
+        "gross": exact_sum(ep, 2),
+        "liabilities": exact_sum(ep * (disc + tax) * 4, 4),
+        "inventory": exact_sum(F.when(flag != "N", qty), 2),
+        "lines": F.count(F.lit(1)).cast("double"),
+        "operating_cf": exact_sum(ep * (100 - disc) * (100 + tax) - cost * 50, 6),
+        "capex": exact_sum(cost, 5),
+        "receivables": exact_sum(F.when(flag == "A", ep), 2),
     }
     return (joined
             .groupBy(F.col("o_orderpriority").alias("symbol"),
                      quarter_end(F.col("l_shipdate")).alias("quarter_end"))
-            .agg(*[m.cast("double").alias(k) for k, m in measures.items()]))
+            .agg(*[m.alias(k) for k, m in measures.items()]))
 
 
 def _year(c):
