@@ -46,41 +46,75 @@ def linear_step(state: Column, coefficients: dict[str, object], intercept) -> Co
     return out
 
 
-def recursive_forecast(ctx: DataFrame, horizon: int, coefficients: dict[str, object],
-                       intercept, key: str = "symbol") -> DataFrame:
-    """h-step recursive forecast: predicted close = close · (1 + predicted return).
+STATE_FIELDS = ["open", "high", "low", "close", "volume", "pct_change", "daily_return",
+                "volatility_5d", "volatility_20d"]
+PATH_TYPE = "array<struct<step:int,date:date,predicted_price:double>>"
+
 
-    State update per step: open ← previous close, close ← prediction, high/low =
+def next_state(get, ret: Column, step: Column) -> dict[str, Column]:
+    """One recursion step. ``get(name)`` reads the current state; ``ret`` is the
+    predicted return. Open ← previous close, close ← prediction, high/low =
     prediction · (1 ± avg 5-day volatility), volume ← trailing average volume,
     pct_change and daily_return recomputed, volatilities held at their averages,
-    date ← next business day. Returns (key, step, date, predicted_price).
-    """
-    fields = ["open", "high", "low", "close", "volume", "pct_change", "daily_return",
-              "volatility_5d", "volatility_20d"]
-    init = F.struct(F.col("date").alias("date"),
-                    *[F.col(c).cast("double").alias(c) for c in fields],
-                    F.array().cast("array<struct<step:int,date:date,predicted_price:double>>")
-                    .alias("path"))
+    date ← next business day; the step is appended to the path."""
     v5, v20, vol = F.col("avg_volatility_5d"), F.col("avg_volatility_20d"), F.col("avg_volume")
+    prev = get("close")
+    pred = prev * (F.lit(1.0) + ret)
+    nxt = next_business_day(get("date"))
+    point = F.struct(step.cast("int").alias("step"), nxt.alias("date"),
+                     pred.alias("predicted_price"))
+    return {"date": nxt, "open": prev, "high": pred * (F.lit(1.0) + v5),
+            "low": pred * (F.lit(1.0) - v5), "close": pred, "volume": vol.cast("double"),
+            "pct_change": F.try_divide(pred - prev, prev), "daily_return": pred - prev,
+            "volatility_5d": v5, "volatility_20d": v20,
+            "path": F.concat(get("path"), F.array(point))}
+
+
+def _initial_state() -> dict[str, Column]:
+    return {"date": F.col("date"), **{c: F.col(c).cast("double") for c in STATE_FIELDS},
+            "path": F.array().cast(PATH_TYPE)}
+
+
+def recursive_forecast(ctx: DataFrame, horizon: int, coefficients: dict[str, object],
+                       intercept, key: str = "symbol") -> DataFrame:
+    """h-step recursive forecast under a linear model: predicted close = close · (1 + r̂).
+
+    The whole path is one ``aggregate`` over ``sequence(1, h)`` inside each symbol's
+    row: pure Catalyst, no per-step job. Returns (key, step, date, predicted_price).
+    """
+    init = F.struct(*[c.alias(n) for n, c in _initial_state().items()])
 
     def step(acc, i):
-        ret = linear_step(acc, coefficients, intercept)
-        prev = acc["close"]
-        pred = prev * (F.lit(1.0) + ret)
-        nxt = next_business_day(acc["date"])
-        return F.struct(
-            nxt.alias("date"), prev.alias("open"),
-            (pred * (F.lit(1.0) + v5)).alias("high"), (pred * (F.lit(1.0) - v5)).alias("low"),
-            pred.alias("close"), vol.cast("double").alias("volume"),
-            F.try_divide(pred - prev, prev).alias("pct_change"), (pred - prev).alias("daily_return"),
-            v5.alias("volatility_5d"), v20.alias("volatility_20d"),
-            F.concat(acc["path"], F.array(F.struct(i.cast("int").alias("step"), nxt.alias("date"),
-                                                   pred.alias("predicted_price")))).alias("path"))
+        new = next_state(lambda n: acc[n], linear_step(acc, coefficients, intercept), i)
+        return F.struct(*[c.alias(n) for n, c in new.items()])
 
     run = F.aggregate(F.sequence(F.lit(1), F.lit(horizon)), init, step)
     return ctx.select(key, F.inline(run["path"]))
 
 
+def model_forecast(ctx: DataFrame, model, horizon: int, key: str = "symbol",
+                   checkpoint_every: int = 10) -> DataFrame:
+    """h-step recursive forecast under any fitted Spark ML regressor (e.g. a forest).
+
+    The state frame has one row per symbol; each step assembles its features,
+    applies ``model.transform`` (a distributed job over symbols) and advances the
+    state with the same rules as the linear path. Sequential only in the horizon;
+    lineage is cut with a reliable checkpoint every ``checkpoint_every`` steps.
+    """
+    from ..session import materialize
+    from .ml import assemble
+
+    extras = ["avg_volatility_5d", "avg_volatility_20d", "avg_volume"]
+    state = ctx.select(key, *extras, *[c.alias(n) for n, c in _initial_state().items()])
+    for i in range(1, horizon + 1):
+        scored = model.transform(assemble(state, handle_invalid="keep")).drop("features")
+        new = next_state(F.col, F.col("prediction"), F.lit(i))
+        state = scored.select(key, *extras, *[c.alias(n) for n, c in new.items()])
+        if i % checkpoint_every == 0 and i < horizon:
+            state = materialize(state)
+    return state.select(key, F.inline("path"))
+
+
 def ols_forecast(ctx_with_coefficients: DataFrame, horizon: int, feature: str = "pct_change",
                  key: str = "symbol") -> DataFrame:
     """Recursive forecast with per-symbol OLS columns ``slope``/``intercept``."""
@@ -88,11 +122,6 @@ def ols_forecast(ctx_with_coefficients: DataFrame, horizon: int, feature: str =
                               F.col("intercept"), key)
 
 
-# Status bands for the basic recommendation (strict comparisons), fixed values.
-BASIC_BANDS = [(2.0, "UP_STRONG", "BUY"), (0.5, "UP_SLIGHT", "CONSIDER_BUY")]
-BASIC_DOWN = [(-2.0, "DOWN_STRONG", "SELL"), (-0.5, "DOWN_SLIGHT", "CAUTION")]
-
-
 def recommend_basic(forecast: DataFrame, ctx: DataFrame, key: str = "symbol") -> DataFrame:
     """Final predicted price vs the current close, banded at ±2 % and ±0.5 %."""
     summary = forecast.groupBy(key).agg(

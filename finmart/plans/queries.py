@@ -393,6 +393,18 @@ def q_ml_compare(spark, d):
     return ranked
 
 
+def q_ml_forecast(spark, d):
+    """Pooled 9-feature Spark ML linear model, then the model-agnostic recursive forecast."""
+    from pyspark.ml.regression import LinearRegression
+
+    prices = silver_prices(spark, d)
+    split = features.train_test_split(features.training_frame(prices))
+    est = LinearRegression(featuresCol="features", labelCol="target", regParam=0.0,
+                           solver="normal")
+    model = est.fit(ml.assemble(split.filter(F.col("split") == "train")))
+    return forecast.model_forecast(forecast.forecast_context(prices), model, HORIZON)
+
+
 def q_forecast_context(spark, d):
     ctx = forecast.forecast_context(silver_prices(spark, d))
     return rnd(ctx, {**PRICE_ROUND, "avg_volatility_5d": R_STAT, "avg_volatility_20d": R_STAT,

@@ -345,3 +345,38 @@ def test_round_sig(spark):
     df = spark.createDataFrame([(123456789.987,), (-0.000123456789,), (None,)], "x double")
     out = [r[0] for r in df.select(round_sig("x", 4)).collect()]
     assert out == [123500000.0, -0.0001235, None]
+
+
+def test_model_forecast_equals_linear_aggregate_path(spark):
+    """The per-step transform path and the in-row aggregate agree for a linear model."""
+    from pyspark.ml.regression import LinearRegression
+    from finmart.operators.ml import assemble, linear_coefficients
+    from finmart.schemas import FEATURES
+    import random
+    rnd = random.Random(3)
+    rows = [tuple(rnd.uniform(0.5, 2.0) for _ in FEATURES) + (rnd.uniform(-0.01, 0.01),)
+            for _ in range(60)]
+    train = spark.createDataFrame(rows, ", ".join(f"{c} double" for c in FEATURES) + ", target double")
+    model = LinearRegression(featuresCol="features", labelCol="target", solver="normal").fit(
+        assemble(train))
+    ctx = _ctx(spark)
+    coefs, icpt = linear_coefficients(model)
+    a = forecast.recursive_forecast(ctx, 12, coefs, icpt).orderBy("step").collect()
+    b = forecast.model_forecast(ctx, model, 12, checkpoint_every=5).orderBy("step").collect()
+    assert [r.date for r in a] == [r.date for r in b]
+    for x, y in zip(a, b):
+        assert x.predicted_price == pytest.approx(y.predicted_price, rel=1e-9)
+
+
+def test_model_forecast_with_forest(spark):
+    from pyspark.ml.regression import RandomForestRegressor
+    from finmart.operators.ml import assemble
+    from finmart.schemas import FEATURES
+    rows = [tuple(float(i + j) for j in range(len(FEATURES))) + (0.001 * (i % 5),)
+            for i in range(40)]
+    train = spark.createDataFrame(rows, ", ".join(f"{c} double" for c in FEATURES) + ", target double")
+    model = RandomForestRegressor(featuresCol="features", labelCol="target", numTrees=3,
+                                  maxDepth=3, seed=42).fit(assemble(train))
+    out = forecast.model_forecast(_ctx(spark), model, 4).collect()
+    assert sorted(r.step for r in out) == [1, 2, 3, 4]
+    assert all(r.predicted_price > 0 for r in out)
