@@ -22,7 +22,7 @@ SMALL_ROWS = 200_000
 
 
 def dense_index(df: DataFrame, order: list[Column | str], name: str, start: int = 1,
-                dtype: str = "int", small_rows: int | None = SMALL_ROWS) -> DataFrame:
+                dtype: str = "int", small_rows: int | None | str = "default") -> DataFrame:
     """Add ``name`` = 1-based position of each row in ``order`` (which must be total).
 
     With ``small_rows`` set, the input is counted first; when the count proves it
@@ -31,6 +31,8 @@ def dense_index(df: DataFrame, order: list[Column | str], name: str, start: int
     ``small_rows=None``, the distributed range path runs.
     """
     order_cols = [F.col(c) if isinstance(c, str) else c for c in order]
+    if small_rows == "default":
+        small_rows = SMALL_ROWS
     if small_rows is not None and df.limit(small_rows + 1).count() <= small_rows:
         pos = F.row_number().over(Window.orderBy(*order_cols)) + (start - 1)
         return df.withColumn(name, pos.cast(dtype))

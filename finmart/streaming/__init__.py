@@ -1,0 +1 @@
+"""Reserved: the source system has no streaming operators (see README)."""

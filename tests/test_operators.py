@@ -380,3 +380,61 @@ def test_model_forecast_with_forest(spark):
     out = forecast.model_forecast(_ctx(spark), model, 4).collect()
     assert sorted(r.step for r in out) == [1, 2, 3, 4]
     assert all(r.predicted_price > 0 for r in out)
+
+
+# --- sources / persistence -----------------------------------------------------------------
+
+def test_strict_and_tolerant_loads(spark, tmp_path):
+    from pyspark.errors import AnalysisException
+    from finmart.sources import files
+    good = str(tmp_path / "bs")
+    files.write_csv(spark.createDataFrame([("2020-03-31", None, 1.5)],
+                                          "fiscalDateEnding string, x double, y double"), good)
+    paths = {"balance_sheet": good, "prices": str(tmp_path / "missing.csv")}
+    loaded, failed = files.load_sources(spark, paths, required=False)
+    assert list(loaded) == ["balance_sheet"] and failed == ["prices"]
+    row = loaded["balance_sheet"].first()
+    assert row.x is None and row.y == 1.5          # the "None" token reads as NULL
+    with pytest.raises(AnalysisException):
+        files.load_sources(spark, paths, required=True)
+
+
+def test_scan_directory_coerces_first_column(spark, tmp_path):
+    from finmart.sources import files
+    files.write_csv(spark.createDataFrame([("2020-03-31", 1.0), ("bad", 2.0)], "d string, v double"),
+                    str(tmp_path / "a_cleaned.csv"))
+    tables = files.scan_directory(spark, str(tmp_path))
+    assert list(tables) == ["a_cleaned_raw"]
+    assert sorted(r.d is None for r in tables["a_cleaned_raw"].collect()) == [False, True]
+
+
+def test_gold_roundtrip_overwrites(spark, tmp_path):
+    from finmart.sources import files
+    fact = spark.createDataFrame([(1, 20200101, 1, 4, 1.0), (2, 20210101, 1, 4, 2.0)],
+                                 "fact_price_id int, date_key int, company_key int, "
+                                 "stock_metric_key int, value double")
+    for _ in range(2):
+        files.write_gold(fact, "fact_stock_prices", str(tmp_path))
+    back = files.read_gold(spark, str(tmp_path), ["fact_stock_prices"])["fact_stock_prices"]
+    assert back.count() == 2 and back.columns == fact.columns
+
+
+def test_compare_models_ranks_and_persists(spark, tmp_path):
+    from pyspark.ml.regression import LinearRegression, LinearRegressionModel
+    from finmart.operators import ml
+    from finmart.schemas import FEATURES
+    rows = [tuple(float((i * (j + 3)) % 17) for j in range(len(FEATURES)))
+            + (0.01 * ((i % 7) - 3), "train" if i < 40 else "test") for i in range(50)]
+    df = spark.createDataFrame(rows, ", ".join(f"{c} double" for c in FEATURES)
+                               + ", target double, split string")
+    cands = [("OLS", LinearRegression(featuresCol="features", labelCol="target")),
+             ("Ridge", LinearRegression(featuresCol="features", labelCol="target", regParam=10.0))]
+    ranked, best = ml.compare_models(df, cands, save_path=str(tmp_path / "best"))
+    rows = ranked.orderBy("rank").collect()
+    assert [r.rank for r in rows] == [1, 2] and rows[0].score <= rows[1].score
+    assert LinearRegressionModel.load(str(tmp_path / "best")).coefficients == best.coefficients
+
+
+def test_plot_paths_cut(spark):
+    paths = spark.range(300).select((F.col("id") % 150).alias("sim"))
+    assert scenarios.plot_paths(paths, 100).select("sim").distinct().count() == 100
