@@ -58,3 +58,30 @@ def _dense_index_ranges(df: DataFrame, order_cols: list[Column], name: str, star
             .withColumn(name, (F.coalesce(F.col("_offset"), F.lit(0)) + local_pos + start)
                         .cast(dtype))
             .drop("_part", "_mono", "_offset"))
+
+
+def cumulative_start(df: DataFrame, order: list[Column | str], weight: str,
+                     name: str) -> DataFrame:
+    """Add ``name`` = total ``weight`` of all rows before this one in ``order`` (total).
+
+    The weighted form of ``dense_index``: rows are range-partitioned and sorted,
+    materialised once, and each row's start is its partition's offset (a broadcast
+    table with one row per partition) plus the running weight inside its partition.
+    """
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    order_cols = [F.col(c) if isinstance(c, str) else c for c in order]
+    tagged = (df.repartitionByRange(*order_cols)
+              .sortWithinPartitions(*order_cols)
+              .withColumn("_part", F.spark_partition_id())
+              .withColumn("_mono", F.monotonically_increasing_id())
+              .checkpoint(eager=True))
+    sums = tagged.groupBy("_part").agg(F.sum(weight).alias("_w"))
+    offsets = sums.select("_part", F.sum("_w").over(
+        Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)).alias("_offset"))
+    inside = F.sum(weight).over(Window.partitionBy("_part").orderBy("_mono")
+                                .rowsBetween(Window.unboundedPreceding, -1))
+    return (tagged.join(F.broadcast(offsets), "_part")
+            .withColumn(name, F.coalesce(F.col("_offset"), F.lit(0))
+                        + F.coalesce(inside, F.lit(0)))
+            .drop("_part", "_mono", "_offset"))

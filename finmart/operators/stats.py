@@ -5,38 +5,43 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .keys import dense_index
+from .keys import cumulative_start
 
 
 def exact_quantiles_long(long: DataFrame, group_col: str, value_col: str,
-                         probs: list[float], broadcast_targets: bool = True) -> DataFrame:
+                         probs: list[float]) -> DataFrame:
     """Exact linear-interpolated quantiles of ``value_col`` per ``group_col``.
 
-    Values are range-sorted across the cluster (a random tie-break spreads a hot
-    repeated value over several ranges), numbered densely, and only the one or
-    two rows at each target position are read back. Returns
-    ``(group_col, p, q)``; NULL values are ignored. For p = 0.5 this is the mean
-    of the middle two on even counts, as ``median`` defines it.
+    1. ``(group, value) → count`` is aggregated first (map-side), so a hot repeated
+       value — even a third of all rows — becomes a single row before any shuffle.
+    2. The distinct values are range-sorted across the cluster and each gets the
+       position where its run of copies starts (a weighted cumulative count); the
+       keys are unique, so positions are deterministic under task retries.
+    3. Per group, the one or two positions each quantile needs are joined back on
+       the group key (one small row per group) and the covering values weighted.
+
+    Returns ``(group_col, p, q)``; NULL values are ignored. For p = 0.5 this is the
+    mean of the middle two on even counts, as ``median`` defines it.
     """
-    vals = long.select(group_col, value_col).filter(F.col(value_col).isNotNull())
-    indexed = dense_index(vals.withColumn("_tie", F.rand(17)),
-                          [group_col, value_col, "_tie"], "_gpos", start=0, dtype="long",
-                          small_rows=None)
-    bounds = indexed.groupBy(group_col).agg(F.min("_gpos").alias("_first"),
-                                            F.count(F.lit(1)).alias("_n"))
+    counted = (long.select(group_col, value_col).filter(F.col(value_col).isNotNull())
+               .groupBy(group_col, value_col).agg(F.count(F.lit(1)).alias("_cnt")))
+    runs = cumulative_start(counted, [group_col, value_col], "_cnt", "_start")
+    totals = runs.groupBy(group_col).agg(F.min("_start").alias("_first"),
+                                         F.sum("_cnt").alias("_n"))
     pos = F.col("p") * (F.col("_n") - 1)
     lo, hi = F.floor(pos), F.ceil(pos)
-    targets = (bounds
+    one = F.array(F.struct(F.col("p"), lo.alias("k"), F.lit(1.0).alias("w")))
+    two = F.array(F.struct(F.col("p"), lo.alias("k"), (hi - pos).alias("w")),
+                  F.struct(F.col("p"), hi.alias("k"), (pos - lo).alias("w")))
+    targets = (totals
                .withColumn("p", F.explode(F.array(*[F.lit(float(p)) for p in probs])))
-               .select(group_col, "p", "_first",
-                       F.inline(F.when(lo == hi, F.array(F.struct(lo.alias("k"),
-                                                                  F.lit(1.0).alias("w"))))
-                                .otherwise(F.array(
-                                    F.struct(lo.alias("k"), (hi - pos).alias("w")),
-                                    F.struct(hi.alias("k"), (pos - lo).alias("w")))))))
-    targets = targets.select(group_col, "p", (F.col("_first") + F.col("k")).alias("_gpos"), "w")
-    if broadcast_targets:
-        targets = F.broadcast(targets)
-    picked = indexed.join(targets, [group_col, "_gpos"])
-    return picked.groupBy(group_col, "p").agg(
-        F.sum(F.col("w") * F.col(value_col)).alias("q"))
+               .groupBy(group_col, "_first")
+               .agg(F.flatten(F.collect_list(F.when(lo == hi, one).otherwise(two)))
+                    .alias("_targets")))
+    local = F.col("_start") - F.col("_first")
+    picked = (runs.join(targets, group_col)
+              .select(group_col, value_col, local.alias("_lo"),
+                      (local + F.col("_cnt")).alias("_hi"), F.explode("_targets").alias("t"))
+              .filter((F.col("t.k") >= F.col("_lo")) & (F.col("t.k") < F.col("_hi"))))
+    return picked.groupBy(group_col, F.col("t.p").alias("p")).agg(
+        F.sum(F.col("t.w") * F.col(value_col)).alias("q"))

@@ -438,3 +438,14 @@ def test_compare_models_ranks_and_persists(spark, tmp_path):
 def test_plot_paths_cut(spark):
     paths = spark.range(300).select((F.col("id") % 150).alias("sim"))
     assert scenarios.plot_paths(paths, 100).select("sim").distinct().count() == 100
+
+
+def test_distributed_median_with_hot_value(spark):
+    """A third of the rows share one value; the pre-aggregated pick still matches median."""
+    df = spark.range(0, 3000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(7.0)).otherwise((F.col("id") * 37 % 1000).cast("double"))
+        .alias("x"),
+        F.when(F.col("id") % 5 == 0, F.lit(None)).otherwise(F.col("id").cast("double")).alias("y"))
+    exact = df.agg(F.median("x"), F.median("y")).first()
+    got = clean.column_medians(df, ["x", "y"], "distributed")
+    assert got == {"x": exact[0], "y": exact[1]}
