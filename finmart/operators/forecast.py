@@ -115,6 +115,18 @@ def model_forecast(ctx: DataFrame, model, horizon: int, key: str = "symbol",
     return state.select(key, F.inline("path"))
 
 
+def forecast_with_model(ctx: DataFrame, model, horizon: int, key: str = "symbol") -> DataFrame:
+    """Recursive forecast under a fitted Spark ML model: a linear model's recursion runs
+    in-row with its coefficients as literals; any other model steps ``transform``."""
+    from pyspark.ml.regression import LinearRegressionModel
+
+    if isinstance(model, LinearRegressionModel):
+        from .ml import linear_coefficients
+        coefs, intercept = linear_coefficients(model)
+        return recursive_forecast(ctx, horizon, coefs, intercept, key)
+    return model_forecast(ctx, model, horizon, key)
+
+
 def ols_forecast(ctx_with_coefficients: DataFrame, horizon: int, feature: str = "pct_change",
                  key: str = "symbol") -> DataFrame:
     """Recursive forecast with per-symbol OLS columns ``slope``/``intercept``."""
