@@ -74,6 +74,9 @@ def run_etl(spark: SparkSession, raw: dict[str, DataFrame], silver_path: str | N
             files.write_gold(df, name, gold_path)
         gold = files.read_gold(spark, gold_path)
     if warehouse_db:
+        from ..session import scratch_path
+        location = f"{gold_path.rstrip('/')}/warehouse" if gold_path else scratch_path(spark, "wh")
+        files.create_star_tables(spark, warehouse_db, location)
         for name, df in gold.items():
             files.refresh_table(spark, df, f"{warehouse_db}.{name}", name)
     return gold

@@ -29,7 +29,13 @@ BARS = """bars AS (
          count(*) AS volume, o_orderpriority AS symbol
   FROM orders GROUP BY o_orderpriority, CAST(o_orderdate AS DATE))"""
 
-PRICES = BARS + f""",
+TICK_BARS = """bars AS (
+  SELECT CAST(ts AS DATE) AS date,
+         arg_min(value, ts) AS open, max(value) AS high, min(value) AS low,
+         arg_max(value, ts) AS close, count(*) AS volume, event_type AS symbol
+  FROM events GROUP BY event_type, CAST(ts AS DATE))"""
+
+FEATURES_SQL = f""",
 pf0 AS (SELECT *, last_value(close IGNORE NULLS) OVER ({W}
           ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS ff FROM bars),
 pf1 AS (SELECT date, open, high, low, close, volume, symbol,
@@ -42,6 +48,7 @@ prices AS (SELECT *,
   FROM pf1
   WINDOW w5 AS ({W} ROWS BETWEEN 4 PRECEDING AND CURRENT ROW),
          w20 AS ({W} ROWS BETWEEN 19 PRECEDING AND CURRENT ROW))"""
+PRICES = BARS + FEATURES_SQL
 
 PRICE_ROUND = {"open": R_MONEY, "high": R_MONEY, "low": R_MONEY, "close": R_MONEY,
                "pct_change": R_STAT, "daily_return": R_MONEY,
@@ -400,6 +407,7 @@ def _sql() -> dict[str, str]:
     q: dict[str, str] = {}
     inc_cols = silver_cols("income_statement")
     q["price_features"] = with_prices(f"SELECT {price_select()} FROM prices")
+    q["tick_bar_features"] = f"WITH {TICK_BARS}{FEATURES_SQL}\nSELECT {price_select()} FROM prices"
     wide_sel = ", ".join(r(c, PRICE_ROUND.get(c, R_MONEY)) for c in STOCK_METRICS)
     q["mart_prices_wide"] = with_all(f", {_wide()} SELECT date, {wide_sel}, symbol FROM wide")
 

@@ -18,7 +18,7 @@ from ..schemas import FIN_TYPE_KEY, STATEMENT_ORDER
 from ..session import scratch_path
 from ..sources import files
 from ..functions.numeric import round_sig
-from ..sources.fixtures import raw_prices, raw_statements, read_table
+from ..sources.fixtures import prices_from_events, raw_prices, raw_statements, read_table
 from . import etl
 
 R_MONEY, R_STAT, R_PRICE = 6, 9, 2
@@ -98,6 +98,13 @@ def q_price_features(spark, d):
     return rnd(silver_prices(spark, d), PRICE_ROUND)
 
 
+def q_tick_bar_features(spark, d):
+    """Second bar shape: event ticks rolled up to daily bars, then the same Silver price path
+    (values can be 0, so the zero-divisor guard of pct_change is exercised)."""
+    bars = prices_from_events(read_table(spark, d, "events"))
+    return rnd(etl.silver_prices(bars), PRICE_ROUND)
+
+
 def q_mart_prices_wide(spark, d):
     g = gold(spark, d)
     wide = marts.prices_wide(g["fact_stock_prices"], g["dim_company"], g["dim_date"],
