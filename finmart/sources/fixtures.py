@@ -57,22 +57,16 @@ def _units(c: str, places: int = 2):
     return F.round(F.col(c) * (10 ** places)).cast("long")
 
 
-_SPLIT = 10 ** 6
-
-
 def exact_sum(term, scale: int):
-    """Exact sum of integer ``term`` (units of 10^-scale) as DOUBLE.
+    """Sum of an integer ``term`` (units of 10^-scale) as DOUBLE.
 
-    Each value is split at 10^6 into high and low parts summed as two longs, which
-    cannot overflow for any practical group size, and the two totals are combined
-    once per group in DECIMAL(38) before the single, correctly rounded conversion
-    to DOUBLE. Exact integer sums do not depend on the order partitions are merged.
+    Terms are exact integers (long arithmetic on cent amounts) summed as doubles:
+    integer-valued double sums are exact — hence independent of the order in which
+    partitions are merged — while a group's total stays below 2^53 units, and keep
+    ordinary double accuracy beyond, with no overflow at any size. The one division
+    by the unit at the end is correctly rounded.
     """
-    lo = F.pmod(term, F.lit(_SPLIT))
-    hi = ((term - lo) / _SPLIT).cast("long")
-    total = (F.sum(hi).cast("decimal(38,0)") * F.lit(_SPLIT).cast("decimal(7,0)")
-             + F.sum(lo).cast("decimal(38,0)"))
-    return (total / F.lit(10 ** scale).cast(f"decimal({scale + 1},0)")).cast("double")
+    return F.sum(term.cast("double")) / F.lit(float(10 ** scale))
 
 
 def quarterly_ledger(lineitem: DataFrame, orders: DataFrame, part: DataFrame) -> DataFrame:
@@ -80,7 +74,7 @@ def quarterly_ledger(lineitem: DataFrame, orders: DataFrame, part: DataFrame) ->
 
     Each statement is a projection of this one aggregate, so a plan that uses all
     three statements shuffles line items once (the exchange is reused). Amounts
-    are summed exactly in integer units (cents and their products), independent of
+    are integer unit counts (cents and their products) summed exactly, independent of
     summation order, and exposed as DOUBLE, the warehouse's amount type.
     """
     ep, disc, tax = _units("l_extendedprice"), _units("l_discount"), _units("l_tax")
