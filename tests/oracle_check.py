@@ -35,7 +35,7 @@ def norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return "NULL"
-        return repr(float(v)) if v != 0 else "0.0"
+        return repr(float(v))   # strict: -0.0 and 0.0 hash differently
     if isinstance(v, dt.datetime):
         return v.isoformat()
     if isinstance(v, dt.date):

@@ -1,7 +1,6 @@
 """Unit tests on tiny literal frames: nulls, ties, constants, empty and edge cases."""
 
 import datetime as dt
-import math
 
 import pytest
 from pyspark.sql import functions as F
