@@ -7,7 +7,7 @@ table has one row per partition, so broadcasting it is bounded by the partition
 count, not the data.
 
 The range partitioner samples its bounds per execution, so the tagged rows are
-materialised once (reliable checkpoint) before the two passes that read them.
+materialised once (a table in the checkpoint folder) before the two passes that read them.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
+from ..session import ensure_checkpoint_dir, materialize
 
 
 SMALL_ROWS = 200_000
@@ -46,8 +46,8 @@ def _dense_index_ranges(df: DataFrame, order_cols: list[Column], name: str, star
     tagged = (df.repartitionByRange(*order_cols)
               .sortWithinPartitions(*order_cols)
               .withColumn("_part", F.spark_partition_id())
-              .withColumn("_mono", F.monotonically_increasing_id())
-              .checkpoint(eager=True))
+              .withColumn("_mono", F.monotonically_increasing_id()))
+    tagged = materialize(tagged, "keys")
     counts = tagged.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
     offsets = counts.select(
         "_part",
@@ -74,8 +74,8 @@ def cumulative_start(df: DataFrame, order: list[Column | str], weight: str,
     tagged = (df.repartitionByRange(*order_cols)
               .sortWithinPartitions(*order_cols)
               .withColumn("_part", F.spark_partition_id())
-              .withColumn("_mono", F.monotonically_increasing_id())
-              .checkpoint(eager=True))
+              .withColumn("_mono", F.monotonically_increasing_id()))
+    tagged = materialize(tagged, "runs")
     sums = tagged.groupBy("_part").agg(F.sum(weight).alias("_w"))
     offsets = sums.select("_part", F.sum("_w").over(
         Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)).alias("_offset"))

@@ -69,11 +69,17 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/finmart-{name}-{uuid.uuid4().hex[:12]}"
 
 
-def materialize(df):
-    """Cut lineage at a stage boundary with a reliable checkpoint (never a local one).
+def materialize(df, name: str = "stage"):
+    """Cut lineage at a stage boundary by writing a table into the shared checkpoint folder.
 
     Used where several data-dependent passes (null counts, medians, keys) would
-    otherwise each recompute the upstream scan and shuffle.
+    otherwise each recompute the upstream scan and shuffle. A Parquet write runs the
+    plan once (``Dataset.checkpoint`` computes it twice unless cached), survives
+    executor loss, and the re-read carries file statistics for join planning. The
+    folder is ``spark.checkpoint.dir`` from the session (never a machine-local path
+    on a cluster).
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)   # known schema: no inference job
