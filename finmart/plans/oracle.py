@@ -365,12 +365,13 @@ forecast AS (SELECT symbol, CAST(step AS INTEGER) AS step, date, close AS predic
 
 
 def _normal(day: str) -> str:
-    def u(tag: str) -> str:
-        key = f"concat_ws('|', '{SEED}', p.symbol, CAST(p.sim AS VARCHAR), CAST({day} AS VARCHAR), '{tag}')"
-        return (f"((CAST(CAST(('0x' || substr(md5({key}), 1, 13)) AS BIGINT) AS DOUBLE) "
+    key = f"concat_ws('|', '{SEED}', p.symbol, CAST(p.sim AS VARCHAR), CAST({day} AS VARCHAR))"
+
+    def u(start: int) -> str:
+        return (f"((CAST(CAST(('0x' || substr(md5({key}), {start}, 13)) AS BIGINT) AS DOUBLE) "
                 f"+ CAST(1 AS DOUBLE)) / CAST({2 ** 52 + 1} AS DOUBLE))")
-    return (f"(sqrt(CAST(-2 AS DOUBLE) * ln({u('u1')})) * "
-            f"cos(CAST('{2 * 3.141592653589793!r}' AS DOUBLE) * {u('u2')}))")
+    return (f"(sqrt(CAST(-2 AS DOUBLE) * ln({u(1)})) * "
+            f"cos(CAST('{2 * 3.141592653589793!r}' AS DOUBLE) * {u(14)}))")
 
 
 def _paths() -> str:
