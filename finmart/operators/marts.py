@@ -15,16 +15,27 @@ def _company_keys(dim_company_df: DataFrame, ticker: str) -> DataFrame:
                        .select("company_key"))
 
 
+def _date_key_range(start: str | None, end: str | None):
+    """yyyyMMdd bounds as an integer predicate on ``date_key`` (pushed to the fact scan)."""
+    cond = F.lit(True)
+    if start:
+        cond = cond & (F.col("date_key") >= int(start.replace("-", "")))
+    if end:
+        cond = cond & (F.col("date_key") <= int(end.replace("-", "")))
+    return cond
+
+
 def prices_wide(fact_stock_prices_df: DataFrame, dim_company_df: DataFrame,
                 dim_date_df: DataFrame, dim_stock_metric_df: DataFrame,
-                ticker: str) -> DataFrame:
+                ticker: str, start: str | None = None, end: str | None = None) -> DataFrame:
     """One row per date with a column per stock metric (duplicates averaged).
 
     The ticker lookup is a semi-join, so an unknown ticker yields an empty table
-    without a driver round trip; the pivot always gets the fixed metric list.
+    without a driver round trip; the pivot always gets the fixed metric list. An
+    optional inclusive date range becomes a ``date_key`` predicate on the fact scan.
     """
-    fact = fact_stock_prices_df.join(_company_keys(dim_company_df, ticker), "company_key",
-                                     "left_semi")
+    fact = (fact_stock_prices_df.filter(_date_key_range(start, end))
+            .join(_company_keys(dim_company_df, ticker), "company_key", "left_semi"))
     merged = (fact.join(F.broadcast(dim_date_df.select("date_key", "date")), "date_key")
               .join(F.broadcast(dim_stock_metric_df), "stock_metric_key"))
     wide = merged.groupBy("date").pivot("metric_name", STOCK_METRICS).agg(F.avg("value"))
@@ -82,7 +93,8 @@ def date_bounds(df: DataFrame, by: str | None = None) -> DataFrame:
 
 
 def price_range(wide: DataFrame, start: str, end: str) -> DataFrame:
-    """Candles and volume between two dates, inclusive."""
+    """Candles and volume between two dates, inclusive (on an already built wide mart;
+    ``prices_wide(start=, end=)`` applies the same range at the fact scan)."""
     return (wide.filter(F.col("date").between(F.lit(start).cast("date"), F.lit(end).cast("date")))
             .select("date", "open", "high", "low", "close", "volume")
             .orderBy("date"))

@@ -308,7 +308,10 @@ def _long(spark, d, ticker=TICKER, statement="income_statement"):
 
 
 def q_mart_price_range(spark, d):
-    return rnd(marts.price_range(_wide(spark, d), *RANGE), {**PRICE_ROUND, "volume": R_MONEY})
+    g = gold(spark, d)
+    wide = marts.prices_wide(g["fact_stock_prices"], g["dim_company"], g["dim_date"],
+                             g["dim_stock_metric"], TICKER, *RANGE)
+    return rnd(marts.price_range(wide, *RANGE), {**PRICE_ROUND, "volume": R_MONEY})
 
 
 def q_mart_statement_long(spark, d):
