@@ -219,8 +219,9 @@ def build_star(spark: SparkSession, prices: DataFrame,
                statements: dict[str, DataFrame], land: bool = False) -> dict[str, DataFrame]:
     """All five dimensions and both facts from Silver prices and statements (lazily).
 
-    With ``land`` each data-derived table is checkpointed when first built, so the
-    facts reuse the dimensions and marts read Gold instead of re-deriving it.
+    With ``land`` each data-derived table is written once when first built, so the
+    facts reuse the dimensions and marts read Gold instead of re-deriving it; an empty
+    date or company dimension then raises, as a load with no valid keys must.
     """
     from ..session import materialize
 
@@ -229,7 +230,13 @@ def build_star(spark: SparkSession, prices: DataFrame,
     landed = {"dim_date", "dim_company", "fact_finance", "fact_stock_prices"}
 
     def maybe_land(name, build):
-        return (lambda: materialize(build())) if land and name in landed else build
+        def landed_build():
+            df = materialize(build(), name)
+            if name in ("dim_date", "dim_company") and df.isEmpty():
+                raise ValueError(f"{name} is empty: no valid "
+                                 f"{'dates' if name == 'dim_date' else 'company symbols'}")
+            return df
+        return landed_build if land and name in landed else build
 
     builders = {
         "dim_date": lambda: dim_date(prices, *stmts),

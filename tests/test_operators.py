@@ -448,3 +448,13 @@ def test_distributed_median_with_hot_value(spark):
     exact = df.agg(F.median("x"), F.median("y")).first()
     got = clean.column_medians(df, ["x", "y"], "distributed")
     assert got == {"x": exact[0], "y": exact[1]}
+
+
+def test_empty_dimensions_raise_when_landed(spark):
+    empty = spark.createDataFrame([], "symbol string, date date, totalassets double")
+    prices = spark.createDataFrame([], "symbol string, date date, close double")
+    g = star.build_star(spark, prices, {"balance_sheet": empty}, land=True)
+    with pytest.raises(ValueError):
+        g["dim_date"]
+    with pytest.raises(ValueError):
+        g["dim_company"]
