@@ -215,10 +215,13 @@ class LazyTables(dict):
         return [self[k] for k in self._builders]
 
 
-def build_star(spark: SparkSession, prices: DataFrame,
+def build_star(spark: SparkSession, prices: DataFrame | None,
                statements: dict[str, DataFrame], land: bool = False) -> dict[str, DataFrame]:
     """All five dimensions and both facts from Silver prices and statements (lazily).
 
+    Without prices (a source skipped by a tolerant load) the date dimension comes from
+    the statements alone and the price fact is left out, so only dependants are skipped.
+
     With ``land`` each data-derived table is written once when first built, so the
     facts reuse the dimensions and marts read Gold instead of re-deriving it; an empty
     date or company dimension then raises, as a load with no valid keys must.
@@ -226,6 +229,7 @@ def build_star(spark: SparkSession, prices: DataFrame,
     from ..session import materialize
 
     stmts = [statements[n] for n in STATEMENT_ORDER if n in statements]
+    dated = ([prices] if prices is not None else []) + stmts
     t: LazyTables
     landed = {"dim_date", "dim_company", "fact_finance", "fact_stock_prices"}
 
@@ -239,15 +243,16 @@ def build_star(spark: SparkSession, prices: DataFrame,
         return landed_build if land and name in landed else build
 
     builders = {
-        "dim_date": lambda: dim_date(prices, *stmts),
+        "dim_date": lambda: dim_date(*dated),
         "dim_company": lambda: dim_company(statements),
         "dim_fin_metric": lambda: dim_fin_metric(spark, statements),
         "dim_fin_statement_type": lambda: dim_fin_statement_type(spark),
         "dim_stock_metric": lambda: dim_stock_metric(spark),
         "fact_finance": lambda: fact_finance(statements, t["dim_company"],
                                              t["dim_fin_metric"], t["dim_date"]),
-        "fact_stock_prices": lambda: fact_stock_prices(prices, t["dim_company"],
-                                                       t["dim_date"]),
     }
+    if prices is not None:
+        builders["fact_stock_prices"] = lambda: fact_stock_prices(prices, t["dim_company"],
+                                                                  t["dim_date"])
     t = LazyTables({k: maybe_land(k, b) for k, b in builders.items()})
     return t

@@ -50,7 +50,7 @@ def silver_layer(raw: dict[str, DataFrame], median_method: str = "auto",
 def gold_layer(spark: SparkSession, silver: dict[str, DataFrame],
                prices: DataFrame | None = None, land: bool = False) -> dict[str, DataFrame]:
     statements = {n: silver[n] for n in STATEMENT_ORDER if n in silver}
-    return star.build_star(spark, prices if prices is not None else silver["prices"],
+    return star.build_star(spark, prices if prices is not None else silver.get("prices"),
                            statements, land)
 
 
