@@ -42,3 +42,21 @@ def test_run_etl_without_prices_skips_only_dependants(spark):
     gold = etl.run_etl(spark, raw)
     assert "fact_stock_prices" not in gold
     assert gold["dim_date"].count() == 28 and gold["fact_finance"].count() > 0
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="driver tables not present")
+def test_user_entry_points(spark):
+    from finmart.plans import api
+    from finmart.sources.fixtures import raw_prices
+    prices = etl.silver_prices(raw_prices(spark, SF))
+    basic = api.run_prediction(spark, prices, horizon=5)
+    assert basic["forecast"].count() == 25 and basic["recommendation"].count() == 5
+    mc = api.run_prediction(spark, prices, horizon=5, num_sims=50)
+    assert mc["paths"].count() == 5 * 50 * 5 and mc["bands"].count() == 25
+    assert {r.status for r in mc["recommendation"].collect()} <= {
+        "UP_STRONG", "UP_MODERATE", "UP_SLIGHT", "FLAT", "DOWN_SLIGHT", "DOWN_MODERATE",
+        "DOWN_STRONG"}
+    gold = etl.gold_layer(spark, etl.silver_statements(raw_sources(spark, SF)), prices)
+    assert api.stock_frame(gold, "1-URGENT", "1996-01-01", "1996-12-31").count() > 0
+    assert api.stock_frame(gold, "NOPE").count() == 0
+    assert api.financial_frame(gold, "1-URGENT", 2).select("metric_name").distinct().count() == 6
