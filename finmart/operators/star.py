@@ -229,7 +229,8 @@ def build_star(spark: SparkSession, prices: DataFrame | None,
     from ..session import materialize
 
     stmts = [statements[n] for n in STATEMENT_ORDER if n in statements]
-    dated = ([prices] if prices is not None else []) + stmts
+    # prices may be given as a zero-argument builder, run only if a table needs it
+    get_prices = prices if callable(prices) else (lambda: prices)
     t: LazyTables
     landed = {"dim_date", "dim_company", "fact_finance", "fact_stock_prices"}
 
@@ -243,7 +244,7 @@ def build_star(spark: SparkSession, prices: DataFrame | None,
         return landed_build if land and name in landed else build
 
     builders = {
-        "dim_date": lambda: dim_date(*dated),
+        "dim_date": lambda: dim_date(*[p for p in [get_prices()] if p is not None], *stmts),
         "dim_company": lambda: dim_company(statements),
         "dim_fin_metric": lambda: dim_fin_metric(spark, statements),
         "dim_fin_statement_type": lambda: dim_fin_statement_type(spark),
@@ -252,7 +253,7 @@ def build_star(spark: SparkSession, prices: DataFrame | None,
                                              t["dim_fin_metric"], t["dim_date"]),
     }
     if prices is not None:
-        builders["fact_stock_prices"] = lambda: fact_stock_prices(prices, t["dim_company"],
+        builders["fact_stock_prices"] = lambda: fact_stock_prices(get_prices(), t["dim_company"],
                                                                   t["dim_date"])
     t = LazyTables({k: maybe_land(k, b) for k, b in builders.items()})
     return t

@@ -71,7 +71,12 @@ def silver_statements(spark, d) -> dict[str, DataFrame]:
 def gold(spark, d) -> dict[str, DataFrame]:
     """Gold tables over Silver landed once (the ETL's Silver → Gold boundary)."""
     silver = etl.silver_statements(raw_statements(spark, d), land=True)
-    prices = etl.silver_prices(raw_prices(spark, d), land=True)
+    landed = {}
+
+    def prices():   # landed on first use only (dim_company/dim_fin_metric never need it)
+        if "p" not in landed:
+            landed["p"] = etl.silver_prices(raw_prices(spark, d), land=True)
+        return landed["p"]
     return etl.gold_layer(spark, silver, prices, land=True)
 
 
