@@ -15,8 +15,8 @@ import pytest
 from oracle_check import compare
 
 SF = "/root/testdata/sf0.01"
-DEFAULT_KEYS = ["price_features", "statement_clean", "null_profile", "cleaning_report",
-                "dim_company", "star_fact_finance", "dq_foreign_keys", "mart_prices_wide",
+DEFAULT_KEYS = ["price_features", "tick_bar_features", "statement_clean", "null_profile", "cleaning_report",
+                "dim_company", "star_fact_finance", "dq_foreign_keys", "mart_prices_wide", "mart_price_range",
                 "mart_statement_matrix", "correlation_matrix", "model_ranking",
                 "recursive_forecast", "scenario_bands", "recommend_scenario"]
 
