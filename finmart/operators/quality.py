@@ -28,16 +28,32 @@ def primary_key_report(tables: dict[str, DataFrame],
 
 
 def foreign_key_report(tables: dict[str, DataFrame], relations=FOREIGN_KEYS) -> DataFrame:
-    """(child, column, parent, orphan_rows): child rows whose key has no parent row."""
+    """(child, column, parent, orphan_rows): child rows whose key has no parent row.
+
+    Each child table is scanned once: every parent key set (deduplicated, so a join
+    never multiplies rows) is left-joined with a match flag, and one aggregate counts
+    the unmatched rows per relation. A NULL key has no parent, as with NOT EXISTS.
+    """
+    by_child: dict[str, list] = {}
+    for rel in relations:
+        child, _, parent, _ = rel
+        if child in tables and parent in tables:
+            by_child.setdefault(child, []).append(rel)
     out = None
-    for child, ccol, parent, pcol in relations:
-        if child not in tables or parent not in tables:
-            continue
-        parents = tables[parent].select(F.col(pcol).alias(ccol)).distinct()
-        orphans = tables[child].select(ccol).join(parents, ccol, "left_anti")
-        rep = orphans.agg(F.count(F.lit(1)).cast("long").alias("orphan_rows")).select(
-            F.lit(child).alias("child_table"), F.lit(ccol).alias("child_column"),
-            F.lit(parent).alias("parent_table"), "orphan_rows")
+    for child, rels in by_child.items():
+        df = tables[child].select(*dict.fromkeys(ccol for _, ccol, _, _ in rels))
+        for i, (_, ccol, parent, pcol) in enumerate(rels):
+            keys = (tables[parent].select(F.col(pcol).alias(ccol)).distinct()
+                    .withColumn(f"_m{i}", F.lit(True)))
+            df = df.join(keys, ccol, "left")
+        counts = df.agg(*[F.count_if(F.col(f"_m{i}").isNull()).cast("long").alias(f"_o{i}")
+                          for i in range(len(rels))])
+        rows = F.array(*[F.struct(F.lit(child).alias("child_table"),
+                                  F.lit(ccol).alias("child_column"),
+                                  F.lit(parent).alias("parent_table"),
+                                  F.col(f"_o{i}").alias("orphan_rows"))
+                         for i, (_, ccol, parent, _) in enumerate(rels)])
+        rep = counts.select(F.inline(rows))
         out = rep if out is None else out.unionByName(rep)
     return out
 
