@@ -11,7 +11,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.numeric import pct_change as _pct
-from ..schemas import FEATURES
 
 
 def series_window(key: str = "symbol") -> Window:
@@ -62,7 +61,3 @@ def latest_rows(df: DataFrame, n: int = 1, key: str = "symbol") -> DataFrame:
     w = Window.partitionBy(key).orderBy(F.col("date").desc_nulls_last())
     return df.withColumn("rank_from_end", F.row_number().over(w)).filter(
         F.col("rank_from_end") <= n)
-
-
-def feature_vector_columns() -> list[str]:
-    return list(FEATURES)

@@ -259,18 +259,15 @@ def q_seed_missing_rows(spark, d):
 
 
 def _gold_with_gap(spark, d):
-    g = gold(spark, d)
-    g = dict(g)
+    """Gold with weekend dates removed from dim_date, so weekend facts become orphans."""
+    g = dict(gold(spark, d).items())
     g["dim_date"] = g["dim_date"].filter(~F.col("is_weekend"))
     return g
 
 
 def q_dq_primary_keys(spark, d):
-    g = gold(spark, d)
-    tables = dict(g)
-    tables["lineitem"] = read_table(spark, d, "lineitem")
-    keys = {**{k: v for k, v in quality.PRIMARY_KEYS.items()},
-            "lineitem": ["l_orderkey", "l_linenumber"]}
+    tables = {**dict(gold(spark, d).items()), "lineitem": read_table(spark, d, "lineitem")}
+    keys = {**quality.PRIMARY_KEYS, "lineitem": ["l_orderkey", "l_linenumber"]}
     return quality.primary_key_report(tables, keys)
 
 
