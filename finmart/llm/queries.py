@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, jaccard, packing, sharding
+from . import bpe, exact_dedup, jaccard, packing, quality, sharding, toxicity
 from .common import table
 
 
@@ -20,11 +20,21 @@ def pattern() -> str:
     return public_tokenizers.PATTERN
 
 
+def op1_pu_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality.score_documents(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
+
+
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"),
                        tokenizer_file("byte_bpe_50k.tiktoken"), pattern())
 
 
+def op6_toxicity_fm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score_documents(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
 def op7_rendezvous(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"), shards=24)
 
@@ -44,8 +54,9 @@ def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_components(table(spark, sf_dir, "documents"), n=3, percent=90)
 
 
-QUERIES = {f.__name__: f for f in (op3_bpe, op7_rendezvous, op8_exact_dedup, op9_best_fit,
-                                   op10_ngram_jaccard)}
+QUERIES = {f.__name__: f for f in (
+    op1_pu_quality, op3_bpe, op6_toxicity_fm, op7_rendezvous, op8_exact_dedup, op9_best_fit,
+    op10_ngram_jaccard)}
 
 #: DuckDB SQL of the queries that SQL can express on whole tables.
 ORACLE: dict[str, str] = {}
