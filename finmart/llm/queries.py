@@ -6,7 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, jaccard, packing, quality, sharding, toxicity
+from ..session import scratch_path
+from . import bpe, exact_dedup, jaccard, lm, packing, quality, sharding, toxicity, warc
 from .common import table
 
 
@@ -30,6 +31,15 @@ def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                        tokenizer_file("byte_bpe_50k.tiktoken"), pattern())
 
 
+def op4_log_bilinear(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score_documents(table(spark, sf_dir, "documents"))
+
+
+def op5_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive_and_read(table(spark, sf_dir, "pages"), scratch_path(spark, "llm-warc"),
+                                 min_bytes=0)
+
+
 def op6_toxicity_fm(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return toxicity.score_documents(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
@@ -55,7 +65,7 @@ def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_pu_quality, op3_bpe, op6_toxicity_fm, op7_rendezvous, op8_exact_dedup, op9_best_fit,
+    op1_pu_quality, op3_bpe, op4_log_bilinear, op5_warc_index, op6_toxicity_fm, op7_rendezvous, op8_exact_dedup, op9_best_fit,
     op10_ngram_jaccard)}
 
 #: DuckDB SQL of the queries that SQL can express on whole tables.

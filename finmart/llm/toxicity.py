@@ -126,7 +126,7 @@ def select_terms(rows: list[np.ndarray], y: np.ndarray) -> np.ndarray:
     return best[g[best] >= EVIDENCE]
 
 
-def train(rows: list[np.ndarray], y: np.ndarray, epochs: int = 25, rate: float = 0.02,
+def train(rows: list[np.ndarray], y: np.ndarray, steps: int = 900, rate: float = 0.02,
           decay: float = 1e-4, batch: int = 256, seed: int = 3) -> Machine:
     """Adam on the logistic loss over mini-batches of term rows."""
     chosen = select_terms(rows, y)
@@ -142,7 +142,7 @@ def train(rows: list[np.ndarray], y: np.ndarray, epochs: int = 25, rate: float =
     m = {k: np.zeros_like(a) for k, a in p.items()}
     q = {k: np.zeros_like(a) for k, a in p.items()}
     t = 0
-    for _ in range(epochs if len(chosen) else 0):
+    while t < steps and len(chosen):
         order = rng.permutation(len(rows))
         for i in range(0, len(order), batch):
             pick, t = order[i:i + batch], t + 1
