@@ -12,14 +12,15 @@ from __future__ import annotations
 
 import base64
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Distinct chunks and pre-tokens that a Python worker remembers before it starts afresh.
-CACHE_ENTRIES = 400_000
+#: Distinct chunks and pre-tokens that a Python worker remembers (some 200 bytes each).
+CACHE_ENTRIES = 800_000
 
 
 def byte_alphabet() -> list[str]:
@@ -64,12 +65,13 @@ def serialise_model(tokens: list[bytes]) -> bytes:
 
 
 class ChunkCache(dict):
-    """Ids (packed bytes) of text chunks; ``pre_tokens`` says how a chunk is cut.
+    """Ids (packed bytes) of text chunks.
 
-    A text is first cut at single spaces between other characters, where no match of the
-    pattern can cross, so that one dictionary look-up serves a whole word with its punctuation.
-    A chunk that starts or ends with white space (the cut was next to a longer run) is unsafe;
-    its text is then cut by the pattern as a whole.
+    A text is first cut at its single spaces. Between two other characters no match of the
+    pattern crosses such a cut, so one look-up serves a whole word with its punctuation; the key
+    of a chunk is the text after the space (the first chunk of a text, which has none, is encoded
+    by itself). An empty chunk or one that begins or ends with white space lay beside a longer
+    run: it is remembered as None, and its text is cut by the pattern as a whole.
     """
 
     def __init__(self, pattern: str, encode_new):
@@ -77,57 +79,64 @@ class ChunkCache(dict):
 
         super().__init__()
         self.find = regex.compile(pattern).findall
-        self.encode_new = encode_new   # list of pre-tokens -> list of packed ids
-        self.pieces: dict[str, bytes] = {}
-
-    def pre_tokens(self, chunk: str) -> list[str]:
-        body = chunk[1:] if chunk[:1] == " " else chunk
-        if body.isalpha():
-            return [chunk]
-        if body[-1:] in ".," and body[:-1].isalpha():
-            return [chunk[:-1], chunk[-1]]
-        return self.find(chunk)
-
-    def learn(self, chunks: set[str]) -> None:
-        """Encode chunks that are not known yet; unsafe ones are remembered as None."""
-        cut = {}
+        self.encode_new = encode_new        # list of pre-tokens -> list of packed ids
+        self.pieces: dict[str, bytes] = {}  # pre-tokens that are no word after a space
+
+    def _learn(self, chunks: set[str]) -> None:
+        """Encode new chunks. A word before one stop or comma shares the entry of the bare word."""
+        bare, stopped, other = [], [], []
         for c in chunks:
-            body = c[1:] if c[:1] == " " else c
-            safe = body and not body[0].isspace() and not body[-1].isspace()
-            cut[c] = self.pre_tokens(c) if safe else None
-        self._learn_pieces({p for ps in cut.values() if ps for p in ps})
+            if c.isalpha():
+                bare.append(c)
+            elif not c or c[0].isspace() or c[-1].isspace():
+                self[c] = None
+            elif c[-1] in ".," and c[:-1].isalpha():
+                stopped.append(c)
+            else:
+                other.append((c, self.find(" " + c)))
+        bare += {c[:-1] for c in stopped}.difference(self).difference(bare)
+        self.update(zip(bare, self.encode_new([" " + w for w in bare])))
+        self._learn_pieces({".", ",", *(p for _, ps in other for p in ps)})
         at = self.pieces.__getitem__
-        self.update((c, None if ps is None else at(ps[0]) if len(ps) == 1 else b"".join(map(at, ps)))
-                    for c, ps in cut.items())
+        self.update((c, self[c[:-1]] + at(c[-1])) for c in stopped)
+        self.update((c, b"".join(map(at, ps))) for c, ps in other)
 
     def _learn_pieces(self, wanted: set[str]) -> None:
         new = [p for p in wanted if p not in self.pieces]
         if new:
             self.pieces.update(zip(new, self.encode_new(new)))
 
+    def _shrink(self) -> None:
+        """Keep the entries that came first: frequent words come early."""
+        for cache in (self, self.pieces):
+            if len(cache) > CACHE_ENTRIES:
+                old = dict(islice(cache.items(), CACHE_ENTRIES // 2))
+                cache.clear()
+                cache.update(old)
+
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        if len(self) + len(self.pieces) > CACHE_ENTRIES:
-            self.clear()
-            self.pieces.clear()
-        cut, new = [], set()
-        for t in texts:
-            chunks = t.split(" ") if t else []
-            if chunks:   # all but the first are preceded by the space they were cut at
-                chunks[1:] = [" " + c for c in chunks[1:]]
-            cut.append(chunks)
+        self._shrink()
+        cut = [t.split(" ") if t else [] for t in texts]
+        new: set[str] = set()
+        for chunks in cut:
             new.update(chunks)
-        new.difference_update(self.keys())
-        self.learn(new)
+        self._learn(new.difference(self))
         out, at = [], self.__getitem__
         for t, chunks in zip(texts, cut):
             try:
-                out.append(b"".join(map(at, chunks)))
-            except TypeError:   # an unsafe chunk
-                whole = self.find(t)
-                self._learn_pieces(set(whole))
-                out.append(b"".join(map(self.pieces.__getitem__, whole)))
+                rest = b"".join(map(at, chunks[1:]))
+                if not chunks or at(chunks[0]) is None:
+                    raise TypeError
+                out.append(self._whole(chunks[0]) + rest)
+            except TypeError:   # nothing, or an unsafe chunk
+                out.append(self._whole(t) if t else b"")
         return out
 
+    def _whole(self, text: str) -> bytes:
+        found = self.find(text)
+        self._learn_pieces(set(found))
+        return b"".join(map(self.pieces.__getitem__, found))
+
 
 class Codec:
     """Encoder and decoder of one rank file; built once per Python worker."""
