@@ -4,16 +4,27 @@ from __future__ import annotations
 
 import os
 import pathlib
+from collections.abc import Callable, Iterator
 
-from pyspark.sql import DataFrame, SparkSession
+import numpy as np
+import pandas as pd
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import materialize
 
 
+_CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: Bytes of an Arrow batch on the way to Python, whatever the number of rows: texts vary in length.
+ARROW_BYTES = "16m"
+
+
 def ship(spark: SparkSession) -> None:
     """Let the session's Python workers import this package from where it is installed (they need
-    not share the driver's working folder). A cluster without it takes it by ``--py-files``."""
+    not share the driver's working folder), and bound their batches by bytes. A cluster without
+    the package takes it by ``--py-files``."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", ARROW_BYTES)
     env = spark.sparkContext.environment
     top = str(pathlib.Path(__file__).resolve().parents[2])
     paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
@@ -30,7 +41,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def land(df: DataFrame, name: str) -> DataFrame:
     """Write a stage into the shared checkpoint folder and read it back: lineage is cut, the
     stage runs once, and a lost executor costs a re-read of files instead of a re-run."""
-    return materialize(df, f"llm-{name}")
+    conf, before = df.sparkSession.conf, df.sparkSession.conf.get(_CLEAN_UP)
+    conf.set(_CLEAN_UP, "true")   # the plan is not run again: its shuffle files may go at once
+    try:
+        return materialize(df, f"llm-{name}")
+    finally:
+        conf.set(_CLEAN_UP, before)
 
 
 def text_or_empty(name: str = "text"):
@@ -55,6 +71,53 @@ def few(df: DataFrame, id_col: str, want: int, seed: int) -> DataFrame:
     return df.filter(F.pmod(F.xxhash64(F.col(id_col), F.lit(seed)), F.lit(scale)) < cut)
 
 
+#: Bits of a key filter at most (16 MB); beyond it the filter only lets more rows through.
+MOST_BITS = 1 << 27
+_BLOCK_BITS = 1 << 19
+
+
+def maybe_in(keys: DataFrame, column: str) -> Callable[[Column], Column]:
+    """A predicate that is true for every value of ``keys[column]`` and for few others (a Bloom
+    filter of some ten bits a key). It thins out rows with long texts before an exact step; it
+    decides nothing by itself. The bits are set on the executors, block by block."""
+    spark = keys.sparkSession
+    bits = 1 << 16
+    while bits < min(MOST_BITS, 10 * keys.count()):
+        bits <<= 1
+
+    def places(c: Column) -> list[Column]:
+        return [F.pmod(F.xxhash64(c, F.lit(k)), F.lit(bits)) for k in (1, 2)]
+
+    def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        blocks: dict[int, np.ndarray] = {}
+        for rows in batches:
+            at = rows.column(0).to_numpy()
+            for b in np.unique(at // _BLOCK_BITS).tolist():
+                block = blocks.setdefault(b, np.zeros(_BLOCK_BITS, bool))
+                block[at[at // _BLOCK_BITS == b] % _BLOCK_BITS] = True
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(list(blocks), pa.int64()),
+             pa.array([np.packbits(x).tobytes() for x in blocks.values()], pa.binary())],
+            names=["block", "bits"])
+
+    at = keys.select(F.explode(F.array(*places(F.col(column)))).alias("at"))
+    made = at.repartition(F.floor(F.col("at") / _BLOCK_BITS)).mapInArrow(fill, "block long, bits binary")
+    table = np.zeros(max(bits, _BLOCK_BITS), bool)
+    for r in made.collect():
+        start = r.block * _BLOCK_BITS
+        table[start:start + _BLOCK_BITS] = np.unpackbits(np.frombuffer(bytes(r.bits), np.uint8))
+    shared = spark.sparkContext.broadcast(np.packbits(table))
+
+    @F.pandas_udf("boolean")
+    def maybe(a: pd.Series, b: pd.Series) -> pd.Series:
+        out = np.ones(len(a), bool)
+        for x in (a.to_numpy(), b.to_numpy()):
+            out &= (shared.value[x >> 3] >> (7 - (x & 7)) & 1).astype(bool)
+        return pd.Series(out)
+
+    return lambda c: maybe(*places(c))
+
+
 def _star(pairs: DataFrame, large: bool) -> DataFrame:
     """One half-step of the alternating star contraction over (u, v) pairs with u > v."""
     if large:

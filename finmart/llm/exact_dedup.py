@@ -5,8 +5,8 @@ and where the bytes are. A Structured Streaming aggregation keeps, for every dig
 the largest id, its locator and the number of rows, in a disk-backed (RocksDB) state store and
 without a watermark, so nothing expires. Partial aggregation runs before the shuffle: a text that
 makes up a third of all rows reaches its state partition as one row a task. Texts never enter the
-stream or its state. On a hit (a digest seen more than once) the full bytes at the locator are
-read and compared; rows whose digest matches but whose bytes differ are grouped again by their
+stream or its state. On a hit (a digest seen more than once) the full bytes of
+its rows are read where the locators point and compared; rows whose digest matches but whose bytes differ are grouped again by their
 whole text, so a collision loses nothing.
 
 A null text counts as empty. Repeated ids are rows of their own: a group's ``keep_id`` is its
@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from .common import land, text_or_empty
+from .common import land, maybe_in, text_or_empty
 
 _PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 _ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -81,7 +81,6 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """
     spark = docs.sparkSession
     digest = F.sha2(text_or_empty(text_col), 256) if digest is None else digest
-    locator = F.lit("") if locator is None else locator
     prints = fingerprints(docs, id_col, text_col, digest, locator)
     feed, out = scratch_path(spark, "llm-feed"), scratch_path(spark, "llm-state-rows")
     prints.write.parquet(feed)
@@ -95,7 +94,7 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                            "digest")
     groups = land(latest(spark, out), "groups")
     texts = docs.select(F.col(id_col).alias("id"), digest.alias("digest"),
-                        locator.alias("locator"), text_or_empty(text_col).alias("text"))
+                        text_or_empty(text_col).alias("text"))
     odd = land(_unequal(texts, groups.filter("group_size > 1")), "collisions")
     placed = rows.drop("locator").join(groups.drop("locator"), "digest")
     if not odd.isEmpty():
@@ -110,16 +109,15 @@ def _written(spark: SparkSession, path: str) -> bool:
 
 
 def _unequal(texts: DataFrame, hits: DataFrame) -> DataFrame:
-    """Digests whose rows do not all have the bytes found at the retained locator.
+    """Digests whose rows do not all have the same bytes.
 
-    Only rows of digests with a hit carry their text here; the retained bytes are compared with
-    each of them by an equi-join on the digest, which AQE splits when one group is very large.
+    Only rows whose digest has a hit (and a few that a key filter lets through) carry their text
+    here. The smallest and the largest text of a digest are equal just when all are; both are
+    reduced in each task before the shuffle, so a very large group is no large partition.
     """
-    kept = F.col("id").eqNullSafe(F.col("keep_id")) & (F.col("locator") == F.col("at"))
-    copies = texts.join(hits.select("digest", "keep_id", F.col("locator").alias("at")), "digest")
-    retained = copies.filter(kept).groupBy("digest").agg(F.min("text").alias("kept_text"))
-    return (copies.join(retained, "digest").filter(F.col("text") != F.col("kept_text"))
-            .select("digest").distinct())
+    suspects = texts.filter(maybe_in(hits, "digest")(F.col("digest")))
+    return (suspects.groupBy("digest").agg(F.min("text").alias("least"), F.max("text").alias("most"))
+            .filter("least <> most").select("digest"))
 
 
 def _regroup(texts: DataFrame, placed: DataFrame, odd: DataFrame) -> DataFrame:

@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .bpe import slices
-from .common import components, land, text_or_empty
+from .common import components, land, maybe_in, text_or_empty
 
 #: Counters of the frequency table (4 bytes each): a fixed size, whatever the corpus.
 COUNTERS = 1 << 20
@@ -257,15 +257,15 @@ def near_components(docs: DataFrame, n: int = 3, percent: int = 90, id_col: str
                    "classes")
 
     prefix = land(prefixes(texts, n, percent, table), "prefix")
-    some = prefix.groupBy("gram").agg(F.min("key").alias("k0"), F.max("key").alias("k1"),
-                                      F.min("n").alias("n0"), F.max("n").alias("n1")) \
-        .filter("k0 <> k1 or n0 <> n1").select("gram")
+    some = prefix.groupBy("gram").agg(F.min("key").alias("k0"), F.max("key").alias("k1")) \
+        .filter("k0 <> k1").select("gram")
     held = prefix.join(some, "gram").groupBy("gram", "key", "n").agg(F.min("pos").alias("pos"))
     held = land(held.join(classes, ["key", "n"]).filter("rep is not null")
                 .select("gram", F.col("rep").alias("id"), "n", "pos"), "held")
 
     wanted = land(held.select("id").distinct(), "wanted")
-    sets = land(class_sets(texts.join(wanted, texts.doc_id == wanted.id, "left_semi"),
+    near = texts.filter(maybe_in(wanted, "id")(F.col("doc_id")))   # few others' texts are dealt
+    sets = land(class_sets(near.join(wanted, near.doc_id == wanted.id, "left_semi"),
                            n, percent, table), "sets")
     slim = sets.select("id", "ranges")
 

@@ -127,7 +127,8 @@ def select_terms(rows: list[np.ndarray], y: np.ndarray) -> np.ndarray:
 
 
 def train(rows: list[np.ndarray], y: np.ndarray, steps: int = 900, rate: float = 0.02,
-          decay: float = 1e-4, batch: int = 256, seed: int = 3) -> Machine:
+          decay: float = 1e-4, pair_decay: float = 1e-3, scale: float = 0.01,
+          heavier: float = 4.0, batch: int = 256, seed: int = 3) -> Machine:
     """Adam on the logistic loss over mini-batches of term rows."""
     chosen = select_terms(rows, y)
     place = np.full(BUCKETS, -1, np.int32)
@@ -138,7 +139,7 @@ def train(rows: list[np.ndarray], y: np.ndarray, steps: int = 900, rate: float =
         x[i, at[at >= 0]] = True
     rng = np.random.default_rng(seed)
     p = {"w0": np.zeros(1), "w": np.zeros(len(chosen)),
-         "v": rng.normal(0, 0.05, (len(chosen), FACTORS))}
+         "v": rng.normal(0, scale, (len(chosen), FACTORS))}
     m = {k: np.zeros_like(a) for k, a in p.items()}
     q = {k: np.zeros_like(a) for k, a in p.items()}
     t = 0
@@ -150,9 +151,10 @@ def train(rows: list[np.ndarray], y: np.ndarray, steps: int = 900, rate: float =
             s = xb @ p["v"]
             f = p["w0"] + xb @ p["w"] + 0.5 * ((s * s).sum(1) - xb @ (p["v"] ** 2).sum(1))
             d = (1 / (1 + np.exp(-np.clip(f, -500, 500))) - y[pick]) / len(pick)
+            d *= np.where(y[pick] == 1, heavier, 1.0)
             xd = xb.T @ d
             grad = {"w0": np.array([d.sum()]), "w": xd + decay * p["w"],
-                    "v": xb.T @ (d[:, None] * s) - xd[:, None] * p["v"] + decay * p["v"]}
+                    "v": xb.T @ (d[:, None] * s) - xd[:, None] * p["v"] + pair_decay * p["v"]}
             for k, g in grad.items():
                 m[k], q[k] = 0.9 * m[k] + 0.1 * g, 0.999 * q[k] + 0.001 * g * g
                 p[k] = p[k] - rate * (m[k] / (1 - 0.9 ** t)) / (np.sqrt(q[k] / (1 - 0.999 ** t)) + 1e-8)
