@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import bpe, exact_dedup, jaccard, lm, packing, quality, sharding, toxicity, warc
+from . import bpe, exact_dedup, graph_dedup, jaccard, lm, packing, quality, sharding, toxicity, warc
 from .common import table
 
 
@@ -26,6 +26,10 @@ def op1_pu_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_documents(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
 
 
+def op2_graph_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return graph_dedup.near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.98)
+
+
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"),
                        tokenizer_file("byte_bpe_50k.tiktoken"), pattern())
@@ -65,7 +69,7 @@ def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_pu_quality, op3_bpe, op4_log_bilinear, op5_warc_index, op6_toxicity_fm, op7_rendezvous, op8_exact_dedup, op9_best_fit,
+    op1_pu_quality, op2_graph_dedup, op3_bpe, op4_log_bilinear, op5_warc_index, op6_toxicity_fm, op7_rendezvous, op8_exact_dedup, op9_best_fit,
     op10_ngram_jaccard)}
 
 #: DuckDB SQL of the queries that SQL can express on whole tables.
