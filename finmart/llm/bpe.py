@@ -16,11 +16,12 @@ from itertools import islice
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Distinct chunks and pre-tokens that a Python worker remembers (some 200 bytes each).
-CACHE_ENTRIES = 800_000
+CACHE_ENTRIES = 500_000
 
 
 def byte_alphabet() -> list[str]:
@@ -180,7 +181,7 @@ def _ids(packed: bytes | None) -> list[int]:
 
 
 #: Texts are worked on in slices of about this many characters, whatever Arrow's batch holds.
-SLICE_CHARS = 4_000_000
+SLICE_CHARS = 2_000_000
 
 
 def slices(texts: list) -> Iterator[list]:
@@ -226,19 +227,6 @@ def decimal_text(ids: Column, path: str, pattern: str) -> Column:
     return bpe_decimal(ids)
 
 
-def decimal_sha256(ids: Column, path: str, pattern: str) -> Column:
-    """SHA-256 (lowercase hex) of ``decimal_text``, hashed where it is made."""
-    @F.pandas_udf("string")
-    def bpe_digest(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        import hashlib
-
-        codec = Codec.of(path, pattern)
-        for s in batches:
-            yield pd.Series([hashlib.sha256(codec.decimals(x).encode()).hexdigest() for x in s],
-                            dtype=object)
-    return bpe_digest(ids)
-
-
 def ids_to_array(ids: Column) -> Column:
     """Packed ids as array<long>."""
     @F.pandas_udf("array<long>")
@@ -248,12 +236,30 @@ def ids_to_array(ids: Column) -> Column:
     return bpe_unpack(ids)
 
 
+def round_trip(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id",
+               text_col: str = "text") -> DataFrame:
+    """(doc_id, n_tokens, decimals, decoded): every text encoded, its ids in decimal joined by one
+    space, and the bytes that the ids decode to; one pass in one Python worker a task."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codec = Codec.of(path, pattern)
+        for rows in batches:
+            at = 0
+            for part in slices(rows.column(1).to_pylist()):
+                ids = codec.encode(part)
+                yield pa.RecordBatch.from_arrays(
+                    [rows.column(0).slice(at, len(part)), pa.array([len(x) // 4 for x in ids], pa.int64()),
+                     pa.array([codec.decimals(x) for x in ids], pa.string()),
+                     pa.array([codec.decode(x) for x in ids], pa.binary())],
+                    names=["doc_id", "n_tokens", "decimals", "decoded"])
+                at += len(part)
+
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string")) \
+        .mapInArrow(run, "doc_id long, n_tokens long, decimals string, decoded binary")
+
+
 def digests(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id",
             text_col: str = "text") -> DataFrame:
     """Encode every text, decode the ids again: id, n_tokens, ids_sha256, decoded_sha256."""
-    coded = docs.select(F.col(id_col).alias("doc_id"),
-                        encode(F.col(text_col), path, pattern).alias("ids"))
-    return coded.select(
-        "doc_id", F.floor(F.length("ids") / 4).cast("long").alias("n_tokens"),
-        decimal_sha256(F.col("ids"), path, pattern).alias("ids_sha256"),
-        F.sha2(decode(F.col("ids"), path, pattern), 256).alias("decoded_sha256"))
+    return round_trip(docs, path, pattern, id_col, text_col).select(
+        "doc_id", "n_tokens", F.sha2("decimals", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"))

@@ -91,7 +91,7 @@ def build(x: np.ndarray, seed: int = 0) -> list[np.ndarray]:
     both = np.unique(np.concatenate([a * n + b, b.astype(np.int64) * n + a]))
     lists = np.split((both % n).astype(np.int32), np.searchsorted(both // n, np.arange(1, n)))
     for i, ids in enumerate(lists):
-        if len(ids) > 2 * DEGREE:                           # many name it: prune its list again
+        if len(ids) > 6 * DEGREE:                           # many name it: prune its list again
             cut = robust_prune(x32, np.array([i]), ids[None])[0]
             lists[i] = np.union1d(cut[cut >= 0], edges[i][edges[i] >= 0]).astype(np.int32)
     return lists
