@@ -69,6 +69,7 @@ class Machine:
     place: np.ndarray
     _known: set = field(default_factory=set, repr=False)
     _live: dict = field(default_factory=dict, repr=False)
+    _hot: set = field(default_factory=set, repr=False)
 
     def margins(self, texts: list[str | None]) -> np.ndarray:
         """A worker remembers which words have an input; most have none."""
@@ -79,15 +80,16 @@ class Machine:
             ws = words(text)
             new = ws - self._known
             if len(self._known) + len(new) > 400_000:
-                self._known.clear()
-                self._live.clear()
+                for cache in (self._known, self._live, self._hot):
+                    cache.clear()
                 new = ws
             for word in new:
                 rows = [r for r in (self.place[b] for b in hashed(word)) if r >= 0]
                 if rows:
                     self._live[word] = rows
+                    self._hot.add(word)
             self._known |= new
-            rows = list({r for word in ws.intersection(self._live) for r in self._live[word]})
+            rows = list({r for word in ws & self._hot for r in self._live[word]})
             if rows:
                 v = self.v[rows]
                 s = v.sum(0)
