@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -27,43 +25,6 @@ def same_sign(a, b) -> Column:
     return (F.signum(_c(a)) == F.signum(_c(b))).cast("double")
 
 
-_BITS52 = float(2 ** 52 + 1)
-
-
-def _key(parts) -> Column:
-    cols = [p.cast("string") if isinstance(p, Column) else F.lit(str(p)) for p in parts]
-    return F.concat_ws("|", *cols)
-
-
-def _uniform_from_hex(hex13: Column) -> Column:
-    n = F.conv(hex13, 16, 10).cast("double")
-    return (n + F.lit(1.0)) / F.lit(_BITS52)
-
-
-def hashed_uniform(*parts) -> Column:
-    """A uniform in (0, 1) derived only from the row's key parts.
-
-    The first 52 bits of ``md5(parts joined by '|')`` are read as an integer n and
-    mapped to ``(n + 1) / (2^52 + 1)``, so the value never hits 0 or 1. Unlike
-    ``rand(seed)`` it does not depend on partitioning or task order, so results
-    are reproducible across cluster sizes and after executor loss.
-    """
-    return _uniform_from_hex(F.substring(F.md5(_key(parts)), 1, 13))
-
-
-def hashed_normal(*parts) -> Column:
-    """Standard normal via Box-Muller; both uniforms come from one md5 of the key
-    (hex digits 1–13 and 14–26, i.e. two disjoint 52-bit fields)."""
-    h = F.md5(_key(parts))
-    u1 = _uniform_from_hex(F.substring(h, 1, 13))
-    u2 = _uniform_from_hex(F.substring(h, 14, 13))
-    return F.sqrt(F.lit(-2.0) * F.log(u1)) * F.cos(F.lit(2.0 * math.pi) * u2)
-
-
-def rnd(c, digits: int) -> Column:
-    return F.round(_c(c), digits)
-
-
 def round_sig(c, digits: int) -> Column:
     """Round to ``digits`` significant digits (scientific text, parsed back to DOUBLE).
 

@@ -127,58 +127,38 @@ def unify_statement_date(df: DataFrame) -> DataFrame:
 
 # --- medians and imputation ----------------------------------------------------------------
 
-def column_medians(df: DataFrame, columns: list[str], method: str = "distributed") -> dict:
+def column_medians(df: DataFrame, columns: list[str]) -> dict:
     """Exact median of each column (mean of the middle two on even counts).
 
-    ``aggregate`` uses one ``median`` aggregate — every value of a column meets in
-    one buffer, so use it only on frames of known small size. ``distributed``
-    sorts all (column, value) pairs with a range shuffle and reads the middle
-    positions, so no task holds more than its range.
+    All (column, value) pairs are counted, range-sorted and read at the middle positions, so
+    no task holds more than its range.
     """
     if not columns:
         return {}
-    if method == "aggregate":
-        row = df.agg(*[F.median(F.col(c).cast("double")).alias(c) for c in columns]).first()
-        return {c: row[c] for c in columns}
     from .stats import exact_quantiles_long
 
     long = df.select(F.inline(F.array(*[
         F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("value"))
         for c in columns])))
     med = exact_quantiles_long(long, "column_name", "value", [0.5]).collect()
-    out = {c: None for c in columns}
-    out.update({r["column_name"]: r["q"] for r in med})
-    return out
-
+    return {**dict.fromkeys(columns), **{r["column_name"]: r["q"] for r in med}}
 
-EXACT_BUFFER_LIMIT = 1_000_000
 
+def _fill(df: DataFrame, columns: list[str]) -> DataFrame:
+    """NULLs of ``columns`` filled with their medians, as DOUBLE: the median of an even count of
+    integers need not be one. Medians enter the plan as literals: a narrow projection."""
+    med = column_medians(df, columns)
+    return df.withColumns({c: F.coalesce(F.col(c).cast("double"), F.lit(med[c]))
+                           for c in columns if med[c] is not None})
 
-def impute_median(df: DataFrame, columns: list[str] | None = None,
-                  method: str = "auto", buffer_limit: int = EXACT_BUFFER_LIMIT) -> DataFrame:
-    """Fill NULLs of every numeric column with that column's exact whole-table median.
 
-    One aggregate counts rows and NULLs per column; ``auto`` then uses the single
-    ``median`` aggregate when every column's values fit one task's buffer
-    (``buffer_limit`` rows) and the distributed sort-and-pick otherwise — a size
-    check, like a broadcast threshold. Medians enter the plan as literals, so the
-    fill itself is a narrow projection.
-    """
-    cols = columns if columns is not None else numeric_columns(df)
-    with_nulls = [c for c in cols if c in df.columns]
-    if not with_nulls:
+def impute_median(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
+    """Fill NULLs of every numeric column with that column's exact whole-table median."""
+    cols = [c for c in (columns if columns is not None else numeric_columns(df)) if c in df.columns]
+    if not cols:
         return df
-    counts = df.agg(F.count(F.lit(1)).alias("__rows"),
-                    *[F.count_if(F.col(c).isNull()).alias(c) for c in with_nulls]).first()
-    targets = [c for c in with_nulls if counts[c] > 0]
-    if not targets:
-        return df
-    if method == "auto":
-        method = "aggregate" if counts["__rows"] <= buffer_limit else "distributed"
-    med = column_medians(df, targets, method)
-    fills = {c: F.coalesce(F.col(c), F.lit(med[c]).cast(df.schema[c].dataType))
-             for c in targets if med[c] is not None}
-    return df.withColumns(fills)
+    nulls = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in cols]).first()
+    return _fill(df, [c for c in cols if nulls[c] > 0])
 
 
 # --- symbol and validation -----------------------------------------------------------------
@@ -194,7 +174,7 @@ def ensure_symbol(df: DataFrame, default: str = DEFAULT_SYMBOL) -> DataFrame:
 def validate_table(df: DataFrame, name: str, default_symbol: str = DEFAULT_SYMBOL) -> DataFrame:
     """Require ``date`` (raise otherwise), coerce it to DATE, ensure ``symbol``."""
     if "date" not in df.columns:
-        raise ValueError(f"{name} missing 'date' column")
+        raise ValueError(f"table {name!r}: no column named date to key it by")
     if not isinstance(df.schema["date"].dataType, T.DateType):
         df = df.withColumn("date", try_date("date"))
     return ensure_symbol(df, default_symbol)
@@ -207,9 +187,7 @@ def preprocess_raw(df: DataFrame) -> DataFrame:
     return dedupe_rows(drop_empty_columns(normalize_columns(df)))
 
 
-def clean_statement(raw: DataFrame, median_method: str = "auto",
-                    default_symbol: str = DEFAULT_SYMBOL,
-                    buffer_limit: int = EXACT_BUFFER_LIMIT) -> DataFrame:
+def clean_statement(raw: DataFrame, default_symbol: str = DEFAULT_SYMBOL) -> DataFrame:
     """Raw statement → Silver: names, empty columns, duplicates, date, median fill, symbol.
 
     Two actions in total: one profile aggregate (rows and non-null count per
@@ -220,18 +198,10 @@ def clean_statement(raw: DataFrame, median_method: str = "auto",
     df = dedupe_rows(normalize_columns(raw))
     prof = df.agg(F.count(F.lit(1)).alias("__rows"),
                   *[F.count(F.col(c)).alias(c) for c in df.columns]).first()
-    rows = prof["__rows"]
     df = df.drop(*[c for c in df.columns if prof[c] == 0])
     df = unify_statement_date(df)
-    targets = [c for c in numeric_columns(df) if c in prof and 0 < prof[c] < rows]
-    if targets:
-        method = median_method
-        if method == "auto":
-            method = "aggregate" if rows <= buffer_limit else "distributed"
-        med = column_medians(df, targets, method)
-        df = df.withColumns({c: F.coalesce(F.col(c), F.lit(med[c]).cast(df.schema[c].dataType))
-                             for c in targets if med[c] is not None})
-    return ensure_symbol(df, default_symbol)
+    targets = [c for c in numeric_columns(df) if c in prof and 0 < prof[c] < prof["__rows"]]
+    return ensure_symbol(_fill(df, targets) if targets else df, default_symbol)
 
 
 def cleaning_report(raw: DataFrame, dataset: str) -> DataFrame:

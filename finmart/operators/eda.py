@@ -9,9 +9,7 @@ from pyspark.sql import functions as F
 
 from .clean import numeric_columns
 
-COST_COMPONENTS = [("COGS (Avg)", "costofrevenue"),
-                   ("Operating Expense (Avg)", "operatingexpenses"),
-                   ("Interest Expense (Avg)", "interestexpense")]
+COST_COMPONENTS = [(c, c) for c in ("costofrevenue", "operatingexpenses", "interestexpense")]
 
 
 def cost_structure(income: DataFrame, components=COST_COMPONENTS) -> DataFrame:

@@ -134,6 +134,17 @@ def ols_forecast(ctx_with_coefficients: DataFrame, horizon: int, feature: str =
                               F.col("intercept"), key)
 
 
+def bounded(path: DataFrame, limit: float = 1e12, key: str = "symbol") -> DataFrame:
+    """A forecast without values outside the finite range: predicted_price is NULL from the first
+    step whose size passes ``limit`` or is no number, and ``status`` tells (ok, diverged)."""
+    p = F.col("predicted_price")
+    bad = F.coalesce(F.isnan(p) | (F.abs(p) > limit), F.lit(True))
+    w = Window.partitionBy(key).orderBy("step").rowsBetween(Window.unboundedPreceding, 0)
+    gone = F.max(bad).over(w)
+    return path.select(key, "step", "date", F.when(~gone, p).alias("predicted_price"),
+                       F.when(gone, "diverged").otherwise("ok").alias("status"))
+
+
 def recommend_basic(forecast: DataFrame, ctx: DataFrame, key: str = "symbol") -> DataFrame:
     """Final predicted price vs the current close, banded at ±2 % and ±0.5 %."""
     summary = forecast.groupBy(key).agg(

@@ -18,29 +18,10 @@ from pyspark.sql import functions as F
 from ..session import ensure_checkpoint_dir, materialize
 
 
-SMALL_ROWS = 200_000
-
-
 def dense_index(df: DataFrame, order: list[Column | str], name: str, start: int = 1,
-                dtype: str = "int", small_rows: int | None | str = "default") -> DataFrame:
-    """Add ``name`` = 1-based position of each row in ``order`` (which must be total).
-
-    With ``small_rows`` set, the input is counted first; when the count proves it
-    small, one ordered window numbers it in a single task (cheaper than sampling,
-    materialising and joining offsets). Above the bound, or with
-    ``small_rows=None``, the distributed range path runs.
-    """
+                dtype: str = "bigint") -> DataFrame:
+    """Add ``name`` = 1-based position of each row in ``order`` (which must be total)."""
     order_cols = [F.col(c) if isinstance(c, str) else c for c in order]
-    if small_rows == "default":
-        small_rows = SMALL_ROWS
-    if small_rows is not None and df.limit(small_rows + 1).count() <= small_rows:
-        pos = F.row_number().over(Window.orderBy(*order_cols)) + (start - 1)
-        return df.withColumn(name, pos.cast(dtype))
-    return _dense_index_ranges(df, order_cols, name, start, dtype)
-
-
-def _dense_index_ranges(df: DataFrame, order_cols: list[Column], name: str, start: int,
-                        dtype: str) -> DataFrame:
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     tagged = (df.repartitionByRange(*order_cols)

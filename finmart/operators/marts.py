@@ -15,9 +15,14 @@ def _company_keys(dim_company_df: DataFrame, ticker: str) -> DataFrame:
                        .select("company_key"))
 
 
-def _date_key_range(start: str | None, end: str | None):
-    """yyyyMMdd bounds as an integer predicate on ``date_key`` (pushed to the fact scan)."""
+def _date_key_range(start: str | None, end: str | None, by_year: bool = False):
+    """yyyyMMdd bounds as an integer predicate on ``date_key`` (pushed to the fact scan), and on
+    the partition column of a fact that is stored by year."""
     cond = F.lit(True)
+    if by_year and start:
+        cond = cond & (F.col("year") >= int(start[:4]))
+    if by_year and end:
+        cond = cond & (F.col("year") <= int(end[:4]))
     if start:
         cond = cond & (F.col("date_key") >= int(start.replace("-", "")))
     if end:
@@ -34,7 +39,8 @@ def prices_wide(fact_stock_prices_df: DataFrame, dim_company_df: DataFrame,
     without a driver round trip; the pivot always gets the fixed metric list. An
     optional inclusive date range becomes a ``date_key`` predicate on the fact scan.
     """
-    fact = (fact_stock_prices_df.filter(_date_key_range(start, end))
+    by_year = "year" in fact_stock_prices_df.columns
+    fact = (fact_stock_prices_df.filter(_date_key_range(start, end, by_year)).drop("year")
             .join(_company_keys(dim_company_df, ticker), "company_key", "left_semi"))
     merged = (fact.join(F.broadcast(dim_date_df.select("date_key", "date")), "date_key")
               .join(F.broadcast(dim_stock_metric_df), "stock_metric_key"))
@@ -46,7 +52,7 @@ def statement_long(fact_finance_df: DataFrame, dim_company_df: DataFrame,
                    dim_date_df: DataFrame, dim_fin_metric_df: DataFrame, ticker: str,
                    fin_type_key: int) -> DataFrame:
     """Facts of one ticker and statement type with date and metric attributes."""
-    fact = (fact_finance_df.filter(F.col("fin_type_key") == fin_type_key)
+    fact = (fact_finance_df.drop("year").filter(F.col("fin_type_key") == fin_type_key)
             .join(_company_keys(dim_company_df, ticker), "company_key", "left_semi"))
     return (fact.join(F.broadcast(dim_date_df), "date_key")
             .join(F.broadcast(dim_fin_metric_df), "metric_key")
@@ -56,15 +62,17 @@ def statement_long(fact_finance_df: DataFrame, dim_company_df: DataFrame,
 def statement_matrix(long: DataFrame, dates: list[str]) -> DataFrame:
     """metric_name × date matrix; a duplicated (metric, date) cell is an error.
 
-    ``dates`` (yyyy-MM-dd) are the columns; passing them keeps the pivot to one pass.
+    ``dates`` (yyyy-MM-dd) are the columns: one pass, in which a duplicate or a date that is
+    not among them stops the query instead of going unseen.
     """
-    dup = (long.groupBy("metric_name", "date").count().filter(F.col("count") > 1)
-           .limit(1).collect())
-    if dup:
-        raise ValueError(f"duplicate (metric_name, date) cell: {dup[0]['metric_name']}, "
-                         f"{dup[0]['date']}")
-    return (long.withColumn("date_label", F.date_format("date", "yyyy-MM-dd"))
-            .groupBy("metric_name").pivot("date_label", dates).agg(F.first("value")))
+    label = F.date_format("date", "yyyy-MM-dd")
+    listed = F.when(label.isin(dates), label).otherwise(F.raise_error(F.concat(
+        F.lit("a date has no column in the matrix: "), F.coalesce(label, F.lit("NULL")))).cast("string"))
+    cell = F.when(F.count(F.lit(1)) > 1, F.raise_error(F.concat(
+        F.lit("duplicate cell in the matrix: "), F.first("metric_name"))).cast("double")) \
+        .otherwise(F.first("value"))
+    return (long.withColumn("date_label", listed)
+            .groupBy("metric_name").pivot("date_label", dates).agg(cell))
 
 
 def default_metrics(long: DataFrame, n: int = 2) -> DataFrame:

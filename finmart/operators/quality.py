@@ -65,10 +65,9 @@ def table_counts(tables: dict[str, DataFrame], with_total: bool = True) -> DataF
         c = df.agg(F.count(F.lit(1)).cast("long").alias("row_count")).select(
             F.lit(name).alias("table_name"), "row_count")
         out = c if out is None else out.unionByName(c)
-    if with_total:
-        total = out.agg(F.sum("row_count").cast("long").alias("row_count")).select(
-            F.lit("TOTAL").alias("table_name"), "row_count")
-        out = out.unionByName(total)
+    if with_total:   # one scan a table: the counts are rolled up
+        out = (out.rollup("table_name").agg(F.sum("row_count").cast("long").alias("row_count"))
+               .select(F.coalesce("table_name", F.lit("TOTAL")).alias("table_name"), "row_count"))
     return out
 
 

@@ -35,7 +35,7 @@ def dim_date(*datasets: DataFrame, check_nonempty: bool = False) -> DataFrame:
         dates = d if dates is None else dates.unionByName(d)
     dates = dates.distinct().na.drop()
     if check_nonempty and dates.isEmpty():
-        raise ValueError("No valid dates found")
+        raise ValueError("dim_date would be empty: no source row has a usable date")
     d = F.col("date")
     out = dates.select(date_key(d).alias("date_key"), d,
                        F.dayofmonth(d).alias("day"), F.month(d).alias("month"),
@@ -70,7 +70,7 @@ def dim_company(statements: dict[str, DataFrame], check_nonempty: bool = False)
                        F.coalesce(-F.unix_date("date"), F.lit(2 ** 31 - 1)).alias("neg_day")))
         .alias("first"))
     if check_nonempty and first.isEmpty():
-        raise ValueError("No valid company symbols found")
+        raise ValueError("dim_company would be empty: no statement row names a symbol")
     keyed = dense_index(first, [F.col("first.stmt_ord"), F.col("first.neg_day"),
                                 F.col("symbol")], "company_key")
     out = keyed.select("company_key", F.col("symbol").alias("ticker"),
@@ -223,8 +223,8 @@ def build_star(spark: SparkSession, prices: DataFrame | None,
     the statements alone and the price fact is left out, so only dependants are skipped.
 
     With ``land`` each data-derived table is written once when first built, so the
-    facts reuse the dimensions and marts read Gold instead of re-deriving it; an empty
-    date or company dimension then raises, as a load with no valid keys must.
+    facts reuse the dimensions and marts read Gold instead of re-deriving it (facts by year,
+    ordered by company). An empty date or company dimension raises: no key would be valid.
     """
     from ..session import materialize
 
@@ -236,16 +236,13 @@ def build_star(spark: SparkSession, prices: DataFrame | None,
 
     def maybe_land(name, build):
         def landed_build():
-            df = materialize(build(), name)
-            if name in ("dim_date", "dim_company") and df.isEmpty():
-                raise ValueError(f"{name} is empty: no valid "
-                                 f"{'dates' if name == 'dim_date' else 'company symbols'}")
-            return df
+            return materialize(build(), name, by_year=name.startswith("fact"))
         return landed_build if land and name in landed else build
 
     builders = {
-        "dim_date": lambda: dim_date(*[p for p in [get_prices()] if p is not None], *stmts),
-        "dim_company": lambda: dim_company(statements),
+        "dim_date": lambda: dim_date(*[p for p in [get_prices()] if p is not None], *stmts,
+                                     check_nonempty=True),
+        "dim_company": lambda: dim_company(statements, check_nonempty=True),
         "dim_fin_metric": lambda: dim_fin_metric(spark, statements),
         "dim_fin_statement_type": lambda: dim_fin_statement_type(spark),
         "dim_stock_metric": lambda: dim_stock_metric(spark),

@@ -39,7 +39,8 @@ def exact_quantiles_long(long: DataFrame, group_col: str, value_col: str,
                .agg(F.flatten(F.collect_list(F.when(lo == hi, one).otherwise(two)))
                     .alias("_targets")))
     local = F.col("_start") - F.col("_first")
-    picked = (runs.join(targets, group_col)
+    # one target row per group (the numeric columns of a table): the values stay where they are
+    picked = (runs.join(F.broadcast(targets), group_col)
               .select(group_col, value_col, local.alias("_lo"),
                       (local + F.col("_cnt")).alias("_hi"), F.explode("_targets").alias("t"))
               .filter((F.col("t.k") >= F.col("_lo")) & (F.col("t.k") < F.col("_hi"))))

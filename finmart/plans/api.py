@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import features, forecast, marts, ml, scenarios
+from ..operators import features, forecast, marts, ml
 
 
 def stock_frame(gold: dict[str, DataFrame], ticker: str, start: str | None = None,
@@ -27,14 +27,11 @@ def train_models(prices: DataFrame, save_path: str | None = None):
     return ml.compare_models(split, save_path=save_path)
 
 
-def run_prediction(spark: SparkSession, prices: DataFrame, horizon: int = 30,
-                   num_sims: int | None = None, model=None, seed: int = 42) -> dict:
-    """Forecast every symbol ``horizon`` business days ahead.
+def run_prediction(spark: SparkSession, prices: DataFrame, horizon: int = 30, model=None) -> dict:
+    """Forecast every symbol ``horizon`` business days ahead, with the recommendation it gives.
 
     The model is a fitted Spark ML regressor of next-day return, or (default) a per-symbol
-    one-feature OLS on pct_change fitted on each symbol's training split. Without
-    ``num_sims`` the result holds the forecast and the basic recommendation; with it,
-    the scenario paths, per-day bands and the scenario recommendation as well.
+    one-feature OLS on pct_change fitted on each symbol's training split.
     """
     ctx = forecast.forecast_context(prices)
     if model is None:
@@ -44,12 +41,4 @@ def run_prediction(spark: SparkSession, prices: DataFrame, horizon: int = 30,
         path = forecast.ols_forecast(ctx, horizon)
     else:
         path = forecast.forecast_with_model(ctx, model, horizon)
-    out = {"context": ctx, "forecast": path}
-    if not num_sims:
-        out["recommendation"] = forecast.recommend_basic(path, ctx)
-        return out
-    sims = scenarios.scenario_paths(scenarios.trend_returns(path, ctx), num_sims, seed)
-    bands = scenarios.scenario_bands(sims)
-    out.update(paths=sims, bands=bands,
-               recommendation=scenarios.recommend_scenario(bands, ctx))
-    return out
+    return {"context": ctx, "forecast": path, "recommendation": forecast.recommend_basic(path, ctx)}

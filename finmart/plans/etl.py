@@ -23,7 +23,7 @@ def silver_prices(raw_prices: DataFrame, default_symbol: str = DEFAULT_SYMBOL,
     return materialize(df) if land else df
 
 
-def silver_statements(raw: dict[str, DataFrame], median_method: str = "auto",
+def silver_statements(raw: dict[str, DataFrame],
                       default_symbol: str = DEFAULT_SYMBOL,
                       land: bool = False) -> dict[str, DataFrame]:
     """Cleaned statements, each cleaned on first use (cleaning runs data-dependent
@@ -33,15 +33,15 @@ def silver_statements(raw: dict[str, DataFrame], median_method: str = "auto",
 
     def builder(name):
         def build():
-            df = clean.clean_statement(raw[name], median_method, default_symbol)
+            df = clean.clean_statement(raw[name], default_symbol)
             return materialize(df) if land else df
         return build
     return LazyTables({name: builder(name) for name in STATEMENT_ORDER if name in raw})
 
 
-def silver_layer(raw: dict[str, DataFrame], median_method: str = "auto",
+def silver_layer(raw: dict[str, DataFrame],
                  default_symbol: str = DEFAULT_SYMBOL) -> dict[str, DataFrame]:
-    out = dict(silver_statements(raw, median_method, default_symbol).items())
+    out = dict(silver_statements(raw, default_symbol).items())
     if "prices" in raw:
         out["prices"] = silver_prices(raw["prices"], default_symbol)
     return out
@@ -69,6 +69,8 @@ def run_etl(spark: SparkSession, raw: dict[str, DataFrame], silver_path: str | N
         files.write_silver(silver, silver_path)
         silver = files.read_silver(spark, silver_path, list(silver))
     gold = gold_layer(spark, silver)
+    for name in ("dim_date", "dim_company"):   # built first: an empty one stops the run here
+        gold[name]
     if gold_path:
         for name, df in gold.items():
             files.write_gold(df, name, gold_path)

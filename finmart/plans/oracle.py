@@ -8,26 +8,25 @@ from __future__ import annotations
 
 from ..schemas import STOCK_METRICS
 
-R_MONEY, R_STAT, R_PRICE = 6, 9, 2
-SIG_COEF, SIG_PRICE, SIG_PATH = 12, 10, 9
+R_MONEY, R_STAT, R_ROLL, R_MEAN = 6, 7, 6, 4
+SIG_COEF, SIG_PRICE = 9, 7
 
 
 def sig(expr: str, digits: int = SIG_PRICE, alias: str | None = None) -> str:
     out = f"CAST(printf('%.{digits - 1}e', {expr}) AS DOUBLE)"
     return f"{out} AS {alias}" if alias else out
-TICKER = "1-URGENT"
+TICKER, OTHER_TICKER = "Supplier#000000001", "Supplier#000000002"
 HORIZON = 30
-NUM_SIMS = 2000
-SEED = 42
 
 W = "PARTITION BY symbol ORDER BY date ASC NULLS LAST"
 
 BARS = """bars AS (
-  SELECT CAST(o_orderdate AS DATE) AS date,
-         arg_min(o_totalprice, o_orderkey) AS open, max(o_totalprice) AS high,
-         min(o_totalprice) AS low, arg_max(o_totalprice, o_orderkey) AS close,
-         count(*) AS volume, o_orderpriority AS symbol
-  FROM orders GROUP BY o_orderpriority, CAST(o_orderdate AS DATE))"""
+  SELECT CAST(l_shipdate AS DATE) AS date,
+         first(l_extendedprice ORDER BY l_orderkey, l_linenumber, l_extendedprice) AS open,
+         max(l_extendedprice) AS high, min(l_extendedprice) AS low,
+         last(l_extendedprice ORDER BY l_orderkey, l_linenumber, l_extendedprice) AS close,
+         count(*) AS volume, s_name AS symbol
+  FROM lineitem JOIN supplier ON l_suppkey = s_suppkey GROUP BY s_name, CAST(l_shipdate AS DATE))"""
 
 TICK_BARS = """bars AS (
   SELECT CAST(ts AS DATE) AS date,
@@ -51,13 +50,13 @@ prices AS (SELECT *,
 PRICES = BARS + FEATURES_SQL
 
 PRICE_ROUND = {"open": R_MONEY, "high": R_MONEY, "low": R_MONEY, "close": R_MONEY,
-               "pct_change": R_STAT, "daily_return": R_MONEY,
-               "volatility_5d": R_STAT, "volatility_20d": R_STAT}
+               "pct_change": R_ROLL, "daily_return": R_MONEY,
+               "volatility_5d": R_ROLL, "volatility_20d": R_ROLL}
 PRICE_COLS = ["date", "open", "high", "low", "close", "volume", "symbol", "pct_change",
               "daily_return", "volatility_5d", "volatility_20d"]
 
 LEDGER = """ledger AS (
-  SELECT o_orderpriority AS symbol,
+  SELECT s_name AS symbol,
     CAST(date_trunc('quarter', CAST(l_shipdate AS DATE)) + INTERVAL 3 MONTH - INTERVAL 1 DAY
          AS DATE) AS quarter_end,
     CAST(sum(ep * (1 - disc)) AS DOUBLE) AS revenue,
@@ -77,8 +76,8 @@ LEDGER = """ledger AS (
                CAST(l_discount AS DECIMAL(3,2)) AS disc, CAST(l_tax AS DECIMAL(3,2)) AS tax,
                CAST(l_quantity AS DECIMAL(4,2)) AS qty,
                CAST(p_retailprice AS DECIMAL(7,2)) AS retail, l_returnflag AS flag,
-               l_shipdate, o_orderpriority
-        FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+               l_shipdate, s_name
+        FROM lineitem JOIN supplier ON l_suppkey = s_suppkey
                       JOIN part ON l_partkey = p_partkey) j
   GROUP BY 1, 2)"""
 
@@ -203,13 +202,13 @@ def star_sql() -> str:
     return f"""{dim_sql()},
 fin_long AS ({fin}),
 fact_finance AS (SELECT CAST(row_number() OVER (ORDER BY l.fin_type_key, l.col_ord, l.date DESC,
-    l.symbol) AS INTEGER) AS fact_finance_id, dd.date_key, c.company_key, l.fin_type_key,
+    l.symbol) AS BIGINT) AS fact_finance_id, dd.date_key, c.company_key, l.fin_type_key,
     m.metric_key, l.value
   FROM fin_long l JOIN dim_company c ON l.symbol = c.ticker
   JOIN dim_fin_metric m ON l.metric_name = m.metric_name JOIN dim_date dd ON l.date = dd.date),
 price_long AS ({price_long_sql()}),
 fact_stock_prices AS (SELECT CAST(row_number() OVER (ORDER BY l.stock_metric_key, l.date,
-    l.symbol) AS INTEGER) AS fact_price_id, dd.date_key, c.company_key, l.stock_metric_key,
+    l.symbol) AS BIGINT) AS fact_price_id, dd.date_key, c.company_key, l.stock_metric_key,
     l.value
   FROM price_long l JOIN dim_company c ON l.symbol = c.ticker JOIN dim_date dd ON l.date = dd.date)"""
 
@@ -236,14 +235,6 @@ def price_select(prefix: str = "") -> str:
                      for c in PRICE_COLS)
 
 
-def money_select(cols: list[str], table: str = "") -> str:
-    """Round every DOUBLE column (all metric columns of a statement) to R_MONEY."""
-    out = []
-    for c in cols:
-        out.append(c)
-    return ", ".join(out)
-
-
 def silver_select(stmt: str) -> str:
     ms = set(metrics(stmt))
     return ", ".join(r(c, R_MONEY) if c in ms else c for c in silver_cols(stmt))
@@ -299,8 +290,8 @@ def _training() -> str:
 split AS (SELECT *, CASE WHEN row_number() OVER (PARTITION BY symbol ORDER BY date ASC NULLS LAST)
     <= floor(count(*) OVER (PARTITION BY symbol) * 0.8) THEN 'train' ELSE 'test' END AS split
   FROM training),
-coef AS (SELECT symbol, CAST(printf('%.11e', regr_slope(target, pct_change)) AS DOUBLE) AS slope,
-    CAST(printf('%.11e', regr_intercept(target, pct_change)) AS DOUBLE) AS intercept
+coef AS (SELECT symbol, CAST(printf('%.8e', regr_slope(target, pct_change)) AS DOUBLE) AS slope,
+    CAST(printf('%.8e', regr_intercept(target, pct_change)) AS DOUBLE) AS intercept
   FROM split WHERE split = 'train' GROUP BY symbol),
 pred AS (SELECT s.*, c.slope, c.intercept, c.intercept + c.slope * s.pct_change AS prediction
   FROM split s JOIN coef c ON s.symbol = c.symbol)"""
@@ -364,44 +355,66 @@ forecast AS (SELECT symbol, CAST(step AS INTEGER) AS step, date, close AS predic
   FROM fc WHERE step > 0)"""
 
 
-def _normal(day: str) -> str:
-    key = f"concat_ws('|', '{SEED}', p.symbol, CAST(p.sim AS VARCHAR), CAST({day} AS VARCHAR))"
-
-    def u(start: int) -> str:
-        return (f"((CAST(CAST(('0x' || substr(md5({key}), {start}, 13)) AS BIGINT) AS DOUBLE) "
-                f"+ CAST(1 AS DOUBLE)) / CAST({2 ** 52 + 1} AS DOUBLE))")
-    return (f"(sqrt(CAST(-2 AS DOUBLE) * ln({u(1)})) * "
-            f"cos(CAST('{2 * 3.141592653589793!r}' AS DOUBLE) * {u(14)}))")
-
-
-def _paths() -> str:
-    return f"""{_forecast()},
-trend AS (SELECT f.symbol, f.step, f.date, ctx.daily_volatility,
-    (f.predicted_price - coalesce(lag(f.predicted_price) OVER (PARTITION BY f.symbol ORDER BY f.step),
-      ctx.close)) / NULLIF(coalesce(lag(f.predicted_price) OVER (PARTITION BY f.symbol
-      ORDER BY f.step), ctx.close), 0) AS expected_return, ctx.close AS start_price
-  FROM forecast f JOIN ctx ON f.symbol = ctx.symbol),
-sims AS (SELECT DISTINCT symbol, start_price, daily_volatility, s.sim FROM trend,
-  range(0, {NUM_SIMS}) AS s(sim)),
-paths(symbol, sim, day, date, price) AS (
-  SELECT symbol, sim, 0, CAST(NULL AS DATE), CAST(start_price AS DOUBLE) FROM sims
-  UNION ALL
-  SELECT p.symbol, p.sim, p.day + 1, t.date,
-    p.price * (1.0 + (t.expected_return + t.daily_volatility * {_normal('p.day + 1')}))
-  FROM paths p JOIN trend t ON p.symbol = t.symbol AND t.step = p.day + 1
-  WHERE p.day < {HORIZON}),
-path_rows AS (SELECT symbol, CAST(sim AS INTEGER) AS sim, CAST(day AS INTEGER) AS day, date, price
-  FROM paths WHERE day > 0)"""
-
-
-def _bands() -> str:
-    return f"""{_paths()},
-bands AS (SELECT symbol, day, date, avg(price) AS mean_price,
-    quantile_cont(price, 0.5) AS median_price, quantile_cont(price, 0.95) AS p95_price,
-    quantile_cont(price, 0.75) AS p75_price, quantile_cont(price, 0.25) AS p25_price,
-    quantile_cont(price, 0.05) AS p5_price, max(price) AS max_price, min(price) AS min_price,
-    stddev_pop(price) AS std_dev
-  FROM path_rows GROUP BY symbol, day, date)"""
+def _full(how: str, c: str, n: int) -> str:
+    """An aggregate of the last n rows, NULL until n values are not null."""
+    over = f"OVER ({W} ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW)"
+    return f"CASE WHEN count({c}) {over} = {n} THEN {how}({c}) {over} END"
+
+
+def _decayed(c: str, span: int) -> str:
+    keep = 1 - 2 / (span + 1)
+    weights = [keep ** k for k in range(span)]
+    return " + ".join(f"lag({c}, {k}) OVER ({W}) * CAST('{weights[k] / sum(weights)!r}' AS DOUBLE)"
+                      for k in range(span))
+
+
+def _indicators() -> dict[str, str]:
+    bars, lag = f"WITH {BARS}", f"OVER ({W})"
+    q = {"moving_averages": f"""{bars} SELECT symbol, date, {r('close', R_MONEY)},
+  round(close - lag(close) {lag}, {R_MONEY}) AS daily_return,
+  round({_full('avg', 'close', 5)}, {R_MEAN}) AS ma_5, round({_full('avg', 'close', 20)}, {R_MEAN}) AS ma_20
+FROM bars"""}
+    q["oscillators"] = f"""{bars},
+b1 AS (SELECT *, lag(close) {lag} AS prev FROM bars),
+b2 AS (SELECT symbol, date, CASE WHEN prev IS NOT NULL THEN greatest(close - prev, 0.0) END AS up,
+    CASE WHEN prev IS NOT NULL THEN greatest(prev - close, 0.0) END AS down,
+    CASE WHEN prev IS NOT NULL THEN greatest(high - low, abs(high - prev), abs(low - prev)) END AS tr,
+    ({_decayed('close', 12)}) - ({_decayed('close', 26)}) AS macd FROM b1),
+b3 AS (SELECT *, {_full('avg', 'up', 14)} AS u, {_full('avg', 'down', 14)} AS dn,
+    {_full('avg', 'tr', 14)} AS atr, {_decayed('macd', 9)} AS macd_signal FROM b2)
+SELECT symbol, date, round(u / NULLIF(u + dn, 0) * 100, {R_MEAN}) AS rsi, {r('atr', R_MEAN)},
+  {r('macd', R_MEAN)}, {r('macd_signal', R_MEAN)} FROM b3"""
+    q["price_bands"] = f"""{bars},
+b1 AS (SELECT *, {_full('avg', 'close', 20)} AS m, {_full('stddev_pop', 'close', 20)} AS sd,
+    {_full('min', 'low', 14)} AS lo, {_full('max', 'high', 14)} AS hi FROM bars),
+b2 AS (SELECT *, (close - lo) / NULLIF(hi - lo, 0) * 100 AS stoch_k FROM b1)
+SELECT symbol, date, {r('m', R_MEAN, 'middle')}, round(m + 2 * sd, {R_MEAN}) AS upper,
+  round(m - 2 * sd, {R_MEAN}) AS lower, {r('stoch_k', R_MEAN)},
+  round({_full('avg', 'stoch_k', 3)}, {R_MEAN}) AS stoch_d FROM b2"""
+    q["candles"] = f"""{bars},
+b1 AS (SELECT *, lag(open) {lag} AS o1, lag(close) {lag} AS c1, lag(close, 2) {lag} AS c2,
+    lag(close, 3) {lag} AS c3, {_full('avg', 'volume', 5)} AS vm FROM bars)
+SELECT symbol, date, CASE WHEN abs(close - open) <= (high - low) * CAST(0.1 AS DOUBLE) THEN 'doji'
+    WHEN close > open THEN 'bullish' ELSE 'bearish' END AS candle,
+  coalesce(c1 < o1 AND close > open AND open <= c1 AND close >= o1, false) AS bullish_engulfing,
+  {r('c1', R_MONEY, 'close_lag_1')}, {r('c2', R_MONEY, 'close_lag_2')}, {r('c3', R_MONEY, 'close_lag_3')},
+  {r('vm', R_MEAN, 'volume_ma_5')}, round(volume / NULLIF(vm, 0), {R_MEAN}) AS volume_ratio FROM b1"""
+    lagged = ", ".join(f"round(lag({c}) {lag}, {PRICE_ROUND[c]}) AS {c}" for c in
+                       ("pct_change", "daily_return", "volatility_5d", "volatility_20d"))
+    q["guarded_features"] = with_prices(f"SELECT symbol, date, {lagged} FROM prices")
+    q["walk_forward"] = with_prices(f""", {_training()},
+wb AS (SELECT symbol, pct_change AS x, target AS y, least(floor((row_number() {lag} - 1) /
+    greatest(floor(count(*) OVER (PARTITION BY symbol) / 5), 1)), 4) AS block FROM training),
+wf AS (SELECT wb.*, f.fold FROM wb, (VALUES (1), (2), (3), (4)) AS f(fold) WHERE block <= fold),
+wl AS (SELECT symbol, fold, regr_slope(y, x) FILTER (WHERE block < fold) AS slope,
+    regr_intercept(y, x) FILTER (WHERE block < fold) AS intercept,
+    count(*) FILTER (WHERE block < fold) AS train_rows FROM wf GROUP BY symbol, fold),
+we AS (SELECT wf.symbol, wf.fold, train_rows, y - (intercept + slope * x) AS e
+  FROM wf JOIN wl ON wf.symbol = wl.symbol AND wf.fold = wl.fold WHERE block >= wf.fold)
+SELECT symbol, CAST(fold AS INTEGER) AS fold, train_rows, count(*) AS test_rows,
+  round(avg(abs(e)), {R_ROLL}) AS mae, round(sqrt(avg(e * e)), {R_ROLL}) AS rmse
+FROM we GROUP BY symbol, fold, train_rows""")
+    return q
 
 
 def _sql() -> dict[str, str]:
@@ -415,8 +428,12 @@ def _sql() -> dict[str, str]:
     inc_only = ["income_statement"]
     q["raw_scan"] = with_statements(
         f"SELECT {raw_select('income_statement')} FROM inc_raw", inc_only)
-    q["silver_roundtrip"] = with_statements(
-        f"SELECT {silver_select('income_statement')} FROM inc_s", inc_only)
+    cells = " UNION ALL ".join(
+        f"SELECT '{s}' AS table_name, symbol, date, metric_name, round(value, {R_ROLL}) AS value "
+        f"FROM ({fin_long_sql(s)})" for s in ORDER)
+    q["silver_roundtrip"] = (
+        f"WITH {PRICES},\n{statement_ctes()} {cells} UNION ALL SELECT 'prices', symbol, date, "
+        f"metric_name, round(value, {R_ROLL}) FROM ({price_long_sql()})")
     renames = {"fiscalDateEnding": "fiscal_date_ending", "reportedCurrency": "reported_currency",
                "totalRevenue": "total_revenue", "costOfRevenue": "cost_of_revenue"}
     q["normalize_columns"] = with_statements(
@@ -437,8 +454,17 @@ def _sql() -> dict[str, str]:
 SELECT column_name, CAST(null_count AS BIGINT) AS null_count,
   round(null_count * 100.0 / row_count, 1) AS null_pct FROM nc WHERE null_count > 0
 ORDER BY null_count DESC, column_name LIMIT 5""", ["balance_sheet"])
+    lines = "CASE WHEN month(date) <> 3 THEN CAST(commonstock / 1000 AS BIGINT) END"
     q["impute_median"] = with_statements(
-        f"SELECT {silver_select('balance_sheet')} FROM bs_s", ["balance_sheet"])
+        f""", bl AS (SELECT *, {lines} AS openlines FROM bs_s)
+SELECT {silver_select('balance_sheet')}, round(CAST(coalesce(openlines, (SELECT median(openlines)
+  FROM bl)) AS DOUBLE), {R_MONEY}) AS openlines FROM bl""", ["balance_sheet"])
+    q["bad_dates"] = ("SELECT CAST(count(*) FILTER (WHERE o_orderstatus = 'P') AS BIGINT) AS null_dates "
+                      "FROM orders")
+    cf_cols = RAW_COLS["cash_flow"]
+    q["total_nulls"] = with_statements(
+        "SELECT CAST(" + " + ".join(f"count(*) - count({c})" for c in cf_cols)
+        + " AS BIGINT) AS total_nulls FROM cf_raw", ["cash_flow"])
     q["statement_clean"] = with_statements(
         f"SELECT {silver_select('income_statement')} FROM inc_s", inc_only)
     q["validate_table"] = f"""WITH {BARS}
@@ -481,17 +507,20 @@ SELECT TRY_CAST(CASE WHEN dayofweek(date) = 0 THEN 'n/a' ELSE strftime(date, '%Y
         f"SELECT symbol, date, metric_name, col_ord, round(value, {R_MONEY}) AS value FROM "
         f"({fin_long_sql('income_statement')})", inc_only)
     q["price_unpivot"] = with_prices(
-        f"SELECT symbol, date, metric_name, col_ord, round(value, {R_STAT}) AS value, "
+        f"SELECT symbol, date, metric_name, col_ord, round(value, {R_ROLL}) AS value, "
         f"stock_metric_key FROM ({price_long_sql()})")
     q["star_fact_finance"] = with_all(
         f"SELECT fact_finance_id, date_key, company_key, fin_type_key, metric_key, "
         f"round(value, {R_MONEY}) AS value FROM fact_finance")
     q["star_fact_prices"] = with_all(
         f"SELECT fact_price_id, date_key, company_key, stock_metric_key, "
-        f"round(value, {R_STAT}) AS value FROM fact_stock_prices")
+        f"round(value, {R_ROLL}) AS value FROM fact_stock_prices")
     q["seed_missing_rows"] = with_all("SELECT * FROM dim_date")
-    q["gold_roundtrip"] = q["star_fact_finance"]
-    q["warehouse_refresh"] = q["dim_date"]
+    q["gold_roundtrip"] = with_all(
+        f"SELECT 'fact_finance' AS table_name, fact_finance_id AS row_id, date_key, company_key, "
+        f"metric_key, round(value, {R_ROLL}) AS value FROM fact_finance WHERE date_key < 20000101 "
+        f"UNION ALL SELECT 'fact_stock_prices', fact_price_id, date_key, company_key, "
+        f"stock_metric_key, round(value, {R_ROLL}) FROM fact_stock_prices WHERE date_key < 20000101")
     pk = {"dim_date": "date_key", "dim_company": "company_key",
           "dim_fin_statement_type": None, "dim_fin_metric": "metric_key",
           "dim_stock_metric": "stock_metric_key", "fact_finance": "fact_finance_id",
@@ -536,6 +565,7 @@ SELECT TRY_CAST(CASE WHEN dayofweek(date) = 0 THEN 'n/a' ELSE strftime(date, '%Y
     q["table_counts"] = with_all(
         f", tc AS ({cparts}) SELECT * FROM tc UNION ALL "
         f"SELECT 'TOTAL', CAST(sum(row_count) AS BIGINT) FROM tc")
+    q["warehouse_refresh"] = q["table_counts"]
 
     q["mart_price_range"] = with_all(
         f", {_wide()} SELECT date, " + ", ".join(r(c, PRICE_ROUND.get(c, R_MONEY)) for c in
@@ -545,7 +575,7 @@ SELECT TRY_CAST(CASE WHEN dayofweek(date) = 0 THEN 'n/a' ELSE strftime(date, '%Y
                  f"round(value, {R_MONEY}) AS value, date, day, month, month_name, quarter, year, "
                  "day_of_week, is_weekend, metric_name, metric_group, unit")
     q["mart_statement_long"] = with_all(
-        f", {_long('2-HIGH', 'income_statement')} SELECT {long_cols} FROM stmt_long")
+        f", {_long(OTHER_TICKER, 'income_statement')} SELECT {long_cols} FROM stmt_long")
     piv = ", ".join(f"round(first(value) FILTER (WHERE date = DATE '{dq}'), {R_MONEY}) AS \"{dq}\""
                     for dq in quarter_ends())
     q["mart_statement_matrix"] = with_all(
@@ -555,6 +585,9 @@ SELECT TRY_CAST(CASE WHEN dayofweek(date) = 0 THEN 'n/a' ELSE strftime(date, '%Y
         f", {_long(TICKER, 'balance_sheet')} SELECT date, metric_name, round(value, {R_MONEY}) AS value "
         f"FROM stmt_long WHERE metric_name IN (SELECT metric_name FROM (SELECT DISTINCT "
         f"metric_key, metric_name FROM stmt_long ORDER BY metric_key LIMIT 2))")
+    q["metric_choice"] = with_all(
+        f", {_long(OTHER_TICKER, 'cash_flow')} SELECT date, metric_name, round(value, {R_MONEY}) AS value "
+        f"FROM stmt_long WHERE metric_name IN ('netincome', 'operatingcashflow')")
     q["distinct_metrics"] = with_all(
         f", {_long(TICKER, 'cash_flow')} SELECT DISTINCT metric_name FROM stmt_long")
     q["date_bounds"] = with_prices(
@@ -577,8 +610,7 @@ FROM k WHERE date = last_date""")
     q["assets_series"] = with_statements(
         f"SELECT symbol, date, round(totalassets, {R_MONEY}) AS totalassets FROM bs_s",
         ["balance_sheet"])
-    comps = [("COGS (Avg)", "costOfRevenue"), ("Operating Expense (Avg)", "operatingExpenses"),
-             ("Interest Expense (Avg)", "interestExpense")]
+    comps = [(c.lower(), c) for c in ("costOfRevenue", "operatingExpenses", "interestExpense")]
     avgs = ", ".join(f"avg({c}) AS a{i}" for i, (_, c) in enumerate(comps))
     total = " + ".join(f"a{i}" for i in range(len(comps)))
     rows = " UNION ALL ".join(
@@ -600,14 +632,14 @@ FROM k WHERE date = last_date""")
                              f"AS corr FROM bs_s")
     q["correlation_matrix"] = with_statements(" UNION ALL ".join(pairs), ["balance_sheet"])
 
-    t_round = price_select() + f", round(target, {R_STAT}) AS target"
+    t_round = price_select() + f", round(target, {R_ROLL}) AS target"
     q["training_frame"] = with_prices(f", {_training().split(',' + chr(10) + 'split AS')[0]} "
                                       f"SELECT {t_round} FROM training")
     q["train_test_split"] = with_prices(f", {_training()} SELECT {t_round}, split FROM split")
     q["price_reconstruction"] = with_prices(
         f", {_training()} SELECT symbol, date, round(close, {R_MONEY}) AS close, "
-        f"{sig('close * (1 + prediction)', alias='predicted_price')}, "
-        f"{sig('close * (1 + target)', alias='actual_price')} FROM pred WHERE split = 'test'")
+        f"{sig('close * (1 + prediction)', 10, 'predicted_price')}, "
+        f"{sig('close * (1 + target)', 10, 'actual_price')} FROM pred WHERE split = 'test'")
     q["model_metrics"] = with_prices(
         f", {_training()}, mm AS ({_metrics('pred', 'symbol')}) "
         f"SELECT {_round_metrics('symbol')} FROM mm")
@@ -630,14 +662,6 @@ FROM mm""")
     q["recursive_forecast"] = with_prices(
         f", {_forecast()} SELECT symbol, step, date, {sig('predicted_price', alias='predicted_price')} "
         f"FROM forecast")
-    q["scenario_paths"] = with_prices(
-        f", {_paths()} SELECT symbol, sim, day, date, {sig('price', SIG_PATH, 'price')} "
-        f"FROM path_rows")
-    band_cols = ["mean_price", "median_price", "p95_price", "p75_price", "p25_price", "p5_price",
-                 "max_price", "min_price", "std_dev"]
-    q["scenario_bands"] = with_prices(
-        f", {_bands()} SELECT symbol, day, date, "
-        + ", ".join(sig(c, alias=c) for c in band_cols) + " FROM bands")
     q["recommend_basic"] = with_prices(
         f""", {_forecast()},
 rb AS (SELECT f.symbol, ctx.close AS current_price,
@@ -654,31 +678,10 @@ SELECT symbol, {sig('current_price', alias='current_price')},
   CASE WHEN chg > 2.0 THEN 'BUY' WHEN chg > 0.5 THEN 'CONSIDER_BUY'
        WHEN chg < -2.0 THEN 'SELL' WHEN chg < -0.5 THEN 'CAUTION' ELSE 'HOLD' END AS action
 FROM rc""")
-    q["recommend_scenario"] = with_prices(
-        f""", {_bands()},
-rs AS (SELECT b.symbol, ctx.close AS current_price,
-    arg_max(b.mean_price, b.day) AS mean_target_price,
-    arg_max(b.median_price, b.day) AS median_target_price,
-    arg_max(b.p95_price, b.day) AS best_case_price, arg_max(b.p5_price, b.day) AS worst_case_price,
-    max(b.mean_price) AS highest_mean_price, min(b.mean_price) AS lowest_mean_price
-  FROM bands b JOIN ctx ON b.symbol = ctx.symbol GROUP BY b.symbol, ctx.close),
-rc AS (SELECT *, (mean_target_price - current_price) / NULLIF(current_price, 0) * 100.0 AS chg
-  FROM rs)
-SELECT symbol, {sig('current_price', alias='current_price')},
-  {sig('mean_target_price', alias='mean_target_price')},
-  {sig('median_target_price', alias='median_target_price')},
-  {sig('best_case_price', alias='best_case_price')},
-  {sig('worst_case_price', alias='worst_case_price')},
-  {sig('highest_mean_price', alias='highest_mean_price')},
-  {sig('lowest_mean_price', alias='lowest_mean_price')}, {sig('chg', alias='change_percent')},
-  {sig('mean_target_price - current_price', alias='expected_profit')},
-  CASE WHEN chg > 5.0 THEN 'UP_STRONG' WHEN chg > 2.0 THEN 'UP_MODERATE'
-       WHEN chg > 0.5 THEN 'UP_SLIGHT' WHEN chg < -5.0 THEN 'DOWN_STRONG'
-       WHEN chg < -2.0 THEN 'DOWN_MODERATE' WHEN chg < -0.5 THEN 'DOWN_SLIGHT' ELSE 'FLAT' END
-    AS status,
-  CASE WHEN chg > 2.0 THEN 'MEDIUM' WHEN chg > 0.5 THEN 'HIGH' WHEN chg < -2.0 THEN 'HIGH'
-       WHEN chg < -0.5 THEN 'MEDIUM' ELSE 'LOW' END AS risk_level
-FROM rc""")
+    q["ml_linear_fit"] = with_prices(
+        f""", {_training()} SELECT count(*) AS n, {sig('regr_slope(target, pct_change)', 6, 'slope')},
+  {sig('regr_intercept(target, pct_change)', 6, 'intercept')} FROM split WHERE split = 'train'""")
+    q.update(_indicators())
     return q
 
 

@@ -1,8 +1,9 @@
 """Registered queries: one per operator family of the inventory, each reading the
 driver tables of ``sf_dir`` end to end (Bronze fixtures → Silver → Gold → marts/ML).
 
-Output rounding (to compare engines by value hash): amounts that are exact decimals
-keep 6 places, unit-scale statistics 9, prices produced by float recursions 2.
+Output rounding (to compare engines by value hash): amounts that are exact decimals keep 6
+places, window statistics 6, other statistics 7, coefficients 9 and prices produced by float
+recursions 7 significant digits.
 """
 
 from __future__ import annotations
@@ -13,20 +14,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators import clean, eda, features, forecast, marts, ml, quality, scenarios, star
+from ..operators import clean, eda, features, forecast, indicators, marts, ml, quality, star
 from ..schemas import FIN_TYPE_KEY, STATEMENT_ORDER
-from ..session import scratch_path
+from ..session import materialize, scratch_path
 from ..sources import files
 from ..functions.numeric import round_sig
 from ..sources.fixtures import prices_from_events, raw_prices, raw_statements, read_table
 from . import etl
 
-R_MONEY, R_STAT, R_PRICE = 6, 9, 2
-SIG_COEF, SIG_PRICE, SIG_PATH = 12, 10, 9
-TICKER = "1-URGENT"
+R_MONEY, R_STAT, R_ROLL, R_MEAN = 6, 7, 6, 4
+SIG_COEF, SIG_PRICE = 9, 7
+TICKER, OTHER_TICKER = "Supplier#000000001", "Supplier#000000002"
 HORIZON = 30
-NUM_SIMS = 2000
-SEED = 42
 RANGE = ("1998-01-01", "1998-12-31")
 
 
@@ -39,7 +38,7 @@ def sig(df: DataFrame, columns: list[str], digits: int = SIG_PRICE) -> DataFrame
 
 
 def coefficients(train: DataFrame) -> DataFrame:
-    """Per-symbol OLS, coefficients kept to 12 significant digits."""
+    """Per-symbol OLS, coefficients kept to SIG_COEF significant digits."""
     return sig(ml.fit_ols(train), ["slope", "intercept"], SIG_COEF)
 
 
@@ -49,8 +48,8 @@ def _money_all(df: DataFrame, digits: int = R_MONEY) -> DataFrame:
 
 
 PRICE_ROUND = {"open": R_MONEY, "high": R_MONEY, "low": R_MONEY, "close": R_MONEY,
-               "pct_change": R_STAT, "daily_return": R_MONEY,
-               "volatility_5d": R_STAT, "volatility_20d": R_STAT}
+               "pct_change": R_ROLL, "daily_return": R_MONEY,
+               "volatility_5d": R_ROLL, "volatility_20d": R_ROLL}
 
 
 def quarter_ends(first_year: int = 1995, last_year: int = 2001) -> list[str]:
@@ -85,13 +84,13 @@ def split_frame(spark, d) -> DataFrame:
 
 
 def ols_predictions(spark, d) -> DataFrame:
-    split = split_frame(spark, d)
+    split = materialize(split_frame(spark, d), "split")   # the fit and the prediction read it
     coef = coefficients(split.filter(F.col("split") == "train"))
     return ml.predict_ols(split, coef)
 
 
 def ols_context(spark, d) -> DataFrame:
-    prices = silver_prices(spark, d)
+    prices = materialize(silver_prices(spark, d), "prices")   # context, split and fit read it
     split = features.train_test_split(features.training_frame(prices))
     coef = coefficients(split.filter(F.col("split") == "train"))
     return forecast.forecast_context(prices).join(coef, "symbol")
@@ -126,19 +125,34 @@ def _income_raw(spark, d, land: bool = False):
 
 
 def q_raw_scan(spark, d):
+    """A vendor file in which a missing amount is None, N/A or NaN, by quarter."""
     raw = _income_raw(spark, d)
     path = scratch_path(spark, "raw-income-csv")
-    files.write_csv(raw, path)
+    month = F.substring("fiscalDateEnding", 6, 2)
+    missing = F.when(month == "03", "N/A").when(month == "06", "NaN")
+    files.write_csv(raw.withColumn("interestExpense", F.coalesce(
+        F.col("interestExpense").cast("string"), missing)), path)
     schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in raw.schema.fields])
     return _money_all(files.read_csv(spark, path, schema))
 
 
+def _cells(tables: dict[str, DataFrame]) -> DataFrame:
+    """Silver tables as one long table: (table_name, symbol, date, metric_name, value)."""
+    out = None
+    for name, df in tables.items():
+        long = star.unpivot_prices(df) if name == "prices" else star.unpivot_statement(df)
+        part = long.select(F.lit(name).alias("table_name"), "symbol", "date", "metric_name",
+                           F.round("value", R_ROLL).alias("value"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 def q_silver_roundtrip(spark, d):
-    silver = {"income_statement": silver_statements(spark, d)["income_statement"]}
+    silver = {**dict(silver_statements(spark, d).items()), "prices": silver_prices(spark, d)}
     path = scratch_path(spark, "silver")
     files.write_silver(silver, path)
     files.write_silver(silver, path)  # second write must replace, not append
-    return _money_all(files.read_silver(spark, path, list(silver))["income_statement"])
+    return _cells(files.read_silver(spark, path, list(silver)))
 
 
 RENAMES = {"fiscalDateEnding": " Fiscal Date Ending ", "reportedCurrency": "Reported Currency",
@@ -165,6 +179,16 @@ def q_dedupe_rows(spark, d):
     return _money_all(clean.dedupe_rows(_with_restated_q4(_income_raw(spark, d))))
 
 
+def q_bad_dates(spark, d):
+    """How many dates the coercion could not read."""
+    return clean.null_date_count(q_coerce_dates(spark, d), "order_date")
+
+
+def q_total_nulls(spark, d):
+    raw = raw_statements(spark, d, land=False)["cash_flow"]
+    return clean.total_nulls(clean.normalize_columns(raw))
+
+
 def q_coerce_dates(spark, d):
     orders = read_table(spark, d, "orders")
     text = F.when(F.col("o_orderstatus") == "P", F.lit("not a date")).otherwise(
@@ -179,7 +203,11 @@ def q_null_profile(spark, d):
 
 
 def q_impute_median(spark, d):
-    return _money_all(silver_statements(spark, d)["balance_sheet"])
+    """The balance sheet with an integer column whose median need not be an integer."""
+    raw = raw_statements(spark, d)["balance_sheet"]
+    lines = F.when(F.month(F.col("fiscalDateEnding").cast("date")) != 3,
+                   (F.col("commonStock") / 1000).cast("bigint"))
+    return _money_all(clean.clean_statement(raw.withColumn("openLines", lines)))
 
 
 def q_statement_clean(spark, d):
@@ -237,24 +265,23 @@ def q_finance_unpivot(spark, d):
 
 def q_price_unpivot(spark, d):
     long = star.unpivot_prices(silver_prices(spark, d))
-    return long.withColumn("value", F.round("value", R_STAT))
+    return long.withColumn("value", F.round("value", R_ROLL))
 
 
 def q_star_fact_finance(spark, d):
-    return _money_all(gold(spark, d)["fact_finance"])
+    return _money_all(gold(spark, d)["fact_finance"].drop("year"))
 
 
 def q_star_fact_prices(spark, d):
-    return gold(spark, d)["fact_stock_prices"].withColumn("value", F.round("value", R_STAT))
+    return gold(spark, d)["fact_stock_prices"].drop("year").withColumn("value", F.round("value", R_ROLL))
 
 
 def q_seed_missing_rows(spark, d):
     """dim_date built from prices only, completed idempotently with statement dates."""
     silver = silver_statements(spark, d)
-    prices = silver_prices(spark, d)
-    target = star.dim_date(prices)
-    seed = star.dim_date(*[silver[n] for n in STATEMENT_ORDER])
-    once = quality.seed_missing_rows(target, seed, ["date_key"])
+    target = materialize(star.dim_date(raw_prices(spark, d, land=False)), "target")
+    seed = materialize(star.dim_date(*[silver[n] for n in STATEMENT_ORDER]), "seed")
+    once = materialize(quality.seed_missing_rows(target, seed, ["date_key"]), "once")
     return quality.seed_missing_rows(once, seed, ["date_key"])
 
 
@@ -280,29 +307,35 @@ def q_table_counts(spark, d):
 
 
 def q_gold_roundtrip(spark, d):
+    """Both facts written whole, then again without the years from 2000 on: those must go."""
     g = gold(spark, d)
     base = scratch_path(spark, "gold")
-    for _ in range(2):
-        files.write_gold(g["fact_finance"], "fact_finance", base)
-    return _money_all(files.read_gold(spark, base, ["fact_finance"])["fact_finance"])
+    out = None
+    for name, key, metric in (("fact_finance", "fact_finance_id", "metric_key"),
+                              ("fact_stock_prices", "fact_price_id", "stock_metric_key")):
+        files.write_gold(g[name], name, base)
+        files.write_gold(g[name].filter("date_key < 20000101"), name, base)
+        part = files.read_gold(spark, base, [name])[name].select(
+            F.lit(name).alias("table_name"), F.col(key).alias("row_id"), "date_key", "company_key",
+            F.col(metric).alias("metric_key"), F.round("value", R_ROLL).alias("value"))
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 def q_warehouse_refresh(spark, d):
+    """All seven tables refreshed twice in the catalog; their row counts read back from it."""
     g = gold(spark, d)
     db = "finmart_wh"
     files.create_star_tables(spark, db, scratch_path(spark, "warehouse"))
-    files.refresh_table(spark, g["dim_date"], f"{db}.dim_date", "dim_date")
-    return files.refresh_table(spark, g["dim_date"], f"{db}.dim_date", "dim_date")
+    tables = {}
+    for name, df in g.items():
+        files.refresh_table(spark, df, f"{db}.{name}", name)
+        tables[name] = files.refresh_table(spark, df, f"{db}.{name}", name)
+    return quality.table_counts(tables)
 
 
 # --- Phase 4: marts and EDA ------------------------------------------------------------------
 
-def _wide(spark, d):
-    g = gold(spark, d)
-    return marts.prices_wide(g["fact_stock_prices"], g["dim_company"], g["dim_date"],
-                             g["dim_stock_metric"], TICKER)
-
-
 def _long(spark, d, ticker=TICKER, statement="income_statement"):
     g = gold(spark, d)
     return marts.statement_long(g["fact_finance"], g["dim_company"], g["dim_date"],
@@ -317,7 +350,7 @@ def q_mart_price_range(spark, d):
 
 
 def q_mart_statement_long(spark, d):
-    return _money_all(_long(spark, d, "2-HIGH", "income_statement"))
+    return _money_all(_long(spark, d, OTHER_TICKER, "income_statement"))
 
 
 def q_mart_statement_matrix(spark, d):
@@ -328,6 +361,12 @@ def q_metric_trend(spark, d):
     return _money_all(marts.metric_trend(_long(spark, d, TICKER, "balance_sheet")))
 
 
+def q_metric_choice(spark, d):
+    """The trend of metrics that the user names."""
+    return _money_all(marts.metric_trend(_long(spark, d, OTHER_TICKER, "cash_flow"),
+                                         ["netincome", "operatingcashflow"]))
+
+
 def q_distinct_metrics(spark, d):
     return marts.distinct_values(_long(spark, d, TICKER, "cash_flow"), "metric_name")
 
@@ -372,11 +411,11 @@ def q_correlation_matrix(spark, d):
 
 def q_training_frame(spark, d):
     return rnd(features.training_frame(silver_prices(spark, d)),
-               {**PRICE_ROUND, "target": R_STAT})
+               {**PRICE_ROUND, "target": R_ROLL})
 
 
 def q_train_test_split(spark, d):
-    return rnd(split_frame(spark, d), {**PRICE_ROUND, "target": R_STAT})
+    return rnd(split_frame(spark, d), {**PRICE_ROUND, "target": R_ROLL})
 
 
 def q_price_reconstruction(spark, d):
@@ -384,7 +423,7 @@ def q_price_reconstruction(spark, d):
     out = pred.select("symbol", "date", "close",
                       (F.col("close") * (1 + F.col("prediction"))).alias("predicted_price"),
                       (F.col("close") * (1 + F.col("target"))).alias("actual_price"))
-    return sig(rnd(out, {"close": R_MONEY}), ["predicted_price", "actual_price"])
+    return sig(rnd(out, {"close": R_MONEY}), ["predicted_price", "actual_price"], 10)
 
 
 METRIC_ROUND = {"mae": R_STAT, "rmse": R_STAT, "r2_train": R_STAT - 3, "r2_test": R_STAT - 3,
@@ -396,11 +435,13 @@ def q_model_metrics(spark, d):
 
 
 def q_model_ranking(spark, d):
-    pred = ols_predictions(spark, d)
-    ols = pred.withColumn("model", F.lit("OLS pct_change")).withColumn("model_ordinal", F.lit(1))
-    zero = (pred.withColumn("prediction", F.lit(0.0))
-            .withColumn("model", F.lit("Zero return")).withColumn("model_ordinal", F.lit(2)))
-    metrics = ml.split_metrics(ols.unionByName(zero), ["symbol", "model", "model_ordinal"])
+    models = F.array(*[F.struct(F.lit(name).alias("model"), F.lit(k).alias("model_ordinal"),
+                                p.alias("p")) for k, (name, p) in enumerate(
+        [("OLS pct_change", F.col("prediction")), ("Zero return", F.lit(0.0))], start=1)])
+    pred = ols_predictions(spark, d).withColumn("m", F.explode(models))
+    pred = pred.select("symbol", "split", "target", "m.model", "m.model_ordinal",
+                       F.col("m.p").alias("prediction"))
+    metrics = ml.split_metrics(pred, ["symbol", "model", "model_ordinal"])
     return rnd(ml.rank_models(metrics, "symbol"), METRIC_ROUND)
 
 
@@ -409,16 +450,30 @@ def q_ml_compare(spark, d):
     return ranked
 
 
+def q_ml_linear_fit(spark, d):
+    """Spark ML least squares on one feature, over the pooled training rows."""
+    from pyspark.ml.regression import LinearRegression
+
+    split = materialize(split_frame(spark, d).filter(F.col("split") == "train"), "train")
+    model = LinearRegression(featuresCol="features", labelCol="target", regParam=0.0,
+                             solver="normal").fit(ml.assemble(split, ["pct_change"]))
+    out = split.agg(F.count(F.lit(1)).alias("n")).select(
+        "n", F.lit(float(model.coefficients[0])).alias("slope"), F.lit(float(model.intercept)).alias("intercept"))
+    return sig(out, ["slope", "intercept"], 6)
+
+
 def q_ml_forecast(spark, d):
-    """Pooled 9-feature Spark ML linear model, then the model-agnostic recursive forecast."""
+    """Pooled 9-feature Spark ML linear model, then the model-agnostic recursive forecast; a
+    path that leaves the finite range is NULL from there on and says so."""
     from pyspark.ml.regression import LinearRegression
 
-    prices = silver_prices(spark, d)
-    split = features.train_test_split(features.training_frame(prices))
+    prices = materialize(silver_prices(spark, d), "prices")
+    split = materialize(features.train_test_split(features.training_frame(prices)), "split")
     est = LinearRegression(featuresCol="features", labelCol="target", regParam=0.0,
                            solver="normal")
     model = est.fit(ml.assemble(split.filter(F.col("split") == "train")))
-    return forecast.forecast_with_model(forecast.forecast_context(prices), model, HORIZON)
+    path = forecast.forecast_with_model(forecast.forecast_context(prices), model, HORIZON)
+    return forecast.bounded(path)
 
 
 def q_forecast_context(spark, d):
@@ -437,39 +492,45 @@ def q_recursive_forecast(spark, d):
     return sig(f, ["predicted_price"])
 
 
-def _paths(spark, d):
+def q_recommend_basic(spark, d):
     ctx, f = _forecast(spark, d)
-    trend = scenarios.trend_returns(f, ctx)
-    return ctx, scenarios.scenario_paths(trend, NUM_SIMS, SEED)
+    rec = forecast.recommend_basic(f, ctx)
+    return sig(rec, ["current_price", "target_price", "highest_price", "lowest_price",
+                     "change_percent"])
 
 
-def q_scenario_paths(spark, d):
-    _, paths = _paths(spark, d)
-    return sig(paths, ["price"], SIG_PATH)
+# --- Phase 6: indicators ----------------------------------------------------------------------
 
+def q_moving_averages(spark, d):
+    return rnd(indicators.moving_averages(raw_prices(spark, d, land=False)),
+               {"close": R_MONEY, "daily_return": R_MONEY, "ma_5": R_MEAN, "ma_20": R_MEAN})
 
-BAND_COLS = ["mean_price", "median_price", "p95_price", "p75_price", "p25_price", "p5_price",
-             "max_price", "min_price", "std_dev"]
 
+def q_oscillators(spark, d):
+    return rnd(indicators.oscillators(raw_prices(spark, d, land=False)),
+               {c: R_MEAN for c in ("rsi", "atr", "macd", "macd_signal")})
 
-def q_scenario_bands(spark, d):
-    _, paths = _paths(spark, d)
-    return sig(scenarios.scenario_bands(paths), BAND_COLS)
 
+def q_price_bands(spark, d):
+    return rnd(indicators.bands(raw_prices(spark, d, land=False)),
+               {c: R_MEAN for c in ("middle", "upper", "lower", "stoch_k", "stoch_d")})
 
-def q_recommend_basic(spark, d):
-    ctx, f = _forecast(spark, d)
-    rec = forecast.recommend_basic(f, ctx)
-    return sig(rec, ["current_price", "target_price", "highest_price", "lowest_price",
-                     "change_percent"])
+
+def q_candles(spark, d):
+    return rnd(indicators.candles(raw_prices(spark, d, land=False)),
+               {"close_lag_1": R_MONEY, "close_lag_2": R_MONEY, "close_lag_3": R_MONEY,
+                "volume_ma_5": R_MEAN, "volume_ratio": R_MEAN})
+
+
+def q_guarded_features(spark, d):
+    cols = ["pct_change", "daily_return", "volatility_5d", "volatility_20d"]
+    lagged = indicators.guarded(silver_prices(spark, d), cols)
+    return rnd(lagged.select("symbol", "date", *cols), PRICE_ROUND)
 
 
-def q_recommend_scenario(spark, d):
-    ctx, paths = _paths(spark, d)
-    rec = scenarios.recommend_scenario(scenarios.scenario_bands(paths), ctx)
-    return sig(rec, ["current_price", "mean_target_price", "median_target_price",
-                     "best_case_price", "worst_case_price", "highest_mean_price",
-                     "lowest_mean_price", "change_percent", "expected_profit"])
+def q_walk_forward(spark, d):
+    frame = features.training_frame(silver_prices(spark, d))
+    return rnd(indicators.walk_forward(frame), {"mae": R_ROLL, "rmse": R_ROLL})
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

@@ -54,10 +54,10 @@ GOLD = {
     "dim_fin_metric": _struct(("metric_key", I, False), ("metric_name", S, True),
                               ("metric_group", S, True), ("unit", S, True)),
     "dim_stock_metric": _struct(("stock_metric_key", I, False), ("metric_name", S, True)),
-    "fact_finance": _struct(("fact_finance_id", I, False), ("date_key", I, True),
+    "fact_finance": _struct(("fact_finance_id", T.LongType(), False), ("date_key", I, True),
                             ("company_key", I, True), ("fin_type_key", I, True),
                             ("metric_key", I, True), ("value", D, True)),
-    "fact_stock_prices": _struct(("fact_price_id", I, False), ("date_key", I, True),
+    "fact_stock_prices": _struct(("fact_price_id", T.LongType(), False), ("date_key", I, True),
                                  ("company_key", I, True), ("stock_metric_key", I, True),
                                  ("value", D, True)),
 }
@@ -83,11 +83,6 @@ FOREIGN_KEYS = [
     ("fact_stock_prices", "stock_metric_key", "dim_stock_metric", "stock_metric_key"),
 ]
 
-PRICE_SCHEMA = _struct(("symbol", S, True), ("date", DT, True), ("open", D, True),
-                       ("high", D, True), ("low", D, True), ("close", D, True),
-                       ("volume", T.LongType(), True))
-
-
 def ddl(table: str) -> str:
     """Column list of a Gold table as SQL DDL text."""
     return ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in GOLD[table].fields)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import os
 import tempfile
 
@@ -53,6 +54,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if configured:
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir() or configured
+    if not sc.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     local = tempfile.mkdtemp(prefix="finmart-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(local)
     return sc.getCheckpointDir() or local
@@ -66,10 +69,34 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     import uuid
 
     base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/finmart-{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{base}/finmart-{name}-{uuid.uuid4().hex[:12]}"
+    _made.append(path)
+    return path
 
 
-def materialize(df, name: str = "stage"):
+_made: list[str] = []   # scratch folders of this driver, oldest first
+
+
+@contextlib.contextmanager
+def stage_scope(spark: SparkSession):
+    """Delete the scratch folders made inside the block when it ends: put the whole run of a
+    query there, result written or collected, because lazy results read those folders."""
+    start = len(_made)
+    try:
+        yield
+    finally:
+        drop_folders(spark, _made[start:])
+        del _made[start:]
+
+
+def drop_folders(spark: SparkSession, paths: list[str]) -> None:
+    jvm = spark._jvm
+    for path in paths:
+        at = jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def materialize(df, name: str = "stage", by_year: bool = False):
     """Cut lineage at a stage boundary by writing a table into the shared checkpoint folder.
 
     Used where several data-dependent passes (null counts, medians, keys) would
@@ -81,5 +108,18 @@ def materialize(df, name: str = "stage"):
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.mode("overwrite").parquet(path)
+    if by_year:   # a fact: one folder a year, rows ordered by company inside the files
+        df = with_year(df)
+        df.repartitionByRange("year", "company_key", "date_key") \
+            .sortWithinPartitions("year", "company_key", "date_key") \
+            .write.mode("overwrite").partitionBy("year").parquet(path)
+    else:
+        df.write.mode("overwrite").parquet(path)
     return spark.read.schema(df.schema).parquet(path)   # known schema: no inference job
+
+
+def with_year(fact):
+    """A fact with its partition column, the year of ``date_key``."""
+    from pyspark.sql import functions as F
+
+    return fact.withColumn("year", F.floor(F.col("date_key") / 10000).cast("int"))

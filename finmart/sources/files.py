@@ -11,23 +11,48 @@ from pyspark.sql import types as T
 
 from ..functions.dates import try_date
 from ..schemas import GOLD, ddl
+from ..session import with_year
 
 log = logging.getLogger(__name__)
 
 NULL_TOKEN = "None"
+# Texts that stand for a missing value in the CSV files to be read.
+NA_TOKENS = ["", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND",
+             "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null"]
 
 
 # --- Bronze: CSV ---------------------------------------------------------------------------
 
+def _typed(text: DataFrame, types: dict[str, str]) -> DataFrame:
+    """Text columns cast to their types; what does not parse, and NaN, becomes NULL."""
+    def one(c: str):
+        value = F.col(f"`{c}`").try_cast(types[c])
+        return F.when(~F.isnan(value), value) if types[c] in ("double", "float") else value
+    return text.select(*[one(c).alias(c) for c in text.columns])
+
+
+def infer_types(text: DataFrame) -> dict[str, str]:
+    """The narrowest of bigint, double, date and string that every value parses as (one
+    aggregate over all rows); a column without values stays text."""
+    kinds = ["bigint", "double", "date"]
+    got = text.agg(*[F.count(F.col(f"`{c}`").try_cast(k)).alias(f"{i}_{k}")
+                     for i, c in enumerate(text.columns) for k in kinds],
+                   *[F.count(F.col(f"`{c}`")).alias(f"{i}_n") for i, c in enumerate(text.columns)]).first()
+    return {c: next((k for k in kinds if got[f"{i}_n"] and got[f"{i}_{k}"] == got[f"{i}_n"]), "string")
+            for i, c in enumerate(text.columns)}
+
+
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None,
-             null_token: str = NULL_TOKEN) -> DataFrame:
-    """CSV with a header row and the vendor's NULL token; an explicit schema skips inference."""
-    reader = spark.read.option("header", True).option("nullValue", null_token)
-    if schema is not None:
-        reader = reader.schema(schema).option("mode", "PERMISSIVE")
-    else:
-        reader = reader.option("inferSchema", True)
-    return reader.csv(path)
+             na_tokens: list[str] = NA_TOKENS) -> DataFrame:
+    """CSV with a header row. Every field is read as text, tokens of a missing value become NULL,
+    and the rest is cast to ``schema`` (by name) or to inferred types."""
+    text = spark.read.option("header", True).csv(path)
+    text = text.select(*[F.when(~F.trim(F.col(f"`{c}`")).isin(na_tokens), F.col(f"`{c}`")).alias(c)
+                         for c in text.columns])
+    types = {f.name: f.dataType.simpleString() for f in schema.fields} if schema else infer_types(text)
+    if schema:
+        text = text.select(*[F.col(f"`{f.name}`") for f in schema.fields])
+    return _typed(text, types)
 
 
 def write_csv(df: DataFrame, path: str, null_token: str = NULL_TOKEN) -> None:
@@ -59,31 +84,28 @@ def load_sources(spark: SparkSession, paths: dict[str, str],
 
 
 def list_files(spark: SparkSession, directory: str, pattern: str = "*.csv") -> list[str]:
-    """File paths under ``directory`` matching ``pattern`` (file metadata only)."""
-    try:
-        listing = (spark.read.format("binaryFile").option("pathGlobFilter", pattern)
-                   .option("recursiveFileLookup", True).load(directory).select("path"))
-        return sorted(r["path"] for r in listing.collect())
-    except AnalysisException:
-        return []
-
-
-def scan_directory(spark: SparkSession, directory: str, suffix: str = "_raw") -> dict[str, DataFrame]:
-    """Each CSV file becomes a table named ``<file stem><suffix>``; its first column
-    is coerced to DATE (unparseable → NULL). CSV folders written by Spark count as
-    one file each."""
+    """Paths directly under ``directory`` that match ``pattern``; a missing folder is an error.
+    A CSV folder written by Spark is one path: its part files are not listed."""
+    fs_path = spark._jvm.org.apache.hadoop.fs.Path
+    folder = fs_path(directory)
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(folder):
+        raise FileNotFoundError(directory)
+    return sorted(s.getPath().toString() for s in fs.globStatus(fs_path(folder, pattern)))
+
+
+def scan_directory(spark: SparkSession, directory: str, suffix: str = "_raw",
+                   pattern: str = "*.csv") -> dict[str, DataFrame]:
+    """Each CSV file (or CSV folder) directly under ``directory`` becomes a table named
+    ``<file stem><suffix>``; its first column is coerced to DATE (unparseable → NULL). Two paths
+    with one stem are an error."""
     import os
 
     out = {}
-    for path in list_files(spark, directory, "*.csv"):
-        parent = os.path.basename(os.path.dirname(path.rstrip("/")))
-        stem = os.path.splitext(os.path.basename(path))[0]
-        if parent.endswith(".csv"):  # a folder of part files written by Spark
-            stem, path = os.path.splitext(parent)[0], os.path.dirname(path)
-        path = path.replace("file:", "", 1) if path.startswith("file:/") else path
-        name = f"{stem}{suffix}"
+    for path in list_files(spark, directory, pattern):
+        name = f"{os.path.splitext(os.path.basename(path.rstrip('/')))[0]}{suffix}"
         if name in out:
-            continue
+            raise ValueError(f"{directory}: more than one file for table {name!r}")
         df = read_csv(spark, path)
         first = df.columns[0]
         out[name] = df.withColumn(first, try_date(first))
@@ -108,25 +130,27 @@ def gold_path(base: str, name: str) -> str:
 
 
 def write_gold(df: DataFrame, name: str, base: str) -> None:
-    """Dimensions to dims/, facts to facts/ partitioned by year (from date_key), overwrite.
-
-    Dynamic partition overwrite replaces only the years being written.
-    """
+    """Dimensions to dims/, facts to facts/ partitioned by year (from date_key) and ordered by
+    company inside the files. A write replaces the whole table, years that it lacks included."""
     path = gold_path(base, name)
     if name.startswith("fact"):
-        (df.withColumn("year", (F.col("date_key") / 10000).cast("int"))
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        (with_year(df).repartitionByRange("year", "company_key", "date_key")
+         .sortWithinPartitions("year", "company_key", "date_key")
+         .write.mode("overwrite").option("partitionOverwriteMode", "static")
          .partitionBy("year").parquet(path))
     else:
         df.write.mode("overwrite").parquet(path)
 
 
-def read_gold(spark: SparkSession, base: str, names: list[str] | None = None) -> dict[str, DataFrame]:
-    """Gold tables with their declared schemas (the partition column is dropped)."""
+def read_gold(spark: SparkSession, base: str, names: list[str] | None = None,
+              keep_year: bool = False) -> dict[str, DataFrame]:
+    """Gold tables with their declared schemas; ``keep_year`` leaves the facts their partition
+    column, by which a date range prunes folders."""
     out = {}
     for name in names or list(GOLD):
         df = spark.read.parquet(gold_path(base, name))
-        out[name] = df.select(*[F.col(f.name).cast(f.dataType) for f in GOLD[name].fields])
+        year = ["year"] if keep_year and name.startswith("fact") else []
+        out[name] = df.select(*[F.col(f.name).cast(f.dataType) for f in GOLD[name].fields], *year)
     return out
 
 
@@ -136,12 +160,17 @@ def create_star_tables(spark: SparkSession, database: str, location: str) -> Non
     """``CREATE TABLE IF NOT EXISTS … USING parquet`` for every Gold table."""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{location}'")
     for name in GOLD:
-        spark.sql(f"CREATE TABLE IF NOT EXISTS {database}.{name} ({ddl(name)}) USING parquet")
+        by = ", year int) USING parquet PARTITIONED BY (year)" if name.startswith("fact") else ") USING parquet"
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {database}.{name} ({ddl(name)}{by}")
 
 
 def refresh_table(spark: SparkSession, df: DataFrame, table: str, gold_name: str) -> DataFrame:
     """Full refresh by column name after casting to the declared schema."""
     fields = GOLD[gold_name].fields
     conformed = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in fields])
-    conformed.write.mode("overwrite").format("parquet").saveAsTable(table)
+    if gold_name.startswith("fact"):
+        (with_year(conformed).repartitionByRange("year", "company_key", "date_key")
+         .write.mode("overwrite").format("parquet").partitionBy("year").saveAsTable(table))
+    else:
+        conformed.write.mode("overwrite").format("parquet").saveAsTable(table)
     return spark.table(table)

@@ -1,11 +1,11 @@
 """Map the driver's TPC-H-style tables onto the two input shapes finmart consumes.
 
-* **prices** (daily bars) come from ``orders``: the symbol is the order priority,
-  one bar per (symbol, order date); open/close are the total price of the lowest /
-  highest order key of the day, high/low the extremes, volume the order count.
+* **prices** (daily bars) come from ``lineitem ⋈ supplier``: the symbol is the supplier's name,
+  one bar per (supplier, ship date); open/close are the extended price of the first / last line
+  of the day by (order key, line number, price), high/low the extremes, volume the line count.
 * **statements** (quarterly, wide, camelCase like a vendor download) come from
-  ``lineitem ⋈ orders ⋈ part`` grouped by (order priority, quarter of ship date),
-  so statement and price symbols share one company dimension.
+  ``lineitem ⋈ supplier ⋈ part`` grouped by (supplier, quarter of ship date), so statement and
+  price symbols share one company dimension and both grow with the data.
 
 Some measures are reported only from a given year (NULL before), one metric is
 never reported (an all-NULL column) and ``netIncome`` appears in two statements,
@@ -29,15 +29,17 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def prices_from_orders(orders: DataFrame) -> DataFrame:
-    """Daily OHLCV bars per (symbol, date); min_by/max_by aggregate partially map-side."""
-    return (orders
-            .groupBy(F.col("o_orderpriority").alias("symbol"),
-                     F.col("o_orderdate").cast("date").alias("date"))
-            .agg(F.min_by("o_totalprice", "o_orderkey").alias("open"),
-                 F.max("o_totalprice").alias("high"),
-                 F.min("o_totalprice").alias("low"),
-                 F.max_by("o_totalprice", "o_orderkey").alias("close"),
+def prices_from_lines(lineitem: DataFrame, supplier: DataFrame) -> DataFrame:
+    """Daily OHLCV bars per (symbol, date); min_by/max_by aggregate partially map-side. The price
+    is part of the order of a day's lines, so lines that repeat a key leave no tie."""
+    turn = F.struct("l_orderkey", "l_linenumber", "l_extendedprice")
+    return (lineitem.select("l_suppkey", "l_orderkey", "l_linenumber", "l_extendedprice", "l_shipdate")
+            .join(supplier.select("s_suppkey", "s_name"), F.col("l_suppkey") == F.col("s_suppkey"))
+            .groupBy(F.col("s_name").alias("symbol"), F.col("l_shipdate").cast("date").alias("date"))
+            .agg(F.min_by("l_extendedprice", turn).alias("open"),
+                 F.max("l_extendedprice").alias("high"),
+                 F.min("l_extendedprice").alias("low"),
+                 F.max_by("l_extendedprice", turn).alias("close"),
                  F.count(F.lit(1)).alias("volume"))
             .select("date", "open", "high", "low", "close", "volume", "symbol"))
 
@@ -57,19 +59,21 @@ def _units(c: str, places: int = 2):
     return F.round(F.col(c) * (10 ** places)).cast("long")
 
 
+_HALF = 1 << 20
+
+
 def exact_sum(term, scale: int):
-    """Sum of an integer ``term`` (units of 10^-scale) as DOUBLE.
+    """Sum of an integer ``term`` (units of 10^-scale) as DOUBLE, the same in any merge order.
 
-    Terms are exact integers (long arithmetic on cent amounts) summed as doubles:
-    integer-valued double sums are exact — hence independent of the order in which
-    partitions are merged — while a group's total stays below 2^53 units, and keep
-    ordinary double accuracy beyond, with no overflow at any size. The one division
-    by the unit at the end is correctly rounded.
+    The term's high and low part are summed as longs, which is exact, and joined once at the end;
+    a part cannot overflow before the total passes 2^63 x 2^20 units.
     """
-    return F.sum(term.cast("double")) / F.lit(float(10 ** scale))
+    high = F.sum(F.floor(term / F.lit(_HALF)).cast("long"))
+    low = F.sum(F.pmod(term, F.lit(_HALF)))
+    return (high.cast("double") * F.lit(float(_HALF)) + low.cast("double")) / F.lit(float(10 ** scale))
 
 
-def quarterly_ledger(lineitem: DataFrame, orders: DataFrame, part: DataFrame) -> DataFrame:
+def quarterly_ledger(lineitem: DataFrame, supplier: DataFrame, part: DataFrame) -> DataFrame:
     """One aggregate over all line items holding every statement measure.
 
     Each statement is a projection of this one aggregate, so a plan that uses all
@@ -81,10 +85,10 @@ def quarterly_ledger(lineitem: DataFrame, orders: DataFrame, part: DataFrame) ->
     qty, retail = _units("l_quantity"), _units("p_retailprice")
     cost = qty * retail                               # 10^-4
     flag = F.col("l_returnflag")
-    li = lineitem.select("l_orderkey", "l_partkey", "l_quantity", "l_extendedprice",
+    li = lineitem.select("l_suppkey", "l_partkey", "l_quantity", "l_extendedprice",
                          "l_discount", "l_tax", "l_returnflag", "l_shipdate")
-    joined = (li.join(orders.select("o_orderkey", "o_orderpriority"),
-                      F.col("l_orderkey") == F.col("o_orderkey"))
+    joined = (li.join(supplier.select("s_suppkey", "s_name"),
+                      F.col("l_suppkey") == F.col("s_suppkey"))
               .join(part.select("p_partkey", "p_retailprice"),
                     F.col("l_partkey") == F.col("p_partkey")))
     measures = {
@@ -103,7 +107,7 @@ def quarterly_ledger(lineitem: DataFrame, orders: DataFrame, part: DataFrame) ->
         "receivables": exact_sum(F.when(flag == "A", ep), 2),
     }
     return (joined
-            .groupBy(F.col("o_orderpriority").alias("symbol"),
+            .groupBy(F.col("s_name").alias("symbol"),
                      quarter_end(F.col("l_shipdate")).alias("quarter_end"))
             .agg(*[m.alias(k) for k, m in measures.items()]))
 
@@ -175,7 +179,7 @@ def raw_statements(spark: SparkSession, sf_dir: str, land: bool = True) -> dict[
     line item.
     """
     ledger = quarterly_ledger(read_table(spark, sf_dir, "lineitem"),
-                              read_table(spark, sf_dir, "orders"),
+                              read_table(spark, sf_dir, "supplier"),
                               read_table(spark, sf_dir, "part"))
     if land:
         ledger = materialize(ledger)
@@ -184,7 +188,8 @@ def raw_statements(spark: SparkSession, sf_dir: str, land: bool = True) -> dict[
 
 def raw_prices(spark: SparkSession, sf_dir: str, land: bool = True) -> DataFrame:
     """Bronze daily bars (landed once, like the statements)."""
-    bars = prices_from_orders(read_table(spark, sf_dir, "orders"))
+    bars = prices_from_lines(read_table(spark, sf_dir, "lineitem"),
+                             read_table(spark, sf_dir, "supplier"))
     return materialize(bars) if land else bars
 
 

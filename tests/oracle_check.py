@@ -34,7 +34,7 @@ def norm(v):
         return "NULL"
     if isinstance(v, float):
         if math.isnan(v):
-            return "NULL"
+            return "NaN"
         return repr(float(v))   # strict: -0.0 and 0.0 hash differently
     if isinstance(v, dt.datetime):
         return v.isoformat()
@@ -52,16 +52,18 @@ def canon(columns, rows):
 
 def compare(spark, sf_dir: str, keys=None, verbose=True):
     import __spark_entry__ as E
+    from finmart.session import stage_scope
     qs, sqls = E.queries(), E.oracle_sql()
     con = duck(sf_dir)
     results = {}
     for k in keys or list(qs):
         t0 = time.time()
         try:
-            df = qs[k](spark, sf_dir)
-            srows = [tuple(r) for r in df.collect()]
-            scols = df.columns
-            stypes = [f.dataType.simpleString() for f in df.schema.fields]
+            with stage_scope(spark):
+                df = qs[k](spark, sf_dir)
+                srows = [tuple(r) for r in df.collect()]
+                scols = df.columns
+                stypes = [f.dataType.simpleString() for f in df.schema.fields]
         except Exception as exc:  # noqa: BLE001
             results[k] = ("SPARK_ERROR", str(exc)[:400])
             print(k, "SPARK_ERROR", str(exc)[:800])

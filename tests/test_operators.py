@@ -2,13 +2,16 @@
 
 import datetime as dt
 
+import os
+
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from finmart.functions import dates as D
-from finmart.functions.numeric import hashed_normal, hashed_uniform, round_sig
-from finmart.operators import clean, eda, features, forecast, keys, marts, quality, scenarios, star
+from finmart.functions.numeric import round_sig
+from finmart.operators import clean, eda, features, forecast, indicators, keys, marts, quality, star
+from finmart.sources import files
 from finmart.operators.stats import exact_quantiles_long
 from finmart.schemas import STATEMENT_TYPES, STOCK_METRICS
 
@@ -51,16 +54,17 @@ def test_unify_statement_date_fallbacks(spark):
     assert clean.unify_statement_date(c).first().date is None
 
 
-@pytest.mark.parametrize("method", ["aggregate", "distributed"])
-def test_median_even_count_and_imputation(spark, method):
+def test_median_even_count_and_imputation(spark):
     df = spark.createDataFrame([(1.0, 5.0), (2.0, None), (10.0, 7.0), (None, 9.0)],
                                "x double, y double")
-    med = clean.column_medians(df, ["x", "y"], method)
+    med = clean.column_medians(df, ["x", "y"])
     assert med == {"x": 2.0, "y": 7.0}
     even = spark.createDataFrame([(1.0,), (2.0,), (3.0,), (10.0,)], "x double")
-    assert clean.column_medians(even, ["x"], method) == {"x": 2.5}
-    filled = clean.impute_median(df, method=method)
+    assert clean.column_medians(even, ["x"]) == {"x": 2.5}
+    filled = clean.impute_median(df)
     assert [r.x for r in filled.collect()] == [1.0, 2.0, 10.0, 2.0]
+    whole = spark.createDataFrame([(10,), (None,), (13,)], "n int")
+    assert sorted(r.n for r in clean.impute_median(whole).collect()) == [10.0, 11.5, 13.0]
 
 
 def test_distributed_quantiles_match_aggregate(spark):
@@ -170,11 +174,10 @@ def test_next_business_day(spark, start, expected):
 
 # --- keys -------------------------------------------------------------------------------------
 
-@pytest.mark.parametrize("small_rows", [None, 10_000])
-def test_dense_index_is_a_permutation_in_order(spark, small_rows):
+def test_dense_index_is_a_permutation_in_order(spark):
     df = spark.range(0, 5000).select((F.col("id") * 7919 % 5000).alias("v"),
                                      (F.col("id") % 3).alias("g"))
-    out = keys.dense_index(df, ["g", F.col("v").desc()], "k", small_rows=small_rows)
+    out = keys.dense_index(df, ["g", F.col("v").desc()], "k")
     got = [(r.g, r.v, r.k) for r in out.collect()]
     expected = sorted(((g, v) for g, v, _ in got), key=lambda t: (t[0], -t[1]))
     assert sorted(got, key=lambda t: t[2]) == [(g, v, i + 1) for i, (g, v) in enumerate(expected)]
@@ -253,8 +256,8 @@ def test_prices_wide_unknown_ticker_is_empty_and_duplicates_average(spark):
 def test_statement_matrix_duplicate_is_error(spark):
     long = spark.createDataFrame([("m", d("2020-03-31"), 1.0), ("m", d("2020-03-31"), 2.0)],
                                  "metric_name string, date date, value double")
-    with pytest.raises(ValueError):
-        marts.statement_matrix(long, ["2020-03-31"])
+    with pytest.raises(Exception, match="duplicate cell"):
+        marts.statement_matrix(long, ["2020-03-31"]).collect()
 
 
 # --- EDA --------------------------------------------------------------------------------------
@@ -280,7 +283,7 @@ def test_cost_structure_shares_sum_to_100(spark):
     assert sum(r.share_pct for r in out) == pytest.approx(100.0)
 
 
-# --- forecast / scenarios ------------------------------------------------------------------
+# --- forecast ------------------------------------------------------------------
 
 def _ctx(spark, close=100.0):
     return spark.createDataFrame(
@@ -318,28 +321,6 @@ def test_basic_recommendation_strict_thresholds(spark, final, status):
     assert forecast.recommend_basic(fc, ctx).first().status == status
 
 
-def test_scenarios_are_partition_independent(spark):
-    ctx = _ctx(spark)
-    fc = forecast.recursive_forecast(ctx, 5, {"pct_change": 0.1}, 0.0)
-    trend = scenarios.trend_returns(fc, ctx)
-    a = scenarios.scenario_paths(trend, 50, seed=7, partitions=1).collect()
-    b = scenarios.scenario_paths(trend, 50, seed=7, partitions=13).collect()
-    assert sorted(map(tuple, a)) == sorted(map(tuple, b))
-    bands = scenarios.scenario_bands(scenarios.scenario_paths(trend, 50, seed=7)).collect()
-    assert len(bands) == 5 and all(r.p5_price <= r.median_price <= r.p95_price for r in bands)
-    rec = scenarios.recommend_scenario(scenarios.scenario_bands(
-        scenarios.scenario_paths(trend, 50, seed=7)), ctx).first()
-    assert rec.status in {"UP_STRONG", "UP_MODERATE", "UP_SLIGHT", "FLAT", "DOWN_SLIGHT",
-                          "DOWN_MODERATE", "DOWN_STRONG"}
-
-
-def test_hashed_normal_moments(spark):
-    df = spark.range(20000).select(hashed_normal(F.lit(42), F.col("id")).alias("z"),
-                                   hashed_uniform(F.col("id")).alias("u"))
-    r = df.agg(F.avg("z"), F.stddev("z"), F.min("u"), F.max("u")).first()
-    assert abs(r[0]) < 0.03 and abs(r[1] - 1) < 0.03 and 0 < r[2] and r[3] < 1
-
-
 def test_round_sig(spark):
     df = spark.createDataFrame([(123456789.987,), (-0.000123456789,), (None,)], "x double")
     out = [r[0] for r in df.select(round_sig("x", 4)).collect()]
@@ -434,11 +415,6 @@ def test_compare_models_ranks_and_persists(spark, tmp_path):
     assert LinearRegressionModel.load(str(tmp_path / "best")).coefficients == best.coefficients
 
 
-def test_plot_paths_cut(spark):
-    paths = spark.range(300).select((F.col("id") % 150).alias("sim"))
-    assert scenarios.plot_paths(paths, 100).select("sim").distinct().count() == 100
-
-
 def test_distributed_median_with_hot_value(spark):
     """A third of the rows share one value; the pre-aggregated pick still matches median."""
     df = spark.range(0, 3000).select(
@@ -446,7 +422,7 @@ def test_distributed_median_with_hot_value(spark):
         .alias("x"),
         F.when(F.col("id") % 5 == 0, F.lit(None)).otherwise(F.col("id").cast("double")).alias("y"))
     exact = df.agg(F.median("x"), F.median("y")).first()
-    got = clean.column_medians(df, ["x", "y"], "distributed")
+    got = clean.column_medians(df, ["x", "y"])
     assert got == {"x": exact[0], "y": exact[1]}
 
 
@@ -458,3 +434,133 @@ def test_empty_dimensions_raise_when_landed(spark):
         g["dim_date"]
     with pytest.raises(ValueError):
         g["dim_company"]
+
+
+# --- sources ------------------------------------------------------------------------------------
+
+def test_csv_missing_tokens_and_inference(spark, tmp_path):
+    (tmp_path / "t.csv").write_text("d,a,b,c\n2020-01-31,1,N/A,x\n2020-02-29,NaN,2.5,null\nNone,3,nan,NA\n")
+    df = files.read_csv(spark, str(tmp_path / "t.csv"))
+    assert [t for _, t in df.dtypes] == ["date", "bigint", "double", "string"]
+    assert [tuple(r)[1:] for r in df.collect()] == [(1, None, "x"), (None, 2.5, None), (3, None, None)]
+    typed = files.read_csv(spark, str(tmp_path / "t.csv"), T.StructType([
+        T.StructField("b", T.DoubleType()), T.StructField("a", T.DoubleType())]))
+    assert [tuple(r) for r in typed.collect()] == [(None, 1.0), (2.5, None), (None, 3.0)]
+
+
+def test_scan_directory_is_flat_and_strict(spark, tmp_path):
+    for folder in ("x", "x/deep"):
+        (tmp_path / folder).mkdir()
+        (tmp_path / folder / "t.csv").write_text("date,v\n2020-01-31,1\n")
+    assert set(files.scan_directory(spark, str(tmp_path / "x"))) == {"t_raw"}
+    (tmp_path / "x" / "t.txt").write_text("date,v\n2020-01-31,1\n")
+    with pytest.raises(ValueError):
+        files.scan_directory(spark, str(tmp_path / "x"), pattern="t.*")
+    with pytest.raises(FileNotFoundError):
+        files.scan_directory(spark, str(tmp_path / "missing"))
+
+
+def _price_fact(spark):
+    rows = [(i, 20190101 + 10000 * (i % 3), 1 + i % 2, 1, float(i)) for i in range(12)]
+    return spark.createDataFrame(rows, "fact_price_id long, date_key int, company_key int, "
+                                       "stock_metric_key int, value double")
+
+
+def test_gold_write_with_fewer_years_replaces_all(spark, tmp_path):
+    fact = _price_fact(spark)
+    files.write_gold(fact, "fact_stock_prices", str(tmp_path))
+    files.write_gold(fact.filter("date_key > 20200000"), "fact_stock_prices", str(tmp_path))
+    back = files.read_gold(spark, str(tmp_path), ["fact_stock_prices"])["fact_stock_prices"]
+    assert sorted({r.date_key // 10000 for r in back.collect()}) == [2020, 2021]
+    assert back.count() == 8
+
+
+def test_price_range_prunes_years(spark, tmp_path):
+    files.write_gold(_price_fact(spark), "fact_stock_prices", str(tmp_path))
+    fact = files.read_gold(spark, str(tmp_path), ["fact_stock_prices"], keep_year=True)["fact_stock_prices"]
+    company = spark.createDataFrame([(1, "T")], "company_key int, ticker string")
+    dates = spark.createDataFrame([(20200101, d("2020-01-01"))], "date_key int, date date")
+    wide = marts.prices_wide(fact, company, dates, star.dim_stock_metric(spark), "T",
+                             "2020-01-01", "2020-12-31")
+    plan = wide._jdf.queryExecution().toString()
+    found = plan[plan.index("PartitionFilters: ["):][:200]
+    assert "year" in found.split("]")[0]
+    assert wide.count() == 1
+
+
+def test_matrix_date_without_a_column_is_an_error(spark):
+    long = spark.createDataFrame([("m", d("2020-03-31"), 1.0), ("m", d("2002-03-31"), 2.0)],
+                                 "metric_name string, date date, value double")
+    with pytest.raises(Exception, match="no column in the matrix"):
+        marts.statement_matrix(long, ["2020-03-31"]).collect()
+
+
+def test_stage_folders_go_and_clusters_need_a_shared_folder(spark, monkeypatch):
+    from finmart import session
+    with session.stage_scope(spark):
+        df = session.materialize(spark.range(3), "scope")
+        path = df.inputFiles()[0]
+        assert df.count() == 3
+    assert not os.path.exists(path.replace("file://", "").replace("file:", ""))
+
+    class Context:
+        master = "spark://host:7077"
+        def getCheckpointDir(self): return None
+        def getConf(self): return self
+        def get(self, key, default=None): return default
+
+    class Session:
+        sparkContext, conf = Context(), Context()
+    with pytest.raises(RuntimeError):
+        session.ensure_checkpoint_dir(Session())
+
+
+def test_empty_dimensions_raise_in_the_etl(spark):
+    from finmart.plans import etl
+    raw = spark.createDataFrame([("bad", "USD", 1.0, "A")],
+                                "fiscalDateEnding string, reportedCurrency string, totalRevenue double, symbol string")
+    with pytest.raises(ValueError, match="dim_date"):
+        etl.run_etl(spark, {"income_statement": raw})
+
+
+# --- indicators ---------------------------------------------------------------------------------
+
+def _bars(spark, closes):
+    rows = [("A", d("2024-01-01") + dt.timedelta(days=i), c, c + 1, c - 1, c, 10 + i)
+            for i, c in enumerate(closes)]
+    return spark.createDataFrame(rows, "symbol string, date date, open double, high double, "
+                                       "low double, close double, volume long")
+
+
+def test_indicators_need_full_frames(spark):
+    bars = _bars(spark, [float(x) for x in range(1, 41)])
+    ma = indicators.moving_averages(bars).orderBy("date").collect()
+    assert ma[3].ma_5 is None and ma[4].ma_5 == 3.0 and ma[18].ma_20 is None and ma[19].ma_20 == 10.5
+    osc = indicators.oscillators(bars).orderBy("date").collect()
+    assert osc[13].rsi is None and osc[14].rsi == 100.0 and osc[14].atr == 2.0
+    assert osc[24].macd is None and osc[25].macd > 0 and osc[32].macd_signal is None
+    band = indicators.bands(bars).orderBy("date").collect()
+    assert band[18].middle is None and band[19].upper > band[19].middle > band[19].lower
+    flat = indicators.oscillators(_bars(spark, [5.0] * 20)).orderBy("date").collect()
+    assert flat[19].rsi is None and flat[19].atr == 2.0     # no move: no ratio
+
+
+def test_guard_uses_only_earlier_rows(spark):
+    out = indicators.guarded(_bars(spark, [1.0, 2.0, 3.0]), ["close"]).orderBy("date").collect()
+    assert [r.close for r in out] == [None, 1.0, 2.0]
+
+
+def test_walk_forward_expands(spark):
+    rows = [("A", d("2024-01-01") + dt.timedelta(days=i), float(i), 2.0 * i + 1) for i in range(23)]
+    df = spark.createDataFrame(rows, "symbol string, date date, pct_change double, target double")
+    out = indicators.walk_forward(df).orderBy("fold").collect()
+    assert [(r.train_rows, r.test_rows) for r in out] == [(4, 4), (8, 4), (12, 4), (16, 7)]
+    assert all(abs(r.mae) < 1e-9 for r in out)
+
+
+def test_divergent_forecasts_are_null_with_a_status(spark):
+    rows = [("A", 1, None, 5.0), ("A", 2, None, float("nan")), ("A", 3, None, 7.0), ("B", 1, None, 1e13)]
+    df = spark.createDataFrame(rows, "symbol string, step int, date date, predicted_price double")
+    out = {(r.symbol, r.step): (r.predicted_price, r.status) for r in forecast.bounded(df).collect()}
+    assert out == {("A", 1): (5.0, "ok"), ("A", 2): (None, "diverged"), ("A", 3): (None, "diverged"),
+                   ("B", 1): (None, "diverged")}

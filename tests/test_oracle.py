@@ -1,7 +1,6 @@
-"""Registered queries against their DuckDB SQL on the driver tables (sf0.01).
+"""Registered queries against their DuckDB SQL on the driver tables.
 
-A representative key per operator family runs by default; FINMART_FULL_ORACLE=1
-runs every key. Mirrors the driver's check: row count, column names and an
+Every key runs on the smallest tables; FINMART_FULL_ORACLE=1 runs them at sf0.01. Mirrors the driver's check: row count, column names and an
 order-insensitive hash of all values.
 """
 
@@ -14,16 +13,12 @@ import pytest
 
 from oracle_check import compare
 
-SF = "/root/testdata/sf0.01"
-DEFAULT_KEYS = ["price_features", "tick_bar_features", "statement_clean", "null_profile", "cleaning_report",
-                "dim_company", "star_fact_finance", "dq_foreign_keys", "mart_prices_wide", "mart_price_range",
-                "mart_statement_matrix", "correlation_matrix", "model_ranking",
-                "recursive_forecast", "scenario_bands", "recommend_scenario"]
+SF = "/root/testdata/sf0.01" if os.environ.get("FINMART_FULL_ORACLE") else "/root/testdata/sf0.001"
 
 
 def _keys():
-    import __spark_entry__ as E
-    return list(E.oracle_sql()) if os.environ.get("FINMART_FULL_ORACLE") else DEFAULT_KEYS
+    from finmart.plans.oracle import ORACLE
+    return list(ORACLE)
 
 
 @pytest.mark.skipif(not os.path.isdir(SF), reason="driver tables not present")
