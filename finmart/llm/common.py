@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import pathlib
 from collections.abc import Callable, Iterator
@@ -12,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import materialize
+from ..session import drop_folders, materialize
 
 
 _CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
@@ -44,9 +45,19 @@ def land(df: DataFrame, name: str) -> DataFrame:
     conf, before = df.sparkSession.conf, df.sparkSession.conf.get(_CLEAN_UP)
     conf.set(_CLEAN_UP, "true")   # the plan is not run again: its shuffle files may go at once
     try:
-        return materialize(df, f"llm-{name}")
+        out = materialize(df, f"llm-{name}")
     finally:
         conf.set(_CLEAN_UP, before)
+    gc.collect()   # what else only dead plans refer to: Spark's cleaner acts on the JVM's collection
+    df.sparkSession._jvm.System.gc()
+    return out
+
+
+def release(*landed: DataFrame) -> None:
+    """Delete the folders of landed stages that nothing will read again."""
+    for df in landed:
+        files = df.inputFiles()
+        drop_folders(df.sparkSession, [files[0].rpartition("/")[0]] if files else [])
 
 
 def text_or_empty(name: str = "text"):
@@ -145,7 +156,8 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     pairs = edges.select(hi.alias("u"), lo.alias("v")).filter(F.col("u") != F.col("v")).distinct()
     pairs, seen = land(pairs, "cc"), None
     while True:
-        pairs = land(_star(_star(pairs, True), False), "cc")
+        last, pairs = pairs, land(_star(_star(pairs, True), False), "cc")
+        release(last)
         now = pairs.agg(F.count(F.lit(1)), F.sum(F.hash("u", "v").cast("long")),
                         F.sum(F.xxhash64("v", "u") % F.lit(1 << 31))).first()
         if now == seen or now[0] == 0:

@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .bpe import slices
-from .common import components, land, maybe_in, text_or_empty
+from .common import components, land, maybe_in, release, text_or_empty
 
 #: Counters of the frequency table (4 bytes each): a fixed size, whatever the corpus.
 COUNTERS = 1 << 20
@@ -252,7 +252,8 @@ def near_components(docs: DataFrame, n: int = 3, percent: int = 90, id_col: str
     texts = _text_rows(docs, id_col, text_col)
     profiled = land(profile(texts, n), "profile")
     table = frequencies(profiled)
-    members = profiled.filter("block is null").select("doc_id", "n", "key")
+    members = land(profiled.filter("block is null").select("doc_id", "n", "key"), "members")
+    release(profiled)
     classes = land(members.filter("n > 0").groupBy("key", "n").agg(F.min("doc_id").alias("rep")),
                    "classes")
 
@@ -262,6 +263,7 @@ def near_components(docs: DataFrame, n: int = 3, percent: int = 90, id_col: str
     held = prefix.join(some, "gram").groupBy("gram", "key", "n").agg(F.min("pos").alias("pos"))
     held = land(held.join(classes, ["key", "n"]).filter("rep is not null")
                 .select("gram", F.col("rep").alias("id"), "n", "pos"), "held")
+    release(prefix)
 
     wanted = land(held.select("id").distinct(), "wanted")
     near = texts.filter(maybe_in(wanted, "id")(F.col("doc_id")))   # few others' texts are dealt
