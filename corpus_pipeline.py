@@ -45,11 +45,11 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row (the largest doc_id) of each group of equal texts."""
     out = exact_dedup.dedup(docs, locator=F.col("_metadata.file_path"))
-    stays = out.filter("kept").select(F.col("doc_id").alias("__id"), F.col("digest").alias("__digest")) \
-        .distinct()
+    goes = land(out.filter("not kept").select(
+        F.col("doc_id").alias("__id"), F.col("digest").alias("__digest")).distinct(), "copies")
     same = docs["doc_id"].eqNullSafe(F.col("__id")) & (
         F.sha2(text_or_empty("text"), 256) == F.col("__digest"))
-    return docs.join(stays, same, "left_semi")
+    return docs.join(goes, same, "left_anti")
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

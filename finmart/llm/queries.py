@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from ..session import scratch_path
 from . import bpe, exact_dedup, graph_dedup, jaccard, lm, packing, quality, sharding, toxicity, warc
 from .common import table
+from .oracle import ORACLE  # noqa: F401  (registered beside the queries)
 
 
 def tokenizer_file(name: str) -> str:
@@ -71,6 +72,3 @@ def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_pu_quality, op2_graph_dedup, op3_bpe, op4_log_bilinear, op5_warc_index, op6_toxicity_fm, op7_rendezvous, op8_exact_dedup, op9_best_fit,
     op10_ngram_jaccard)}
-
-#: DuckDB SQL of the queries that SQL can express on whole tables.
-ORACLE: dict[str, str] = {}
