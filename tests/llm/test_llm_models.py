@@ -38,22 +38,26 @@ def test_nonnegative_risk_gradients():
             assert (du <= 0).all()
 
 
-def _labelled():
+def _labelled(folder=SF):
     import duckdb
-    return duckdb.sql(f"select l.* from '{SF}/labels.parquet' l").df()
+    return duckdb.sql(f"select l.* from '{folder}/labels.parquet' l").df()
 
 
 @pytest.mark.parametrize("name, column, at", [("op1_pu_quality", "quality", 0.5), ("op6_toxicity_fm", "toxic", 0.7)])
-def test_classifier_contract_and_held_out_accuracy(sp, docs_pdf, name, column, at):
-    rows = pd.DataFrame([r.asDict() for r in queries.QUERIES[name](sp, SF).collect()])
-    assert len(rows) == len(docs_pdf) and set(rows.doc_id) == set(docs_pdf.doc_id)
+def test_classifier_contract_and_held_out_accuracy(sp, name, column, at):
+    """On 10,000 documents: the smaller tables have too few toxic rows to learn all terms from."""
+    large = "/root/testdata/sf0.1"
+    rows = pd.DataFrame([r.asDict() for r in queries.QUERIES[name](sp, large).collect()])
+    assert sorted(rows.doc_id) == [r.doc_id for r in sp.read.parquet(f"{large}/documents.parquet")
+                                   .select("doc_id").orderBy("doc_id").collect()]
     assert rows.score.between(0, 1).all()
     assert (rows.predicted == (rows.score >= at)).all()
     assert (rows.held_out == [_held(d, 3, 1) for d in rows.doc_id]).all()
-    both = rows[rows.held_out].merge(_labelled(), on="doc_id")
-    assert (both.predicted == both[column]).mean() > 0.9
-    one, zero = both.score[both[column] == 1], both.score[both[column] == 0]
-    assert (one.to_numpy()[:, None] > zero.to_numpy()[None]).mean() > 0.9
+    both = rows[rows.held_out].merge(_labelled(large), on="doc_id")
+    assert (both.predicted == both[column]).mean() > 0.95
+    one, zero = (both.score[both[column] == k].to_numpy() for k in (1, 0))
+    better, even = ((f(one[:, None], zero[None])).mean() for f in (np.greater, np.equal))
+    assert better + even / 2 > 0.95
 
 
 def test_classifiers_do_not_learn_held_out_labels(sp, docs_pdf):
