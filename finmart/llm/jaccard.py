@@ -4,10 +4,13 @@ A document's set holds the hashes of its distinct word n-grams; with fewer words
 sequence is its one n-gram, without words the set is empty and links with nothing. Documents with
 equal sets form a class, and only classes are joined, so copies are never paired with each other.
 
-1. A fixed-size table of counters over all documents' n-grams orders n-grams rare first. Any
-   order gives the same links; a good one keeps shared passages out of the prefixes.
-2. Each class puts out its prefix: the ``n - ceil(t n) + 1`` rarest n-grams with their positions.
-   Two sets of Jaccard similarity >= t share one of them. Only n-grams that two classes share go on.
+1. A fixed-size table of counters over all documents' n-grams orders n-grams rare first: those
+   that are certainly frequent come last, by count. Any order gives the same links; a good one keeps
+   shared passages out of the prefixes.
+2. Each class shows a pool, the first n-grams of its order. A set with a link has at most
+   ``n - ceil(t n)`` n-grams that no other class holds; a class whose pool already has more (an exact
+   count, by one join on n-grams) links with nothing and is done. Of the others the prefix, the first
+   ``n - ceil(t n) + 1`` n-grams with their positions, goes on: two linked sets share one of them.
 3. Linked classes are found in two rounds. In the first each shared n-gram names a few hubs, and
    its other holders are paired with those: a number of pairs that is linear in the rows, which
    joins most of any dense group. In the second all holders of an n-gram whose components still
@@ -35,6 +38,8 @@ from .common import components, land, maybe_in, release, text_or_empty
 #: Counters of the frequency table (4 bytes each): a fixed size, whatever the corpus.
 COUNTERS = 1 << 20
 _BLOCKS = 64
+#: Per cent of its n-grams that a set shows beyond its prefix.
+POOL_MORE = 12
 #: Hubs that a shared n-gram names in the first round.
 HUBS = 8
 #: Classes of the suffix filter: n-grams beyond the prefix are counted by this many hash ranges.
@@ -132,62 +137,75 @@ def frequencies(profiled: DataFrame) -> np.ndarray:
 
 
 def prefix_length(n, percent: int):
-    """Rarest n-grams to index so that sets of similarity >= percent share at least one."""
+    """First n-grams of the order, so many that sets of similarity >= percent share one."""
     return n - (percent * n + 99) // 100 + 1
 
 
-def prefixes(docs: DataFrame, n: int, percent: int, table: np.ndarray) -> DataFrame:
-    """(gram, key, n, pos): each non-empty set's prefix in the rare-first order (count, hash)."""
+def pool_length(n, percent: int):
+    """Prefix and some more: what a set shows of itself before any join of sets."""
+    return min(n, prefix_length(n, percent) + n * POOL_MORE // 100 + 1)
+
+
+def _columns(n: Column, percent: int) -> tuple[Column, Column]:
+    """prefix_length and pool_length of a column of sizes."""
+    n = n.cast("long")
+    p = n - F.ceil(n * F.lit(percent) / F.lit(100)) + F.lit(1)
+    return p, F.least(n, p + F.floor(n * F.lit(POOL_MORE) / F.lit(100)) + F.lit(1))
+
+
+def frequent_bar(table: np.ndarray) -> float:
+    """A count that a counter of rare n-grams does not reach by chance."""
+    return float(table.mean() + 6 * np.sqrt(table.mean() + 1))
+
+
+def ordered(s: np.ndarray, table: np.ndarray, bar: float) -> np.ndarray:
+    """A set in the global order: rare n-grams by hash, then frequent ones by count."""
+    c = table[s % np.uint64(COUNTERS)]
+    return s[np.argsort(np.where(c > bar, c, 0), kind="stable")]   # s is sorted by hash
+
+
+def pools(docs: DataFrame, n: int, percent: int, table: np.ndarray) -> DataFrame:
+    """(gram, key): the pool of each non-empty set, under the name of its class."""
     shared = docs.sparkSession.sparkContext.broadcast(table)   # COUNTERS x 4 bytes
+    bar = frequent_bar(table)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = shared.value
         for rows in batches:
             for sets in _sets(rows, n):
-                out = []
-                for s in sets:
-                    if len(s):
-                        p = prefix_length(len(s), percent)
-                        c = counts[s % np.uint64(COUNTERS)]
-                        some = np.flatnonzero(c <= np.partition(c, p - 1)[p - 1])   # ties included
-                        rare = some[np.lexsort((s[some], c[some]))[:p]]
-                        out.append((s[rare].view(np.int64), _key(s), len(s), p))
+                out = [(ordered(s, shared.value, bar)[:pool_length(len(s), percent)], _key(s))
+                       for s in sets if len(s)]
                 if out:
-                    size = [x[3] for x in out]
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.concatenate([x[0] for x in out])),
-                         pa.array(np.repeat(np.array([x[1] for x in out], np.int64), size)),
-                         pa.array(np.repeat(np.array([x[2] for x in out], np.int32), size)),
-                         pa.array(np.concatenate([np.arange(x, dtype=np.int32) for x in size]))],
-                        names=["gram", "key", "n", "pos"])
+                        [pa.array(np.concatenate([g for g, _ in out]).view(np.int64)),
+                         pa.array(np.repeat(np.array([k for _, k in out], np.int64),
+                                            [len(g) for g, _ in out]))], names=["gram", "key"])
 
-    return docs.mapInArrow(run, "gram long, key long, n int, pos int")
+    return docs.mapInArrow(run, "gram long, key long")
 
 
 def class_sets(docs: DataFrame, n: int, percent: int, table: np.ndarray) -> DataFrame:
-    """(id, n, ranges, grams): the sets of given representatives, as packed sorted hashes, and
-    their suffix counts by hash range."""
+    """(id, n, prefix, ranges, grams) of given representatives: the prefix in order, the rest
+    counted by hash range, and the whole set as packed sorted hashes."""
     shared = docs.sparkSession.sparkContext.broadcast(table)
+    bar = frequent_bar(table)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = shared.value
         for rows in batches:
             ids, at = rows.column(0).to_pylist(), 0
             for sets in _sets(rows, n):
-                ranges = []
-                for s in sets:
-                    p = prefix_length(len(s), percent)
-                    order = np.lexsort((s, counts[s % np.uint64(COUNTERS)]))
-                    ranges.append(np.bincount(s[order[p:]] >> np.uint64(60), minlength=RANGES).tolist())
+                turn = [ordered(s, shared.value, bar) for s in sets]
+                cut = [prefix_length(len(s), percent) for s in sets]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(ids[at:at + len(sets)], pa.int64()),
                      pa.array([len(s) for s in sets], pa.int32()),
-                     pa.array(ranges, pa.list_(pa.int32())),
+                     pa.array([o[:p].view(np.int64) for o, p in zip(turn, cut)], pa.list_(pa.int64())),
+                     pa.array([np.bincount((o[p:] >> np.uint64(60)).astype(np.int64), minlength=RANGES)
+                               for o, p in zip(turn, cut)], pa.list_(pa.int32())),
                      pa.array([s.tobytes() for s in sets], pa.binary())],
-                    names=["id", "n", "ranges", "grams"])
+                    names=["id", "n", "prefix", "ranges", "grams"])
                 at += len(sets)
 
-    return docs.mapInArrow(run, "id long, n int, ranges array<int>, grams binary")
+    return docs.mapInArrow(run, "id long, n int, prefix array<long>, ranges array<int>, grams binary")
 
 
 def _overlap_needed(na: Column, nb: Column, percent: int) -> Column:
@@ -217,8 +235,7 @@ def _suffix_passed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame
     met = pairs.join(left, "a").join(right, "b")
     in_ranges = reduce(lambda x, y: x + y, [F.least(F.col("ra")[i], F.col("rb")[i])
                                             for i in range(RANGES)])
-    pre = [F.col(c) - F.ceil(F.col(c).cast("long") * F.lit(percent) / F.lit(100)) + F.lit(1)
-           for c in ("na", "nb")]   # prefix_length as a column
+    pre = [_columns(F.col(c), percent)[0] for c in ("na", "nb")]
     # a prefix n-gram of one set may lie in the suffix of the other, so both prefixes count
     return met.filter(in_ranges + pre[0] + pre[1]
                       >= _overlap_needed(F.col("na"), F.col("nb"), percent)).select("a", "b")
@@ -254,21 +271,26 @@ def near_components(docs: DataFrame, n: int = 3, percent: int = 90, id_col: str
     table = frequencies(profiled)
     members = land(profiled.filter("block is null").select("doc_id", "n", "key"), "members")
     release(profiled)
-    classes = land(members.filter("n > 0").groupBy("key", "n").agg(F.min("doc_id").alias("rep")),
-                   "classes")
+    classes = land(members.filter("n > 0").groupBy("key", "n").agg(
+        F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies")), "classes")
 
-    prefix = land(prefixes(texts, n, percent, table), "prefix")
-    some = prefix.groupBy("gram").agg(F.min("key").alias("k0"), F.max("key").alias("k1")) \
+    pool = land(pools(texts, n, percent, table), "pool")
+    some = pool.groupBy("gram").agg(F.min("key").alias("k0"), F.max("key").alias("k1")) \
         .filter("k0 <> k1").select("gram")
-    held = prefix.join(some, "gram").groupBy("gram", "key", "n").agg(F.min("pos").alias("pos"))
-    held = land(held.join(classes, ["key", "n"]).filter("rep is not null")
-                .select("gram", F.col("rep").alias("id"), "n", "pos"), "held")
-    release(prefix)
+    found = pool.join(some, "gram").groupBy("key").agg(F.count(F.lit(1)).alias("rows"))
+    prefix_n, pool_n = _columns(F.col("n"), percent)
+    alone = pool_n - F.col("rows") / F.col("copies")            # n-grams that no other class holds
+    wanted = land(classes.join(found, "key").filter((alone < prefix_n) & F.col("rep").isNotNull())
+                  .select(F.col("rep").alias("id")).distinct(), "wanted")
+    release(pool)
 
-    wanted = land(held.select("id").distinct(), "wanted")
     near = texts.filter(maybe_in(wanted, "id")(F.col("doc_id")))   # few others' texts are dealt
     sets = land(class_sets(near.join(wanted, near.doc_id == wanted.id, "left_semi"),
                            n, percent, table), "sets")
+    shown = sets.select("id", "n", F.posexplode("prefix").alias("pos", "gram"))
+    twice = shown.groupBy("gram").agg(F.min("id").alias("i0"), F.max("id").alias("i1")) \
+        .filter("i0 <> i1").select("gram")
+    held = land(shown.join(twice, "gram").groupBy("gram", "id", "n").agg(F.min("pos").alias("pos")), "held")
     slim = sets.select("id", "ranges")
 
     hub = (held.groupBy("gram", F.pmod(F.xxhash64("id"), F.lit(HUBS)).alias("salt"))
