@@ -11,10 +11,10 @@ equal sets form a class, and only classes are joined, so copies are never paired
    ``n - ceil(t n)`` n-grams that no other class holds; a class whose pool already has more (an exact
    count, by one join on n-grams) links with nothing and is done. Of the others the prefix, the first
    ``n - ceil(t n) + 1`` n-grams with their positions, goes on: two linked sets share one of them.
-3. Linked classes are found in two rounds. In the first each shared n-gram names a few hubs, and
-   its other holders are paired with those: a number of pairs that is linear in the rows, which
-   joins most of any dense group. In the second all holders of an n-gram whose components still
-   differ are paired; pairs within a component cannot change it and are left out.
+3. In a few rounds each shared n-gram names some hubs, and its holders in other components are
+   paired with those: a number of pairs that is linear in the rows, which joins most of any dense
+   group. Then all holders of an n-gram whose components still differ are paired; pairs within a
+   component cannot change it and are left out.
 4. Pairs pass the length, positional and suffix filters (upper bounds of the overlap) before the
    sets themselves are compared, once per pair and in whole numbers.
 
@@ -40,8 +40,8 @@ COUNTERS = 1 << 20
 _BLOCKS = 64
 #: Per cent of its n-grams that a set shows beyond its prefix.
 POOL_MORE = 12
-#: Hubs that a shared n-gram names in the first round.
-HUBS = 8
+#: Hubs that a shared n-gram names in a round, and rounds of them before all pairs are left.
+HUBS, HUB_ROUNDS = 8, 3
 #: Classes of the suffix filter: n-grams beyond the prefix are counted by this many hash ranges.
 RANGES = 16
 
@@ -258,6 +258,20 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return met.select("a", "b", "ga", "gb").mapInArrow(run, "a long, b long")
 
 
+def _hub_pairs(rows: DataFrame, seed: int, percent: int) -> DataFrame:
+    """Distinct pairs (a, b, na, nb), a < b, of a hub and another holder of its n-gram that is in
+    another component ``c``. An n-gram names HUBS hubs at most, other ones for another seed."""
+    hub = (rows.groupBy("gram", F.pmod(F.xxhash64("id", F.lit(seed)), F.lit(HUBS)).alias("salt"))
+           .agg(F.min(F.struct(F.xxhash64(F.lit(seed), "id").alias("h"), "id", "n", "c")).alias("hub"))
+           .select("gram", F.col("hub.id").alias("i"), F.col("hub.n").alias("ni"), F.col("hub.c").alias("ci")))
+    right = rows.select("gram", F.col("id").alias("j"), F.col("n").alias("nj"), F.col("c").alias("cj"))
+    met = hub.join(right, "gram").filter((F.col("ci") != F.col("cj")) & _long_enough(
+        F.col("ni"), F.col("nj"), percent))
+    lower = F.col("i") < F.col("j")
+    return met.select(*[F.when(lower, F.col(x)).otherwise(F.col(y)).alias(c) for x, y, c in (
+        ("i", "j", "a"), ("j", "i", "b"), ("ni", "nj", "na"), ("nj", "ni", "nb"))]).distinct()
+
+
 def near_components(docs: DataFrame, n: int = 3, percent: int = 90, id_col: str = "doc_id",
                     text_col: str = "text") -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id (smallest linked doc_id).
@@ -293,17 +307,18 @@ def near_components(docs: DataFrame, n: int = 3, percent: int = 90, id_col: str
     held = land(shown.join(twice, "gram").groupBy("gram", "id", "n").agg(F.min("pos").alias("pos")), "held")
     slim = sets.select("id", "ranges")
 
-    hub = (held.groupBy("gram", F.pmod(F.xxhash64("id"), F.lit(HUBS)).alias("salt"))
-           .agg(F.min(F.struct(F.xxhash64("id").alias("h"), "id", "n")).alias("hub"))
-           .select("gram", F.col("hub.id").alias("i"), F.col("hub.n").alias("ni")))
-    right = held.select("gram", F.col("id").alias("j"), F.col("n").alias("nj"))
-    met = hub.join(right, "gram").filter((F.col("i") != F.col("j")) & _long_enough(
-        F.col("ni"), F.col("nj"), percent))
-    lower = F.col("i") < F.col("j")
-    first = land(met.select(*[F.when(lower, F.col(x)).otherwise(F.col(y)).alias(c) for x, y, c in (
-        ("i", "j", "a"), ("j", "i", "b"), ("ni", "nj", "na"), ("nj", "ni", "nb"))]).distinct(), "pairs")
-    links = land(verified(_suffix_passed(first, slim, percent), sets, percent), "links")
-    joined = land(components(links), "joined")
+    tried, links, joined = None, None, None
+    for seed in range(HUB_ROUNDS):
+        rows = held.withColumn("c", F.col("id")) if joined is None else \
+            held.join(joined, "id", "left").withColumn("c", F.coalesce("component", "id"))
+        pairs = _hub_pairs(rows, seed, percent)
+        if tried is not None:
+            pairs = pairs.join(tried.select("a", "b"), ["a", "b"], "left_anti")
+        pairs = land(pairs, "pairs")
+        new = land(verified(_suffix_passed(pairs, slim, percent), sets, percent), "links")
+        tried = pairs if tried is None else tried.unionByName(pairs)
+        links = new if links is None else links.unionByName(new)
+        joined = land(components(links), "joined")
 
     placed = held.join(joined, "id", "left").withColumn("c", F.coalesce("component", "id"))
     open_grams = placed.groupBy("gram").agg(F.min("c").alias("c0"), F.max("c").alias("c1")) \
@@ -315,7 +330,7 @@ def near_components(docs: DataFrame, n: int = 3, percent: int = 90, id_col: str
                          F.col("pos").alias("pa"), F.col("c").alias("ca"))
            .join(other, "gram").filter((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb"))
                                        & _long_enough(F.col("na"), F.col("nb"), percent)))
-    rest = _filtered(met, percent).join(first.select("a", "b"), ["a", "b"], "left_anti")
+    rest = _filtered(met, percent).join(tried.select("a", "b"), ["a", "b"], "left_anti")
     more = land(verified(_suffix_passed(rest, slim, percent), sets, percent), "links")
     found = land(components(links.union(more)) if not more.isEmpty() else joined, "joined")
 
