@@ -13,7 +13,8 @@ decompresses one block, searches that, and range-reads the one record.
 Files go to a folder that all executors reach (local or any filesystem that pyarrow knows by its
 URI); each is written under a temporary name and then moved, so that a task that is run again
 replaces the same file by the same bytes. A null html is an empty payload, a null url sorts first
-under an empty key. Pages that repeat an id are records of their own, told apart by a number.
+under an empty key. Pages that repeat an id are records of their own, told apart by where they lie;
+the id and the payload digest that a revisit gives name its payload, the id alone need not.
 """
 
 from __future__ import annotations
@@ -142,20 +143,21 @@ def mark_revisits(pages: DataFrame, min_bytes: int = 0, id_col: str = "page_id",
     """(page_id, url, html, refers_to): which record of equal payloads is the response.
 
     Payloads are equal when SHA-256 and size are. Groups are reduced in each task before the
-    shuffle; only groups of two or more meet the pages again, by page id, so html is not dealt by
-    payload and a payload that a third of the pages share makes no large group.
+    shuffle; only groups of two or more meet the pages again, by page id and payload (an id may
+    repeat with other html), so html is not dealt by payload alone and a payload that a third of
+    the pages share makes no large group.
     """
     html = F.coalesce(F.col(html_col).cast("string"), F.lit(""))
     rows = pages.select(F.col(id_col).cast("long").alias("page_id"),
                         F.col(url_col).cast("string").alias("url"), html.alias("html"))
-    prints = rows.filter(F.octet_length("html") >= min_bytes).select(
-        "page_id", F.sha2("html", 256).alias("print"), F.octet_length("html").alias("size"))
-    prints = land(prints, "prints")
+    rows = rows.select("*", F.sha2("html", 256).alias("print"), F.octet_length("html").alias("size"))
+    prints = land(rows.filter(F.col("size") >= min_bytes).select("page_id", "print", "size"), "prints")
     first = prints.groupBy("print", "size").agg(F.min("page_id").alias("refers_to"),
                                                 F.count(F.lit(1)).alias("n")).filter("n > 1")
     again = land(prints.join(first, ["print", "size"]).filter("page_id <> refers_to")
-                 .select(F.col("page_id").alias("again"), "refers_to").distinct(), "revisits")
-    return rows.join(again, rows["page_id"] == again["again"], "left").drop("again")
+                 .select("page_id", "print", "size", "refers_to").distinct(), "revisits")
+    return rows.join(again, ["page_id", "print", "size"], "left") \
+        .select("page_id", "url", "html", "refers_to")
 
 
 ENTRIES = "key string, id long, file string, offset long, length long"

@@ -195,6 +195,22 @@ def test_warc_edges_and_limits(sp, tmp_path, monkeypatch):
     assert warc.archive_and_read(none, str(tmp_path / "c")).count() == 0
 
 
+def test_warc_ids_that_repeat_with_other_payloads(sp, tmp_path):
+    x, y, z = "payload x", "the payload y", "z"
+    pages = sp.createDataFrame(
+        [(3, "http://a/", x), (5, "http://a/", x), (5, "http://a/", y), (2, "http://b/", z), (7, "http://c/", x),
+         (7, "http://d/", z), (9, "http://c/", y), (9, "http://c/", x)],
+        "page_id long, url string, html string").repartition(3)
+    out = warc.archive_and_read(pages, str(tmp_path / "w")).collect()
+
+    def line(page, text, refers=None):
+        raw = text.encode()
+        return (page, len(raw), warc.payload_digest(raw), "revisit" if refers else "response", refers)
+    assert sorted(map(str, map(tuple, out))) == sorted(map(str, [
+        line(3, x), line(5, x, 3), line(5, y), line(2, z), line(7, x, 3), line(7, z, 2),
+        line(9, y, 5), line(9, x, 3)]))
+
+
 def test_url_keys_and_records():
     assert warc.url_key("https://www.Example.com/A?b=C") == "com,example,www)/a?b=c"
     assert warc.url_key("http://x.org:81") == "org,x:81)/" and warc.url_key(None) == ")/"
