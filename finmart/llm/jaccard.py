@@ -272,6 +272,16 @@ def _hub_pairs(rows: DataFrame, seed: int, percent: int) -> DataFrame:
         ("i", "j", "a"), ("j", "i", "b"), ("ni", "nj", "na"), ("nj", "ni", "nb"))]).distinct()
 
 
+def _ties(members: DataFrame, classes: DataFrame) -> DataFrame:
+    """Distinct (a, b): the representative of a class and the id of a member that is in other
+    classes too, so that all rows of an id are in one component."""
+    each = F.struct("key", "n")
+    several = members.filter("doc_id is not null").groupBy("doc_id").agg(
+        F.min(each).alias("c0"), F.max(each).alias("c1")).filter("c0 <> c1").select("doc_id")
+    return members.filter("n > 0").join(several, "doc_id", "left_semi").join(classes, ["key", "n"]) \
+        .filter("rep <> doc_id").select(F.col("rep").alias("a"), F.col("doc_id").alias("b")).distinct()
+
+
 def near_components(docs: DataFrame, n: int = 3, percent: int = 90, id_col: str = "doc_id",
                     text_col: str = "text") -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id (smallest linked doc_id).
@@ -331,11 +341,14 @@ def near_components(docs: DataFrame, n: int = 3, percent: int = 90, id_col: str
            .join(other, "gram").filter((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb"))
                                        & _long_enough(F.col("na"), F.col("nb"), percent)))
     rest = _filtered(met, percent).join(tried.select("a", "b"), ["a", "b"], "left_anti")
-    more = land(verified(_suffix_passed(rest, slim, percent), sets, percent), "links")
+    more = land(verified(_suffix_passed(rest, slim, percent), sets, percent)
+                .unionByName(_ties(members, classes)), "links")
     found = land(components(links.union(more)) if not more.isEmpty() else joined, "joined")
 
     rep = classes.join(found, classes.rep == found.id, "left") \
         .select("key", "n", F.coalesce("component", "rep").alias("component_id"))
-    return (members.join(rep, ["key", "n"], "left")
-            .select("doc_id", F.col("n").cast("long").alias("n_shingles"),
-                    F.coalesce("component_id", "doc_id").alias("component_id")))
+    out = ["doc_id", F.col("n").cast("long").alias("n_shingles"),
+           F.coalesce("component_id", "doc_id").alias("component_id")]
+    named = found.select(F.col("id").alias("doc_id"), F.col("component").alias("component_id"))
+    return members.filter("n > 0").join(rep, ["key", "n"], "left").select(*out) \
+        .unionByName(members.filter("n = 0").join(named, "doc_id", "left").select(*out))

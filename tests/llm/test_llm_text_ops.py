@@ -279,3 +279,14 @@ def test_ngram_join_edges(edge, no_docs):
     assert all(by[d].n_shingles == 0 and by[d].component_id == d for d in (3, 4, 5))
     assert by[6].n_shingles == 1 and by[7].n_shingles == 1 and by[None].n_shingles == 1
     assert jaccard.near_components(no_docs).count() == 0
+
+
+def test_ngram_join_ids_that_repeat_with_other_texts(sp):
+    import corpus_pipeline as P
+    t, u, v = (" ".join(f"{c}{k}" for k in range(60)) for c in "tuv")
+    near = u.replace("u59", "end")
+    rows = [(3, t), (5, t), (5, u), (8, near), (4, u), (6, v), (7, v), (7, ""), (10, "")]
+    docs = sp.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {(r.doc_id, r.n_shingles, r.component_id) for r in jaccard.near_components(docs, 5, 80).collect()}
+    assert got == {(3, 56, 3), (5, 56, 3), (8, 56, 3), (4, 56, 3), (6, 56, 6), (7, 56, 6), (7, 0, 6), (10, 0, 10)}
+    assert {r.doc_id for r in P.drop_near_copies(sp, docs, SF).collect()} == {3, 6, 10}
