@@ -148,6 +148,32 @@ def test_training_raises_the_likelihood_of_order():
     assert lm._Scorer(m.rows()).log10(tokens[0]) > before + 15
 
 
+def test_words_beyond_the_head_are_learnt_by_context(sp):
+    """All pairs follow in a fixed order: words that share a class are told apart by the word
+    before, and probabilities inside a class sum to one."""
+    a, b = [f"aa{k}" for k in range(12)], [f"bb{k}" for k in range(12)]
+    v = lm.Vocabulary(4800, 25, {}, np.zeros(lm.CLASSES), np.zeros(lm.CLASSES))
+    counts = {w.encode(): 200 for w in a + b}
+    for w in counts:
+        v.class_tokens[lm.tail_class(w)] += 200
+        v.class_types[lm.tail_class(w)] += 1
+    m = lm.Members.read(v, counts, 64)
+    assert m.rest.min() == m.rest.max() == 1 and len(m.words) == 24
+    known = m.known({})
+    texts = [known.of([x.encode() for k in np.random.default_rng(s).permutation(12) for x in (a[k], b[k])])
+             for s in range(200)]
+    w = lm.Within(m, m.start(), 0.1)
+    before = w.log10(texts).sum()
+    assert math.isclose(before, 200 * 24 * math.log10(201 / (12 * 201 + 1)), rel_tol=1e-4)
+    for _ in range(10):
+        w.train(texts)
+    assert w.log10(texts).sum() > before + 200 * 12 * 0.5
+    one = sum(10 ** w.log10([np.array([known[b"aa3"], i], np.int32)])[0]
+              / 10 ** w.log10([np.array([known[b"aa3"]], np.int32)])[0]
+              for i in [lm.tail_class(b"bb")] + [known[x.encode()] for x in b])
+    assert abs(one - 1) < 1e-4
+
+
 def test_language_model_edges(edge, no_docs):
     rows = lm.score_documents(edge).collect()
     assert len(rows) == 11 and all(math.isfinite(r.score) and math.isfinite(r.base_score) for r in rows)
