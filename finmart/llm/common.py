@@ -60,6 +60,18 @@ def release(*landed: DataFrame) -> None:
         drop_folders(df.sparkSession, [files[0].rpartition("/")[0]] if files else [])
 
 
+_kept: dict = {}
+
+
+def kept_in_worker(key, build: Callable):
+    """The one object that a Python worker keeps between tasks. Workers outlive stages: asking for
+    another object drops the one before, so that caches of earlier stages do not add up."""
+    if key not in _kept:
+        _kept.clear()
+        _kept[key] = build()
+    return _kept[key]
+
+
 def text_or_empty(name: str = "text"):
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
 

@@ -7,7 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import bpe, exact_dedup, graph_dedup, jaccard, lm, packing, quality, sharding, toxicity, warc
+from . import (bpe, exact_dedup, graph_dedup, hard_negatives, jaccard, lm, merkle, packing, pieces,
+               quality, sharding, toxicity, warc)
 from .common import table
 from .oracle import ORACLE  # noqa: F401  (registered beside the queries)
 
@@ -69,6 +70,19 @@ def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_components(table(spark, sf_dir, "documents"), n=3, percent=90)
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.prove_documents(table(spark, sf_dir, "documents"))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(table(spark, sf_dir, "embeddings"), label=moved)
+
+
+def op13_score_agenda(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.digests(table(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_pu_quality, op2_graph_dedup, op3_bpe, op4_log_bilinear, op5_warc_index, op6_toxicity_fm, op7_rendezvous, op8_exact_dedup, op9_best_fit,
-    op10_ngram_jaccard)}
+    op10_ngram_jaccard, op11_merkle_manifest, op12_hard_negatives, op13_score_agenda)}
