@@ -24,6 +24,7 @@ score leaves the long range below 2^10 dimensions; ties go to the smaller id.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -120,7 +121,7 @@ def quantise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                    for key, (i, label, _), row in zip(keys, rows, q)])
 
 
-def _pack_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _pack_blocks(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
     """Rows in curve order to blocks; inside a block rows stand by id."""
     first, made = TaskContext.get().partitionId() << 32, 0
     rows: list[dict] = []
@@ -138,7 +139,7 @@ def _pack_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             q.min(0).tobytes(), q.max(0).tobytes(), labels.pop() if len(labels) == 1 else None)])
 
     for r in _rows(batches):
-        if rows and (len(rows) == BLOCK_ROWS or rows[0]["dim"] != r["dim"]):
+        if rows and (len(rows) == size or rows[0]["dim"] != r["dim"]):
             yield block()
             rows = []
         rows.append(r)
@@ -146,18 +147,19 @@ def _pack_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield block()
 
 
-def write_blocks(vectors: DataFrame, id_col: str, label: Column, vector_col: str) -> DataFrame:
+def write_blocks(vectors: DataFrame, id_col: str, label: Column, vector_col: str,
+                 block_rows: int = BLOCK_ROWS) -> DataFrame:
     """The candidate blocks (``BLOCKS``) as a landed Parquet table."""
     rows = vectors.select(F.col(id_col).cast("long"), label.cast("long"), F.col(vector_col)) \
         .mapInArrow(quantise, VECTORS).distinct()   # repeated rows meet before the exchange
     order = ["dim", "key", "id"]
     ranged = rows.repartitionByRange(*order).sortWithinPartitions(*order)
-    return land(ranged.mapInArrow(_pack_blocks, BLOCKS), "blocks")
+    return land(ranged.mapInArrow(partial(_pack_blocks, size=block_rows), BLOCKS), "blocks")
 
 
-def zone_pages(blocks: DataFrame) -> tuple[DataFrame, int]:
+def zone_pages(blocks: DataFrame, page_blocks: int = PAGE_BLOCKS) -> tuple[DataFrame, int]:
     """Zone maps by pages (page, zones), and the number of pages."""
-    n = max(1, -(-blocks.count() // PAGE_BLOCKS))
+    n = max(1, -(-blocks.count() // page_blocks))
     page = F.pmod(F.xxhash64("block"), F.lit(n))
     zones = F.collect_list(F.struct("block", "dim", "least", "most", "label")).alias("zones")
     return land(blocks.groupBy(page.alias("page")).agg(zones), "zones"), n
@@ -313,11 +315,12 @@ def _windows(low_percent: int, slots: int):
 
 def mine(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding",
          label: Column | None = None, every: int = 100, positives: int = 5, negatives: int = 5,
-         low_percent: int = 80) -> DataFrame:
+         low_percent: int = 80, block_rows: int = BLOCK_ROWS, page_blocks: int = PAGE_BLOCKS) -> DataFrame:
     """(anchor_id, positive_id, rank, negative_id, positive_score, negative_score) for the anchors,
     the rows whose id is divisible by ``every``."""
-    blocks = write_blocks(vectors, id_col, F.col("label") if label is None else label, vector_col)
-    pages, n_pages = zone_pages(blocks)
+    blocks = write_blocks(vectors, id_col, F.col("label") if label is None else label, vector_col,
+                          block_rows)
+    pages, n_pages = zone_pages(blocks, page_blocks)
     packs = land(blocks.mapInArrow(_anchors(every), PACK), "anchors")
     good = search(packs, blocks, pages, n_pages, True, positives)
     found = good.groupBy("home").agg(F.collect_list(F.struct("pos", "rank", "score")).alias("found"))
