@@ -20,6 +20,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import kept_in_worker
+
 #: Distinct chunks and pre-tokens that a Python worker remembers (some 200 bytes each).
 CACHE_ENTRIES = 500_000
 
@@ -142,8 +144,6 @@ class ChunkCache(dict):
 class Codec:
     """Encoder and decoder of one rank file; built once per Python worker."""
 
-    _built: dict[tuple[str, str], "Codec"] = {}
-
     def __init__(self, path: str, pattern: str):
         import sentencepiece
 
@@ -156,9 +156,7 @@ class Codec:
 
     @classmethod
     def of(cls, path: str, pattern: str) -> "Codec":
-        if (path, pattern) not in cls._built:
-            cls._built[path, pattern] = cls(path, pattern)
-        return cls._built[path, pattern]
+        return kept_in_worker(("bpe", path, pattern), lambda: cls(path, pattern))
 
     def _merge(self, pre_tokens: list[str]) -> list[bytes]:
         mapped = [p.encode("utf-8", "surrogatepass").decode("latin-1").translate(self.sign)

@@ -68,6 +68,8 @@ def kept_in_worker(key, build: Callable):
     another object drops the one before, so that caches of earlier stages do not add up."""
     if key not in _kept:
         _kept.clear()
+        gc.collect()
+        pa.default_memory_pool().release_unused()
         _kept[key] = build()
     return _kept[key]
 

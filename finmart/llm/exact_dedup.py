@@ -22,7 +22,10 @@ from ..session import scratch_path
 from .common import land, maybe_in, text_or_empty
 
 _PROVIDER = "spark.sql.streaming.stateStore.providerClass"
-_ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+#: Settings of the stream's state stores. A store reserves some MB of disk for its logs ahead of
+#: use unless told otherwise, and there is one for each shuffle partition.
+_STATE = {_PROVIDER: "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+          "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false"}
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -49,17 +52,16 @@ def dedup_stream(prints: DataFrame, out: str, checkpoint: str, trigger: dict | N
     def write(rows: DataFrame, batch: int) -> None:
         rows.write.mode("overwrite").parquet(f"{out}/batch={batch}")
 
-    before = spark.conf.get(_PROVIDER, None)
-    spark.conf.set(_PROVIDER, _ROCKSDB)   # taken over by the query when it starts
+    before = {k: spark.conf.get(k, None) for k in _STATE}
+    for k, v in _STATE.items():
+        spark.conf.set(k, v)   # taken over by the query when it starts
     try:
         return (changed.writeStream.outputMode("update").foreachBatch(write)
                 .option("checkpointLocation", checkpoint)
                 .trigger(**(trigger or {"availableNow": True})).start())
     finally:
-        if before is None:
-            spark.conf.unset(_PROVIDER)
-        else:
-            spark.conf.set(_PROVIDER, before)
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
 def latest(spark: SparkSession, out: str) -> DataFrame:

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bpe import ChunkCache, slices
-from .common import land
+from .common import kept_in_worker, land
 
 CLOSING_ID = 0
 #: Open bins of a task. More bins mean fuller sequences; memory is a few words for each.
@@ -32,8 +32,6 @@ TASK_PIECES = 60_000
 class _Tokenizer:
     """The vocabulary's own library behind a chunk cache; built once per Python worker."""
 
-    _built: dict[str, "_Tokenizer"] = {}
-
     def __init__(self, path: str, pattern: str):
         import os
 
@@ -47,9 +45,7 @@ class _Tokenizer:
 
     @classmethod
     def of(cls, path: str, pattern: str) -> "_Tokenizer":
-        if path not in cls._built:
-            cls._built[path] = cls(path, pattern)
-        return cls._built[path]
+        return kept_in_worker(("packing", path, pattern), lambda: cls(path, pattern))
 
     def _new(self, pre_tokens: list[str]) -> list[bytes]:
         """Words of letters are encoded many at a time, each followed by a line end, whose id

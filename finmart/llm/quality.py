@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .bpe import slices
-from .common import crc_bucket, few
+from .common import crc_bucket, few, kept_in_worker
 
 #: Rows of each kind (positives, unlabelled, labelled 0) that the fit may read.
 SAMPLE = 5000
@@ -86,6 +86,7 @@ class Model:
 
         @F.pandas_udf("double")
         def quality_score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+            kept_in_worker("quality", dict)   # drops the caches of stages before
             for s in batches:
                 parts = [model.predict(part) for part in slices(s.tolist())]
                 yield pd.Series(np.concatenate(parts) if parts else np.empty(0))

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .bpe import slices
-from .common import crc_bucket, few
+from .common import crc_bucket, few, kept_in_worker
 
 BUCKETS = 1 << 18
 #: Toxic rows in the sample; it holds up to twice as many clean ones.
@@ -104,6 +104,7 @@ class Machine:
 
         @F.pandas_udf("double")
         def toxicity_score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+            kept_in_worker("toxicity", dict)   # drops the caches of stages before
             machine = Machine(w0, w, v, place)
             for s in batches:
                 parts = [machine.predict(part) for part in slices(s.tolist())]
