@@ -12,7 +12,10 @@ the columns of ``documents`` and decide only which rows stay:
    link with nothing, stay;
 5. packing: the kept documents as pieces of 2048-token sequences.
 
-Null, empty and very long texts pass through every stage as their operators define; extra columns
+The quality stage keeps what looks like the trusted positives: null, empty and blank texts, one
+character or word repeated, and texts of a few words or letters score near 0 and go there, so it may
+keep nothing of an input that holds no prose. Every other stage keeps such rows. Otherwise null, empty
+and very long texts pass through every stage as their operators define; extra columns
 of the input are kept through stage 4. Rows that repeat a doc_id share its decision in stage 4,
 and in stage 3 those with the kept text all stay.
 """
