@@ -27,12 +27,16 @@ def train_models(prices: DataFrame, save_path: str | None = None):
     return ml.compare_models(split, save_path=save_path)
 
 
-def run_prediction(spark: SparkSession, prices: DataFrame, horizon: int = 30, model=None) -> dict:
+def run_prediction(spark: SparkSession, prices: DataFrame, horizon: int = 30, model=None,
+                   model_path: str | None = None) -> dict:
     """Forecast every symbol ``horizon`` business days ahead, with the recommendation it gives.
 
-    The model is a fitted Spark ML regressor of next-day return, or (default) a per-symbol
-    one-feature OLS on pct_change fitted on each symbol's training split.
+    The model is a fitted Spark ML regressor of next-day return, one that ``train_models`` saved at
+    ``model_path``, or (default) a per-symbol one-feature OLS on pct_change fitted on each symbol's
+    training split.
     """
+    if model is None and model_path:
+        model = ml.load_model(spark, model_path)
     ctx = forecast.forecast_context(prices)
     if model is None:
         split = features.train_test_split(features.training_frame(prices))

@@ -4,22 +4,30 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..operators import clean, features, star
+from ..operators import clean, features, series, star
 from ..schemas import DEFAULT_SYMBOL, STATEMENT_ORDER
 from ..session import materialize
 
 
 def silver_prices(raw_prices: DataFrame, default_symbol: str = DEFAULT_SYMBOL,
-                  land: bool = False) -> DataFrame:
+                  land: bool = False, series_rows: int | None = None) -> DataFrame:
     """Light clean, date coercion, per-symbol return/volatility features, symbol.
 
+    With ``series_rows``, series of more rows than that are windowed in pieces (the cleaned bars
+    are landed to count them).
+
     ``land`` checkpoints the result: the Silver → Gold stage boundary, so the
     several Gold tables built from it do not each recompute the windows.
     """
     df = clean.preprocess_raw(raw_prices)
     df = clean.coerce_dates(df, "date")
     df = clean.ensure_symbol(df, default_symbol)
-    df = features.add_price_features(df)
+    if series_rows and "close" in df.columns:
+        df = materialize(df, "bars")
+    if series_rows and "close" in df.columns and series.longest(df) > series_rows:
+        df = features.add_price_features_in_pieces(df, series_rows)
+    else:
+        df = features.add_price_features(df)
     return materialize(df) if land else df
 
 
@@ -43,7 +51,7 @@ def silver_layer(raw: dict[str, DataFrame],
                  default_symbol: str = DEFAULT_SYMBOL) -> dict[str, DataFrame]:
     out = dict(silver_statements(raw, default_symbol).items())
     if "prices" in raw:
-        out["prices"] = silver_prices(raw["prices"], default_symbol)
+        out["prices"] = silver_prices(raw["prices"], default_symbol, series_rows=features.SERIES_ROWS)
     return out
 
 

@@ -681,8 +681,52 @@ FROM rc""")
     q["ml_linear_fit"] = with_prices(
         f""", {_training()} SELECT count(*) AS n, {sig('regr_slope(target, pct_change)', 6, 'slope')},
   {sig('regr_intercept(target, pct_change)', 6, 'intercept')} FROM split WHERE split = 'train'""")
+    q["split_series_features"] = q["price_features"]
     q.update(_indicators())
+    q["split_moving_averages"] = q["moving_averages"]
+    q["model_reload"] = with_prices(
+        f", {_training()} SELECT split, count(*) AS n, 0 AS differing, CAST(0 AS DOUBLE) AS largest_difference "
+        "FROM split GROUP BY split")
+    q["malformed_rows"] = with_statements(" UNION ALL ".join(
+        f"""SELECT '{s}' AS source, count(*) FILTER (WHERE m NOT IN ('06', '09')) AS good_rows,
+  count(*) FILTER (WHERE m IN ('06', '09')) AS bad_rows,
+  count(DISTINCT symbol) FILTER (WHERE m NOT IN ('06', '09')) AS symbols,
+  max(fd) FILTER (WHERE m NOT IN ('06', '09')) AS last_quarter
+  FROM (SELECT symbol, CAST(quarter_end AS VARCHAR) AS fd, substr(CAST(quarter_end AS VARCHAR), 6, 2) AS m FROM ledger)"""
+        for s in ORDER))
+    years = {t: "date_key // 10000" if t.startswith("fact") else "NULL" for t in GOLD_TABLES}
+    q["reconcile_warehouse"] = with_all(", " + "rc AS (" + " UNION ALL ".join(
+        f"SELECT '{t}' AS table_name, CAST({y} AS INTEGER) AS year FROM {FIXED_ROWS.get(t, t)}" for t, y in years.items())
+        + ") SELECT table_name, year, count(*) AS gold_rows, count(*) AS warehouse_rows, true AS same "
+          "FROM rc GROUP BY table_name, year")
+    q["enforced_load"] = with_all(""", el AS (SELECT count(*) AS n FROM fact_finance)
+SELECT '1 repeated' AS batch, CAST(0 AS BIGINT) AS rows_loaded, n AS rows_after FROM el
+UNION ALL SELECT '2 orphans', 0, n FROM el UNION ALL SELECT '3 new', n, 2 * n FROM el""")
+    q["direction_metrics"] = with_prices(f""", mv AS (SELECT symbol, date, pct_change AS move,
+    {", ".join(f"lag({c}) OVER (PARTITION BY symbol ORDER BY date ASC NULLS LAST) AS f_{c}" for c in
+               [c for c in PRICE_COLS if c not in ("date", "symbol")])}, close AS close_now FROM prices),
+ok AS (SELECT date, move > 0 AS up, round(f_pct_change, {R_ROLL}) AS score FROM mv WHERE date IS NOT NULL
+  AND symbol IS NOT NULL AND move IS NOT NULL AND close_now IS NOT NULL
+  AND {" AND ".join(f"f_{c} IS NOT NULL" for c in PRICE_COLS if c not in ("date", "symbol"))}),
+dd AS (SELECT date, count(*) AS n FROM ok GROUP BY date),
+db AS (SELECT date, least(floor(coalesce(sum(n) OVER (ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDING AND
+    1 PRECEDING), 0) * 4 / sum(n) OVER ()), 3) AS fold FROM dd),
+sc AS (SELECT CAST(fold AS INTEGER) AS fold, up, score, score >= 0 AS said,
+    rank() OVER (PARTITION BY fold ORDER BY score) AS low,
+    count(*) OVER (PARTITION BY fold, score) AS ties FROM ok JOIN db USING (date) WHERE fold >= 1),
+ag AS (SELECT fold, count(*) AS n, count(*) FILTER (WHERE up) AS p, count(*) FILTER (WHERE said) AS s,
+    count(*) FILTER (WHERE up AND said) AS tp, count(*) FILTER (WHERE up = said) AS hit,
+    sum(low + (ties - 1) / 2.0) FILTER (WHERE up) AS ranks FROM sc GROUP BY fold)
+SELECT fold, n, p AS positives, round(hit / n, {R_STAT}) AS accuracy, round(tp / NULLIF(s, 0), {R_STAT}) AS precision,
+  round(tp / NULLIF(p, 0), {R_STAT}) AS recall, round(2 * tp / NULLIF(p + s, 0), {R_STAT}) AS f1,
+  round((ranks - p * (p + 1) / 2.0) / NULLIF(p * (n - p), 0), {R_STAT}) AS auc FROM ag""")
     return q
 
 
+FIXED_ROWS = {"dim_fin_statement_type": "range(3)", "dim_stock_metric": f"range({len(STOCK_METRICS)})"}
+GOLD_TABLES = ["dim_date", "dim_company", "dim_fin_statement_type", "dim_fin_metric", "dim_stock_metric",
+               "fact_finance", "fact_stock_prices"]
+
+
+
 ORACLE = _sql()

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators import clean, eda, features, forecast, indicators, marts, ml, quality, star
+from ..operators import (boosting, clean, eda, features, forecast, indicators, marts, ml, quality, star)
 from ..schemas import FIN_TYPE_KEY, STATEMENT_ORDER
 from ..session import materialize, scratch_path
 from ..sources import files
@@ -136,6 +136,32 @@ def q_raw_scan(spark, d):
     return _money_all(files.read_csv(spark, path, schema))
 
 
+def q_malformed_rows(spark, d):
+    """Vendor files in which the records of one quarter have a field too many and those of another
+    lack their last one; by source: records that loaded, records set aside, an amount of the first."""
+    raw, paths, schemas = raw_statements(spark, d), {}, {}
+    for name, df in raw.items():
+        paths[name] = scratch_path(spark, f"ragged-{name}")
+        cells = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in df.columns]
+        month = F.substring("fiscalDateEnding", 6, 2)
+        line = F.when(month == "06", F.concat_ws(",", *cells, F.lit("extra"))) \
+            .when(month == "09", F.concat_ws(",", *cells[:-1])).otherwise(F.concat_ws(",", *cells))
+        files.write_lines(df.select(line), paths[name], ",".join(df.columns))
+        schemas[name] = T.StructType([T.StructField(f.name, f.dataType) for f in df.schema.fields])
+    loaded, bad, _ = files.load_checked(spark, paths, schemas)
+    aside = files.bad_counts(bad).groupBy("source").agg(F.sum("bad_rows").alias("bad_rows"))
+    out = None
+    for name, df in loaded.items():
+        one = df.agg(F.count(F.lit(1)).alias("good_rows"), F.countDistinct("symbol").alias("symbols"),
+                     F.max("fiscalDateEnding").alias("last_quarter")) \
+            .select(F.lit(name).alias("source"), "good_rows", "symbols",
+                    F.col("last_quarter").cast("string").alias("last_quarter"))
+        out = one if out is None else out.unionByName(one)
+    return out.join(aside, "source", "left").select(
+        "source", "good_rows", F.coalesce("bad_rows", F.lit(0)).cast("long").alias("bad_rows"), "symbols",
+        "last_quarter")
+
+
 def _cells(tables: dict[str, DataFrame]) -> DataFrame:
     """Silver tables as one long table: (table_name, symbol, date, metric_name, value)."""
     out = None
@@ -334,6 +360,43 @@ def q_warehouse_refresh(spark, d):
     return quality.table_counts(tables)
 
 
+def q_reconcile_warehouse(spark, d):
+    """Gold against the catalog's tables by row fingerprints, facts by year."""
+    g = dict(gold(spark, d).items())
+    db = "finmart_rec"
+    files.create_star_tables(spark, db, scratch_path(spark, "warehouse"))
+    held = {name: files.refresh_table(spark, df, f"{db}.{name}", name).select(*df.columns)
+            for name, df in g.items()}
+    return quality.reconcile(g, held)
+
+
+def q_enforced_load(spark, d):
+    """Three batches for the statement facts: every row again (refused: the keys are held), new keys
+    for unknown companies (refused: no parent), new keys (accepted). One row a batch."""
+    from pyspark.errors import PySparkException
+
+    g = gold(spark, d)
+    db, name = "finmart_load", "fact_finance"
+    files.create_star_tables(spark, db, scratch_path(spark, "warehouse"))
+    fact = g[name]
+    files.refresh_table(spark, fact, f"{db}.{name}", name)
+    new_key = F.col("fact_finance_id") + fact.agg(F.max("fact_finance_id")).first()[0]
+    batches = {"1 repeated": fact, "2 orphans": fact.withColumns(
+        {"fact_finance_id": new_key, "company_key": F.col("company_key") + 1_000_000}),
+        "3 new": fact.withColumn("fact_finance_id", new_key)}
+    out = None
+    for label, batch in batches.items():
+        try:
+            loaded = files.load_rows(spark, batch, f"{db}.{name}", name, g)["rows"]
+        except PySparkException:
+            loaded = 0
+        row = spark.table(f"{db}.{name}").agg(F.count(F.lit(1)).alias("rows_after")).select(
+            F.lit(label).alias("batch"), F.lit(loaded).cast("long").alias("rows_loaded"), "rows_after")
+        row = materialize(row, "load")   # the count as it is now
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
 # --- Phase 4: marts and EDA ------------------------------------------------------------------
 
 def _long(spark, d, ticker=TICKER, statement="income_statement"):
@@ -450,6 +513,49 @@ def q_ml_compare(spark, d):
     return ranked
 
 
+def q_model_reload(spark, d):
+    """A fitted model saved, loaded by a session of its own, and compared on every row."""
+    from pyspark.ml.regression import LinearRegression
+
+    split = materialize(split_frame(spark, d), "split")
+    model = LinearRegression(featuresCol="features", labelCol="target", regParam=0.0, solver="normal") \
+        .fit(ml.assemble(split.filter(F.col("split") == "train")))
+    path = scratch_path(spark, "model")
+    ml.save_model(model, path)
+    return ml.compare_predictions(split, model, ml.load_model(spark.newSession(), path))
+
+
+def _moves(spark, d):
+    return silver_prices(spark, d)
+
+
+def q_direction_metrics(spark, d):
+    """Direction of the day's move told from the move of the day before, by walk-forward fold."""
+    frame = boosting.date_folds(boosting.move_frame(_moves(spark, d)))
+    scored = materialize(frame.filter("block >= 1").select(
+        F.col("block").alias("fold"), "up", F.round("pct_change", R_ROLL).alias("score")), "scored")
+    return rnd(boosting.direction_metrics(scored, threshold=0.0),
+               {c: R_STAT for c in ("accuracy", "precision", "recall", "f1", "auc")})
+
+
+def q_boosted_moves(spark, d):
+    """Boosted direction and price models: test metrics of every walk-forward fold."""
+    stored = boosting.walk_forward_predictions(_moves(spark, d))
+    return boosting.direction_metrics(stored).join(boosting.price_metrics(stored).drop("n"), "fold")
+
+
+def q_split_series_features(spark, d):
+    """The price features with every series cut into pieces of 100 bars."""
+    bars = clean.ensure_symbol(clean.coerce_dates(clean.preprocess_raw(raw_prices(spark, d)), "date"), TICKER)
+    return rnd(features.add_price_features_in_pieces(bars, rows=100), PRICE_ROUND)
+
+
+def q_split_moving_averages(spark, d):
+    from ..operators import series
+    return rnd(series.in_pieces(raw_prices(spark, d), indicators.moving_averages, halo=20, rows=100),
+               {"close": R_MONEY, "daily_return": R_MONEY, "ma_5": R_MEAN, "ma_20": R_MEAN})
+
+
 def q_ml_linear_fit(spark, d):
     """Spark ML least squares on one feature, over the pooled training rows."""
     from pyspark.ml.regression import LinearRegression

@@ -3,15 +3,16 @@
 from __future__ import annotations
 
 import logging
+import time
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.dates import try_date
 from ..schemas import GOLD, ddl
-from ..session import with_year
+from ..session import materialize, with_year
 
 log = logging.getLogger(__name__)
 
@@ -55,10 +56,89 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None,
     return _typed(text, types)
 
 
+BAD_RECORD = "_bad_record"
+
+
+def read_csv_checked(spark: SparkSession, path: str, schema: T.StructType | None = None,
+                     na_tokens: list[str] = NA_TOKENS) -> tuple[DataFrame, DataFrame]:
+    """(rows, bad): CSV with a header row, whose malformed records are set aside.
+
+    A record is malformed when it has more or fewer fields than the header. ``bad`` has (file,
+    record) for each of them, ``rows`` the typed rest. The files are parsed once, with the text of a bad
+    record in a column of its own, and landed; both frames read what was landed."""
+    header = spark.read.option("header", True).csv(path).columns
+    fields = T.StructType([T.StructField(c, T.StringType()) for c in [*header, BAD_RECORD]])
+    text = (spark.read.schema(fields).option("header", True).option("mode", "PERMISSIVE")
+            .option("enforceSchema", True).option("columnPruning", False)
+            .option("columnNameOfCorruptRecord", BAD_RECORD).csv(path)
+            .withColumn("file", F.col("_metadata.file_path")))
+    text = materialize(text, "parsed")
+    bad = text.filter(F.col(BAD_RECORD).isNotNull()).select("file", F.col(BAD_RECORD).alias("record"))
+    good = text.filter(F.col(BAD_RECORD).isNull()).drop(BAD_RECORD, "file")
+    good = good.select(*[F.when(~F.trim(F.col(f"`{c}`")).isin(na_tokens), F.col(f"`{c}`")).alias(c)
+                         for c in header])
+    types = {f.name: f.dataType.simpleString() for f in schema.fields} if schema else infer_types(good)
+    if schema:
+        good = good.select(*[F.col(f"`{f.name}`") for f in schema.fields])
+    return _typed(good, types), bad
+
+
+def bad_counts(bad: dict[str, DataFrame]) -> DataFrame:
+    """(source, file, bad_rows) over the set-aside records of several sources."""
+    out = None
+    for name, df in bad.items():
+        one = df.groupBy("file").agg(F.count(F.lit(1)).alias("bad_rows")) \
+            .select(F.lit(name).alias("source"), "file", "bad_rows")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+def load_checked(spark: SparkSession, paths: dict[str, str],
+                 schemas: dict[str, T.StructType] | None = None, on_bad: str = "set_aside"
+                 ) -> tuple[dict[str, DataFrame], dict[str, DataFrame], list[str]]:
+    """(loaded, bad, failed) for named CSV sources, malformed records counted.
+
+    ``on_bad`` says what a source with malformed records becomes: ``set_aside`` keeps its other rows,
+    ``skip`` logs it and leaves the whole source out, ``raise`` stops. A missing path is skipped like
+    a bad source (or raises). ``bad`` has the records of every source that has any.
+    """
+    if on_bad not in ("set_aside", "skip", "raise"):
+        raise ValueError(f"on_bad: {on_bad!r}")
+    loaded, bad, failed = {}, {}, []
+    for name, path in paths.items():
+        try:
+            rows, odd = read_csv_checked(spark, path, (schemas or {}).get(name))
+        except AnalysisException as exc:
+            if on_bad == "raise":
+                raise
+            log.error("[%s] could not be loaded from %s: %s", name, path, exc)
+            failed.append(name)
+            continue
+        n = odd.count()
+        if n:
+            log.error("[%s] %d malformed records in %s", name, n, path)
+            bad[name] = odd
+            if on_bad == "raise":
+                raise ValueError(f"{name}: {n} malformed records in {path}")
+            if on_bad == "skip":
+                failed.append(name)
+                continue
+        loaded[name] = rows
+    return loaded, bad, failed
+
+
 def write_csv(df: DataFrame, path: str, null_token: str = NULL_TOKEN) -> None:
     df.write.mode("overwrite").option("header", True).option("nullValue", null_token).csv(path)
 
 
+def write_lines(lines: DataFrame, path: str, header: str) -> None:
+    """One text column as CSV part files, each with the header line."""
+    with_header = lines.toDF("line").withColumn("file", F.spark_partition_id())
+    tops = with_header.select("file").distinct().select(F.lit(header).alias("line"), "file", F.lit(0).alias("n"))
+    (with_header.withColumn("n", F.lit(1)).unionByName(tops).repartition("file")
+     .sortWithinPartitions("file", "n").select("line").write.mode("overwrite").text(path))
+
+
 def load_sources(spark: SparkSession, paths: dict[str, str],
                  schemas: dict[str, T.StructType] | None = None, required: bool = True,
                  fmt: str = "csv") -> tuple[dict[str, DataFrame], list[str]]:
@@ -155,22 +235,99 @@ def read_gold(spark: SparkSession, base: str, names: list[str] | None = None,
 
 
 # --- Warehouse tables --------------------------------------------------------------------------
+#
+# A warehouse table is a view over versions: tables <name>__<version> that are written once and never
+# changed. A refresh writes a new version and then replaces the view, which is one step in the
+# catalog; a load that is refused or fails leaves the view, and with it every reader, where it was.
+
+#: Versions that stay behind a view after a refresh: readers may still be on the one before.
+KEPT_VERSIONS = 2
+
+
+def _version_of(table: str) -> str:
+    return f"{table}__{time.time_ns():020d}"
+
+
+def _conformed(df: DataFrame, gold_name: str) -> DataFrame:
+    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in GOLD[gold_name].fields])
+
+
+def _write_version(df: DataFrame, table: str, gold_name: str, seen: Observation | None = None) -> str:
+    """Write a new version table; nothing refers to it yet. What a failed write leaves goes."""
+    version, key = _version_of(table), GOLD[gold_name].fields[0].name
+    fact = gold_name.startswith("fact")
+    if fact:
+        df = with_year(df).repartitionByRange("year", "company_key", "date_key")
+    if seen is not None:   # behind the exchange, whose range sample reads the rows once more
+        df = df.observe(seen, F.count(F.lit(1)).alias("rows"), F.min(key).alias("least_key"),
+                        F.max(key).alias("most_key"))
+    try:
+        writer = df.write.format("parquet")
+        (writer.partitionBy("year") if fact else writer).saveAsTable(version)
+    except Exception:
+        df.sparkSession.sql(f"DROP TABLE IF EXISTS {version}")
+        raise
+    return version
+
+
+def _parts(spark: SparkSession, table: str) -> list[str]:
+    """The version tables that a view reads (they are its comment)."""
+    return (spark.catalog.getTable(table).description or "").split()
+
+
+def _point_to(spark: SparkSession, table: str, parts: list[str], gold_name: str) -> None:
+    columns = [f.name for f in GOLD[gold_name].fields]
+    columns += ["year"] if gold_name.startswith("fact") else []
+    rows = " UNION ALL ".join(f"SELECT {', '.join(columns)} FROM {p}" for p in parts)
+    spark.sql(f"CREATE OR REPLACE VIEW {table} COMMENT '{' '.join(parts)}' AS {rows}")
+
+
+def _drop_old_versions(spark: SparkSession, table: str, used: list[str]) -> None:
+    database, _, name = table.rpartition(".")
+    found = sorted(t.name for t in spark.catalog.listTables(database or None)
+                   if t.name.startswith(f"{name}__"))
+    current = {p.rpartition(".")[2] for p in used}
+    spare = [t for t in found if t not in current]
+    for t in spare[:len(spare) - (KEPT_VERSIONS - 1)]:
+        spark.sql(f"DROP TABLE IF EXISTS {database + '.' if database else ''}{t}")
+
 
 def create_star_tables(spark: SparkSession, database: str, location: str) -> None:
-    """``CREATE TABLE IF NOT EXISTS … USING parquet`` for every Gold table."""
+    """The Gold tables of a database, each an empty version behind its view, where it lacks them."""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{location}'")
     for name in GOLD:
+        table = f"{database}.{name}"
+        if spark.catalog.tableExists(table):
+            continue
+        version = _version_of(table)
         by = ", year int) USING parquet PARTITIONED BY (year)" if name.startswith("fact") else ") USING parquet"
-        spark.sql(f"CREATE TABLE IF NOT EXISTS {database}.{name} ({ddl(name)}{by}")
+        spark.sql(f"CREATE TABLE {version} ({ddl(name)}{by}")
+        _point_to(spark, table, [version], name)
 
 
 def refresh_table(spark: SparkSession, df: DataFrame, table: str, gold_name: str) -> DataFrame:
-    """Full refresh by column name after casting to the declared schema."""
-    fields = GOLD[gold_name].fields
-    conformed = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in fields])
-    if gold_name.startswith("fact"):
-        (with_year(conformed).repartitionByRange("year", "company_key", "date_key")
-         .write.mode("overwrite").format("parquet").partitionBy("year").saveAsTable(table))
-    else:
-        conformed.write.mode("overwrite").format("parquet").saveAsTable(table)
+    """Full refresh by column name after casting to the declared schema, in one switch: readers see
+    the old rows until the new ones are all written, also if the write fails."""
+    version = _write_version(_conformed(df, gold_name), table, gold_name)
+    if spark.catalog.tableExists(table) and spark.catalog.getTable(table).tableType != "VIEW":
+        spark.sql(f"ALTER TABLE {table} RENAME TO {table}__00000000000000000000")   # once, a plain table
+    _point_to(spark, table, [version], gold_name)
+    _drop_old_versions(spark, table, [version])
     return spark.table(table)
+
+
+def load_rows(spark: SparkSession, batch: DataFrame, table: str, gold_name: str,
+              parents: dict[str, DataFrame] | None = None) -> dict:
+    """Append a batch whose keys hold, or refuse it whole.
+
+    The batch is written as a version of its own by a plan that fails on the first broken rule
+    (``quality.enforced``); only then does the view take it in. Returns what the writing pass observed
+    (rows, and the least and largest key). A refused batch raises and leaves the table as it was.
+    """
+    from ..operators.quality import enforced
+
+    seen = Observation(f"load_{gold_name}")
+    rows = enforced(batch, gold_name, spark.table(table), parents)
+    version = _write_version(rows, table, gold_name, seen)
+    _point_to(spark, table, [*_parts(spark, table), version], gold_name)
+    return seen.get
