@@ -46,6 +46,26 @@ def linear_step(state: Column, coefficients: dict[str, object], intercept) -> Co
     return out
 
 
+def clipped(ret: Column, bounds: tuple[float, float] | None) -> Column:
+    """A predicted return held inside ``bounds``. A tree's predictions are means of training returns
+    and stay among them; a linear model that is fed with its own output leaves them within a few steps."""
+    if bounds is None:
+        return ret
+    return F.least(F.greatest(ret, F.lit(float(bounds[0]))), F.lit(float(bounds[1])))
+
+
+def return_bounds(train: DataFrame, label: str = "target", low: float = 0.4,
+                  high: float = 0.6) -> tuple[float, float] | None:
+    """Two exact quantiles of the training returns (None without rows): by default the range of their
+    middle fifth, so that steps of one sign, compounded over a horizon, stay near known prices."""
+    from .stats import exact_quantiles_long
+
+    q = exact_quantiles_long(train.select(F.lit(label).alias("name"), F.col(label).alias("value")),
+                             "name", "value", [low, high]).collect()   # two rows
+    at = {r.p: r.q for r in q}
+    return (at[low], at[high]) if at else None
+
+
 STATE_FIELDS = ["open", "high", "low", "close", "volume", "pct_change", "daily_return",
                 "volatility_5d", "volatility_20d"]
 PATH_TYPE = "array<struct<step:int,date:date,predicted_price:double>>"
@@ -76,8 +96,10 @@ def _initial_state() -> dict[str, Column]:
 
 
 def recursive_forecast(ctx: DataFrame, horizon: int, coefficients: dict[str, object],
-                       intercept, key: str = "symbol") -> DataFrame:
-    """h-step recursive forecast under a linear model: predicted close = close · (1 + r̂).
+                       intercept, key: str = "symbol",
+                       bounds: tuple[float, float] | None = None) -> DataFrame:
+    """h-step recursive forecast under a linear model: predicted close = close · (1 + r̂), r̂ clipped
+    to ``bounds``.
 
     The whole path is one ``aggregate`` over ``sequence(1, h)`` inside each symbol's
     row: pure Catalyst, no per-step job. Returns (key, step, date, predicted_price).
@@ -85,7 +107,7 @@ def recursive_forecast(ctx: DataFrame, horizon: int, coefficients: dict[str, obj
     init = F.struct(*[c.alias(n) for n, c in _initial_state().items()])
 
     def step(acc, i):
-        new = next_state(lambda n: acc[n], linear_step(acc, coefficients, intercept), i)
+        new = next_state(lambda n: acc[n], clipped(linear_step(acc, coefficients, intercept), bounds), i)
         return F.struct(*[c.alias(n) for n, c in new.items()])
 
     run = F.aggregate(F.sequence(F.lit(1), F.lit(horizon)), init, step)
@@ -93,7 +115,7 @@ def recursive_forecast(ctx: DataFrame, horizon: int, coefficients: dict[str, obj
 
 
 def model_forecast(ctx: DataFrame, model, horizon: int, key: str = "symbol",
-                   checkpoint_every: int = 10) -> DataFrame:
+                   checkpoint_every: int = 10, bounds: tuple[float, float] | None = None) -> DataFrame:
     """h-step recursive forecast under any fitted Spark ML regressor (e.g. a forest).
 
     The state frame has one row per symbol; each step assembles its features,
@@ -108,14 +130,15 @@ def model_forecast(ctx: DataFrame, model, horizon: int, key: str = "symbol",
     state = ctx.select(key, *extras, *[c.alias(n) for n, c in _initial_state().items()])
     for i in range(1, horizon + 1):
         scored = model.transform(assemble(state, handle_invalid="keep")).drop("features")
-        new = next_state(F.col, F.col("prediction"), F.lit(i))
+        new = next_state(F.col, clipped(F.col("prediction"), bounds), F.lit(i))
         state = scored.select(key, *extras, *[c.alias(n) for n, c in new.items()])
         if i % checkpoint_every == 0 and i < horizon:
             state = materialize(state)
     return state.select(key, F.inline("path"))
 
 
-def forecast_with_model(ctx: DataFrame, model, horizon: int, key: str = "symbol") -> DataFrame:
+def forecast_with_model(ctx: DataFrame, model, horizon: int, key: str = "symbol",
+                        bounds: tuple[float, float] | None = None) -> DataFrame:
     """Recursive forecast under a fitted Spark ML model: a linear model's recursion runs
     in-row with its coefficients as literals; any other model steps ``transform``."""
     from pyspark.ml.regression import LinearRegressionModel
@@ -123,8 +146,8 @@ def forecast_with_model(ctx: DataFrame, model, horizon: int, key: str = "symbol"
     if isinstance(model, LinearRegressionModel):
         from .ml import linear_coefficients
         coefs, intercept = linear_coefficients(model)
-        return recursive_forecast(ctx, horizon, coefs, intercept, key)
-    return model_forecast(ctx, model, horizon, key)
+        return recursive_forecast(ctx, horizon, coefs, intercept, key, bounds)
+    return model_forecast(ctx, model, horizon, key, bounds=bounds)
 
 
 def ols_forecast(ctx_with_coefficients: DataFrame, horizon: int, feature: str = "pct_change",

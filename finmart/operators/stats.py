@@ -9,7 +9,7 @@ from .keys import cumulative_start
 
 
 def exact_quantiles_long(long: DataFrame, group_col: str, value_col: str,
-                         probs: list[float]) -> DataFrame:
+                         probs: list[float], many_groups: bool = False) -> DataFrame:
     """Exact linear-interpolated quantiles of ``value_col`` per ``group_col``.
 
     1. ``(group, value) → count`` is aggregated first (map-side), so a hot repeated
@@ -20,6 +20,9 @@ def exact_quantiles_long(long: DataFrame, group_col: str, value_col: str,
     3. Per group, the one or two positions each quantile needs are joined back on
        the group key (one small row per group) and the covering values weighted.
 
+    With ``many_groups`` (symbols by month, say; ``group_col`` may be a struct) the positions
+    meet the values in a shuffle join instead of a broadcast one.
+
     Returns ``(group_col, p, q)``; NULL values are ignored. For p = 0.5 this is the
     mean of the middle two on even counts, as ``median`` defines it.
     """
@@ -39,8 +42,8 @@ def exact_quantiles_long(long: DataFrame, group_col: str, value_col: str,
                .agg(F.flatten(F.collect_list(F.when(lo == hi, one).otherwise(two)))
                     .alias("_targets")))
     local = F.col("_start") - F.col("_first")
-    # one target row per group (the numeric columns of a table): the values stay where they are
-    picked = (runs.join(F.broadcast(targets), group_col)
+    # one target row per group; few groups (the columns of a table): the values stay where they are
+    picked = (runs.join(targets if many_groups else F.broadcast(targets), group_col)
               .select(group_col, value_col, local.alias("_lo"),
                       (local + F.col("_cnt")).alias("_hi"), F.explode("_targets").alias("t"))
               .filter((F.col("t.k") >= F.col("_lo")) & (F.col("t.k") < F.col("_hi"))))

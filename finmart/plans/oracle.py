@@ -695,6 +695,10 @@ FROM rc""")
   FROM (SELECT symbol, CAST(quarter_end AS VARCHAR) AS fd, substr(CAST(quarter_end AS VARCHAR), 6, 2) AS m FROM ledger)"""
         for s in ORDER))
     years = {t: "date_key // 10000" if t.startswith("fact") else "NULL" for t in GOLD_TABLES}
+    q["return_quantiles"] = with_prices("SELECT symbol, strftime(date, '%Y-%m') AS month, " + ", ".join(
+        r(f"quantile_cont(round(pct_change, {R_ROLL}), {p})", R_ROLL + 3, f"p{round(100 * p)}")
+        for p in (0.05, 0.25, 0.5, 0.75, 0.95)) + " FROM prices WHERE pct_change IS NOT NULL GROUP BY 1, 2")
+    q["wide_correlation"] = q["correlation_matrix"]
     q["reconcile_warehouse"] = with_all(", " + "rc AS (" + " UNION ALL ".join(
         f"SELECT '{t}' AS table_name, CAST({y} AS INTEGER) AS year FROM {FIXED_ROWS.get(t, t)}" for t, y in years.items())
         + ") SELECT table_name, year, count(*) AS gold_rows, count(*) AS warehouse_rows, true AS same "

@@ -19,6 +19,7 @@ from ..schemas import FIN_TYPE_KEY, STATEMENT_ORDER
 from ..session import materialize, scratch_path
 from ..sources import files
 from ..functions.numeric import round_sig
+from ..operators.stats import exact_quantiles_long
 from ..sources.fixtures import prices_from_events, raw_prices, raw_statements, read_table
 from . import etl
 
@@ -470,6 +471,12 @@ def q_correlation_matrix(spark, d):
     return rnd(eda.correlation_matrix(bs), {"corr": R_STAT})
 
 
+def q_wide_correlation(spark, d):
+    """The balance sheet's correlations from one scan of matrix products."""
+    bs = materialize(silver_statements(spark, d)["balance_sheet"], "sheet")
+    return rnd(eda.wide_correlation_matrix(bs), {"corr": R_STAT})
+
+
 # --- Phase 5: ML, forecast, scenarios ---------------------------------------------------------
 
 def q_training_frame(spark, d):
@@ -578,10 +585,24 @@ def q_ml_forecast(spark, d):
     est = LinearRegression(featuresCol="features", labelCol="target", regParam=0.0,
                            solver="normal")
     model = est.fit(ml.assemble(split.filter(F.col("split") == "train")))
-    path = forecast.forecast_with_model(forecast.forecast_context(prices), model, HORIZON)
+    bounds = forecast.return_bounds(split.filter(F.col("split") == "train"))
+    path = forecast.forecast_with_model(forecast.forecast_context(prices), model, HORIZON, bounds=bounds)
     return forecast.bounded(path)
 
 
+QUANTILES = [0.05, 0.25, 0.5, 0.75, 0.95]
+
+
+def q_return_quantiles(spark, d):
+    """Exact quantiles of the daily return for every symbol and month."""
+    group = F.struct("symbol", F.date_format("date", "yyyy-MM").alias("month")).alias("g")
+    long = silver_prices(spark, d).select(group, F.round("pct_change", R_ROLL).alias("value"))
+    q = exact_quantiles_long(long, "g", "value", QUANTILES, many_groups=True)
+    wide = q.groupBy("g").agg(*[F.max(F.when(F.col("p") == p, F.col("q"))).alias(f"p{round(100 * p)}")
+                                for p in QUANTILES])
+    return rnd(wide.select("g.symbol", "g.month", *wide.columns[1:]), {c: R_ROLL + 3 for c in wide.columns[1:]})
+
+
 def q_forecast_context(spark, d):
     ctx = forecast.forecast_context(silver_prices(spark, d))
     return rnd(ctx, {**PRICE_ROUND, "avg_volatility_5d": R_STAT, "avg_volatility_20d": R_STAT,

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import contextlib
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
 
 
 def get_spark(master: str | None = None, app: str = "finmart",
-              shuffle_partitions: int | None = None) -> SparkSession:
+              shuffle_partitions: int | None = None, driver_memory: str | None = None) -> SparkSession:
     """Build (or reuse) a session with the settings every finmart plan assumes.
 
     ANSI mode stays on (Spark 4 default), so every fallible cast/division in the
@@ -30,6 +31,8 @@ def get_spark(master: str | None = None, app: str = "finmart",
         "spark.sql.ansi.enabled": "true",
         "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     }
+    if driver_memory:   # counts only if no JVM runs yet
+        conf["spark.driver.memory"] = driver_memory
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     for k, v in conf.items():
@@ -54,7 +57,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if configured:
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir() or configured
-    if not sc.master.startswith("local"):
+    if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):   # local-cluster has executors of its own
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     local = tempfile.mkdtemp(prefix="finmart-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(local)
