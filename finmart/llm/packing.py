@@ -42,6 +42,18 @@ class _Tokenizer:
         self.model.encode_special_tokens = True
         self.line = self.model.encode("\n", add_special_tokens=False).ids
         self.cache = ChunkCache(pattern, self._new)
+        self.added = [t.content for t in self.model.get_added_tokens_decoder().values()]
+
+    def encode(self, texts: list[str | None]) -> list[bytes]:
+        """Packed ids as the library's own call gives them. A text that holds the string of an added
+        token, which is one id there, is encoded whole."""
+        out = self.cache.encode(texts)
+        for k, t in enumerate(texts):
+            if t and any(a in t for a in self.added):
+                self.model.encode_special_tokens = False
+                out[k] = np.asarray(self.model.encode(t, add_special_tokens=False).ids, "<u4").tobytes()
+                self.model.encode_special_tokens = True
+        return out
 
     @classmethod
     def of(cls, path: str, pattern: str) -> "_Tokenizer":
@@ -82,12 +94,12 @@ def pieces(docs: DataFrame, path: str, pattern: str, size: int = 2048, id_col: s
     closing = np.asarray([CLOSING_ID], dtype="<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = _Tokenizer.of(path, pattern).cache
+        tokenizer = _Tokenizer.of(path, pattern)
         for rows in batches:
             docs, at = rows.column(0).to_pylist(), 0
             for part in slices(rows.column(1).to_pylist()):
                 out = []
-                for doc, ids in zip(docs[at:at + len(part)], cache.encode(part)):
+                for doc, ids in zip(docs[at:at + len(part)], tokenizer.encode(part)):
                     ids += closing
                     out += [(doc, k, s, n, ids[4 * s:4 * (s + n)])
                             for k, (s, n) in enumerate(cut(len(ids) // 4, size))]
