@@ -7,9 +7,9 @@ equal sets form a class, and only classes are joined, so copies are never paired
 1. A fixed-size table of counters over all documents' n-grams orders n-grams rare first: those
    that are certainly frequent come last, by count. Any order gives the same links; a good one keeps
    shared passages out of the prefixes.
-2. Each class shows a pool, the first n-grams of its order. A set with a link has at most
-   ``n - ceil(t n)`` n-grams that no other class holds; a class whose pool already has more (an exact
-   count, by one join on n-grams) links with nothing and is done. Of the others the prefix, the first
+2. Each class shows a pool, the first n-grams of its order. A set with a link has less than
+   ``lone_bar`` n-grams in its pool that no other pool shows; a class with more (an exact count, by
+   one join on n-grams) links with nothing and is done. Of the others the prefix, the first
    ``n - ceil(t n) + 1`` n-grams with their positions, goes on: two linked sets share one of them.
 3. In a few rounds each shared n-gram names some hubs, and its holders in other components are
    paired with those: a number of pairs that is linear in the rows, which joins most of any dense
@@ -146,6 +146,17 @@ def pool_length(n, percent: int):
     return min(n, prefix_length(n, percent) + n * POOL_MORE // 100 + 1)
 
 
+def lone_bar(n, percent: int):
+    """So many n-grams of a pool that no other pool shows prove that the set has no link.
+
+    Let B be linked with A. At most ``prefix - 1`` n-grams of A are not in B. The i-th shared one has
+    at most |B| - overlap others of B before it, so B's pool shows all shared ones of A's pool but, at
+    most, as many as A's pool is longer beyond its prefix than B's. B is no smaller than
+    ``ceil(percent n)``, whose pool is the shortest in question."""
+    more = [k * POOL_MORE // 100 for k in (n, -(-percent * n // 100))]
+    return prefix_length(n, percent) + more[0] - more[1]
+
+
 def _columns(n: Column, percent: int) -> tuple[Column, Column]:
     """prefix_length and pool_length of a column of sizes."""
     n = n.cast("long")
@@ -303,8 +314,11 @@ def near_components(docs: DataFrame, n: int = 3, percent: int = 90, id_col: str
         .filter("k0 <> k1").select("gram")
     found = pool.join(some, "gram").groupBy("key").agg(F.count(F.lit(1)).alias("rows"))
     prefix_n, pool_n = _columns(F.col("n"), percent)
-    alone = pool_n - F.col("rows") / F.col("copies")            # n-grams that no other class holds
-    wanted = land(classes.join(found, "key").filter((alone < prefix_n) & F.col("rep").isNotNull())
+    fewest = F.ceil(F.col("n").cast("long") * F.lit(percent) / F.lit(100))
+    bar = prefix_n + F.floor(F.col("n").cast("long") * F.lit(POOL_MORE) / F.lit(100)) \
+        - F.floor(fewest * F.lit(POOL_MORE) / F.lit(100))       # ``lone_bar`` of a column
+    alone = pool_n - F.col("rows") / F.col("copies")            # n-grams that no other pool shows
+    wanted = land(classes.join(found, "key").filter((alone < bar) & F.col("rep").isNotNull())
                   .select(F.col("rep").alias("id")).distinct(), "wanted")
     release(pool)
 
