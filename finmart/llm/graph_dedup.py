@@ -16,11 +16,13 @@ two homes of one shard is counted there; others travel as pairs, so both ends co
 
 Recall is audited against brute force on a bounded query set (``AUDIT`` vectors chosen by a hash
 against all vectors of their labels); below ``RECALL`` the search is repeated with one more copy
-per vector and twice the beam. Null, zero or non-finite vectors and null labels link with nothing.
+per vector and twice the beam; the figure is logged, and one below ``LEAST_RECALL`` after the third
+search is an error. Null, zero or non-finite vectors and null labels link with nothing.
 """
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,17 +33,22 @@ from pyspark.sql import functions as F
 
 from .common import components, land
 
+log = logging.getLogger(__name__)
+
 SHARD, SAMPLE, SPLIT = 3000, 1024, 16
 DEGREE, ALPHA, NEAREST, RANDOM, BEAM = 24, 1.2, 48, 16, 32
 #: How far below the threshold range expansion still walks.
 SLACK = 0.03
 AUDIT, RECALL = 400, 0.97
+#: A result whose audit is still below this after the widest search is an error.
+LEAST_RECALL = 0.9
 
 
 # --- one shard, in numpy ------------------------------------------------------------------
 
 def unit(rows: np.ndarray) -> np.ndarray:
     x = rows.astype(np.float64)
+    x = x / np.abs(x).max(axis=1, keepdims=True)   # first: squares of large or tiny values are lost
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
@@ -206,23 +213,23 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return flat.reshape(len(column), -1)
 
 
-ROWS = "path string, rep long, vec array<float>, size long, home boolean, side int"
+ROWS = "path string, rep long, vec {}, size long, home boolean, side int"
 
 
-def split_shards(classes: DataFrame, copies: int) -> DataFrame:
+def split_shards(classes: DataFrame, copies: int, shard: int = SHARD) -> DataFrame:
     """Rows (path, rep, vec, size, home, side) in which no path is above SHARD homes and copies;
     side is -1, or the block of a row in a pair of blocks."""
     rows = land(classes.select(F.concat_ws("|", "label", F.size("vec")).alias("path"), "rep", "vec",
                                "size", F.lit(True).alias("home"), F.lit(-1).alias("side")), "shards")
     while True:
         counts = rows.groupBy("path").agg(F.count(F.lit(1)).alias("n")) \
-            .filter((F.col("n") > SHARD) & ~F.col("path").endswith("!"))
+            .filter((F.col("n") > shard) & ~F.col("path").endswith("!"))
         counts = land(counts, "large")
         if counts.isEmpty():
             break
-        rows = land(_split(rows, counts, copies), "shards")
+        rows = land(_split(rows, counts, copies, shard), "shards")
     blocks = land(rows.filter(F.col("path").endswith("!")).groupBy("path")
-                  .agg(F.ceil(F.count(F.lit(1)) / F.lit(SHARD / 2)).alias("b")), "blocks")
+                  .agg(F.ceil(F.count(F.lit(1)) / F.lit(shard / 2)).alias("b")), "blocks")
     if blocks.isEmpty():
         return rows
     own = F.pmod(F.xxhash64("rep"), F.col("b"))
@@ -234,13 +241,13 @@ def split_shards(classes: DataFrame, copies: int) -> DataFrame:
     return rows.filter(~F.col("path").endswith("!")).unionByName(pairs)
 
 
-def _split(rows: DataFrame, counts: DataFrame, copies: int) -> DataFrame:
+def _split(rows: DataFrame, counts: DataFrame, copies: int, shard: int) -> DataFrame:
     share = F.pmod(F.xxhash64("rep"), F.lit(1 << 20)) < F.lit(1 << 20) * F.lit(SAMPLE) / F.col("n")
     sample = rows.filter("home").join(counts, "path").filter(share).select("path", "n", "vec")
 
     def fit(pdf: pd.DataFrame) -> pd.DataFrame:              # about SAMPLE rows
         x = unit(np.stack(pdf["vec"]))
-        k = int(min(SPLIT, max(2, -(-2 * int(pdf["n"].iloc[0]) // SHARD))))
+        k = int(min(SPLIT, max(2, -(-2 * int(pdf["n"].iloc[0]) // shard))))
         c = kmeans(x, k)
         return pd.DataFrame({"path": [pdf["path"].iloc[0]], "centres": [c.reshape(-1).tolist()]})
 
@@ -275,7 +282,7 @@ def _split(rows: DataFrame, counts: DataFrame, copies: int) -> DataFrame:
                 names=["path", "rep", "vec", "size", "home", "side"])
 
     return known.select("path", "rep", "vec", "size", "home", "side", "large", "centres") \
-        .mapInArrow(deal, ROWS).distinct()
+        .mapInArrow(deal, ROWS.format(rows.schema["vec"].dataType.simpleString())).distinct()
 
 
 def united_graph(rows: DataFrame) -> DataFrame:
@@ -332,16 +339,19 @@ def search_shards(rows: DataFrame, graph: DataFrame, threshold: float, beam: int
 # --- the operator -------------------------------------------------------------------------
 
 def _valid(vectors: DataFrame, id_col: str, vec_col: str, label_col: str) -> DataFrame:
+    kind = vectors.schema[vec_col].dataType.simpleString()   # floats stay floats, all else is double
+    kind = kind if kind == "array<float>" else "array<double>"
     rows = vectors.select(F.col(id_col).alias("vec_id"), F.col(label_col).alias("label"),
-                          F.col(vec_col).cast("array<float>").alias("vec"))
+                          F.col(vec_col).cast(kind).alias("vec"))
     odd = F.exists("vec", lambda v: v.isNull() | F.isnan(v) | (F.abs(v) == float("inf")))
     some = F.exists("vec", lambda v: v != 0)
     return rows.filter("vec_id is not null and label is not null and vec is not null").filter(~odd & some)
 
 
-def link_counts(classes: DataFrame, threshold: float, copies: int, beam: int) -> tuple[DataFrame, DataFrame]:
+def link_counts(classes: DataFrame, threshold: float, copies: int, beam: int,
+                shard: int = SHARD) -> tuple[DataFrame, DataFrame]:
     """(rep, linked): vectors of other classes linked with each class; and edges (a, b)."""
-    rows = land(split_shards(classes, copies), "sharded")
+    rows = land(split_shards(classes, copies, shard), "sharded")
     graph = land(united_graph(rows), "graph")
     found = land(search_shards(rows, graph, threshold, beam), "found")
     low, high = F.least("a", "b"), F.greatest("a", "b")
@@ -392,7 +402,7 @@ def audit_recall(classes: DataFrame, linked: DataFrame, threshold: float, audit:
 
 def near_duplicates(vectors: DataFrame, threshold: float = 0.98, id_col: str = "vec_id",
                     vec_col: str = "embedding", label_col: str = "label", copies: int = 1,
-                    beam: int = BEAM) -> DataFrame:
+                    beam: int = BEAM, shard: int = SHARD) -> DataFrame:
     """One row per vector: vec_id, n_links, component_id, kept (vec_id = component_id).
 
     Rows that repeat an id are vectors of their own in n_links; a row without an id links with
@@ -406,9 +416,14 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.98, id_col: str = "
     classes = land(classes.withColumn("id", F.col("rep"))
                    .withColumn("rep", F.monotonically_increasing_id()), "numbered")
     for attempt in range(3):
-        linked, edges = link_counts(classes, threshold, copies + attempt, beam << attempt)
-        if audit_recall(classes, linked, threshold) >= RECALL:
+        linked, edges = link_counts(classes, threshold, copies + attempt, beam << attempt, shard)
+        recall = audit_recall(classes, linked, threshold)
+        log.info("recall %.4f of the audited links with %d copies and beam %d", recall, copies + attempt,
+                 beam << attempt)
+        if recall >= RECALL:
             break
+    if recall < LEAST_RECALL:
+        raise RuntimeError(f"only {recall:.3f} of the audited links were found, also with beam {beam << 2}")
     joined = components(edges)
     named = classes.select("rep", "id", "label", "vec", "size").join(linked, "rep", "left") \
         .join(joined.withColumnRenamed("id", "rep"), "rep", "left") \
