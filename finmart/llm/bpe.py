@@ -77,10 +77,11 @@ class ChunkCache(dict):
     run: it is remembered as None, and its text is cut by the pattern as a whole.
     """
 
-    def __init__(self, pattern: str, encode_new):
+    def __init__(self, pattern: str, encode_new, entries: int = CACHE_ENTRIES):
         import regex
 
         super().__init__()
+        self.entries = entries
         self.find = regex.compile(pattern).findall
         self.encode_new = encode_new        # list of pre-tokens -> list of packed ids
         self.pieces: dict[str, bytes] = {}  # pre-tokens that are no word after a space
@@ -112,8 +113,8 @@ class ChunkCache(dict):
     def _shrink(self) -> None:
         """Keep the entries that came first: frequent words come early."""
         for cache in (self, self.pieces):
-            if len(cache) > CACHE_ENTRIES:
-                old = dict(islice(cache.items(), CACHE_ENTRIES // 2))
+            if len(cache) > self.entries:
+                old = dict(islice(cache.items(), self.entries // 2))
                 cache.clear()
                 cache.update(old)
 

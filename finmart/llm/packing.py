@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .bpe import ChunkCache, slices
+from .bpe import CACHE_ENTRIES, ChunkCache, slices
 from .common import kept_in_worker, land
 
 CLOSING_ID = 0
@@ -32,7 +32,7 @@ TASK_PIECES = 60_000
 class _Tokenizer:
     """The vocabulary's own library behind a chunk cache; built once per Python worker."""
 
-    def __init__(self, path: str, pattern: str):
+    def __init__(self, path: str, pattern: str, entries: int = CACHE_ENTRIES):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"   # one core a task
@@ -41,7 +41,7 @@ class _Tokenizer:
         self.model = Tokenizer.from_file(path)
         self.model.encode_special_tokens = True
         self.line = self.model.encode("\n", add_special_tokens=False).ids
-        self.cache = ChunkCache(pattern, self._new)
+        self.cache = ChunkCache(pattern, self._new, entries)
         self.added = [t.content for t in self.model.get_added_tokens_decoder().values()]
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
@@ -56,8 +56,8 @@ class _Tokenizer:
         return out
 
     @classmethod
-    def of(cls, path: str, pattern: str) -> "_Tokenizer":
-        return kept_in_worker(("packing", path, pattern), lambda: cls(path, pattern))
+    def of(cls, path: str, pattern: str, entries: int = CACHE_ENTRIES) -> "_Tokenizer":
+        return kept_in_worker(("packing", path, pattern, entries), lambda: cls(path, pattern, entries))
 
     def _new(self, pre_tokens: list[str]) -> list[bytes]:
         """Words of letters are encoded many at a time, each followed by a line end, whose id
@@ -89,12 +89,13 @@ PIECES = "doc_id long, piece int, start long, length long, ids binary"
 
 
 def pieces(docs: DataFrame, path: str, pattern: str, size: int = 2048, id_col: str = "doc_id",
-           text_col: str = "text") -> DataFrame:
-    """One row per piece with its ids (little-endian unsigned 32-bit integers)."""
+           text_col: str = "text", cache_entries: int = CACHE_ENTRIES) -> DataFrame:
+    """One row per piece with its ids (little-endian unsigned 32-bit integers). A worker remembers up
+    to ``cache_entries`` chunks of text; fewer cost time, not results."""
     closing = np.asarray([CLOSING_ID], dtype="<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = _Tokenizer.of(path, pattern)
+        tokenizer = _Tokenizer.of(path, pattern, cache_entries)
         for rows in batches:
             docs, at = rows.column(0).to_pylist(), 0
             for part in slices(rows.column(1).to_pylist()):
@@ -221,9 +222,9 @@ def sequences(piece_rows: DataFrame, packed: DataFrame) -> DataFrame:
 
 def pack_documents(docs: DataFrame, path: str, pattern: str, size: int = 2048,
                    open_bins: int = OPEN_BINS, id_col: str = "doc_id",
-                   text_col: str = "text") -> DataFrame:
+                   text_col: str = "text", cache_entries: int = CACHE_ENTRIES) -> DataFrame:
     """One row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset."""
-    cut_up = land(pieces(docs, path, pattern, size, id_col, text_col)
+    cut_up = land(pieces(docs, path, pattern, size, id_col, text_col, cache_entries)
                   .withColumn("ids_crc32", F.crc32("ids")).drop("ids"), "pieces")
     return pack(cut_up, size, open_bins).select(
         "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")

@@ -102,6 +102,15 @@ def test_packing_whole_table(sp, docs_pdf):
     assert made <= math.ceil(1.005 * total / 2048) + 1
 
 
+@pytest.mark.parametrize("text", ["a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|><|endoftext|> y", "<|endof"])
+def test_packing_uses_the_librarys_ids_for_added_tokens(text):
+    import numpy as np
+    from tokenizers import Tokenizer
+    path = queries.tokenizer_file("byte_bpe_50k.json")
+    packed, = packing._Tokenizer(path, queries.pattern(), 10).encode([text])
+    assert np.frombuffer(packed, "<u4").tolist() == Tokenizer.from_file(path).encode(text, add_special_tokens=False).ids
+
+
 def test_packing_many_tasks_share_their_ends(sp):
     items = sp.range(5000).selectExpr("id", "1 + pmod(xxhash64(id), 100) as length")
     out = packing.pack(items, size=100, open_bins=16, task_pieces=300).collect()
