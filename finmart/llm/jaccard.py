@@ -4,19 +4,22 @@ A document's set holds the hashes of its distinct word n-grams; with fewer words
 sequence is its one n-gram, without words the set is empty and links with nothing. Documents with
 equal sets form a class, and only classes are joined, so copies are never paired with each other.
 
-1. A fixed-size table of counters over all documents' n-grams orders n-grams rare first: those
-   that are certainly frequent come last, by count. Any order gives the same links; a good one keeps
-   shared passages out of the prefixes.
-2. Each class shows a pool, the first n-grams of its order. A set with a link has less than
-   ``lone_bar`` n-grams in its pool that no other pool shows; a class with more (an exact count, by
-   one join on n-grams) links with nothing and is done. Of the others the prefix, the first
-   ``n - ceil(t n) + 1`` n-grams with their positions, goes on: two linked sets share one of them.
-3. In a few rounds each shared n-gram names some hubs, and its holders in other components are
-   paired with those: a number of pairs that is linear in the rows, which joins most of any dense
-   group. Then all holders of an n-gram whose components still differ are paired; pairs within a
-   component cannot change it and are left out.
-4. Pairs pass the length, positional and suffix filters (upper bounds of the overlap) before the
-   sets themselves are compared, once per pair and in whole numbers.
+1. A first thinning: a fixed-size table of counters over all documents' n-grams puts those that are
+   certainly frequent last, and each class shows a pool, the first n-grams of that order. A set
+   with a link has less than ``lone_bar`` n-grams in its pool that no other pool shows; a class with
+   more (an exact count, by one join on n-grams) links with nothing and is done. Any order is right
+   here; a good one lets more classes go.
+2. Of the classes left, every n-gram is counted exactly, and each set is ordered rare first by these
+   counts. The prefix is the first ``n - ceil(t n) + 1`` n-grams: two linked sets share one of them.
+   N-grams of one class alone come first and meet nothing, so only shared ones are kept, with
+   their positions among the shared ones of the set.
+3. In a few rounds each shared n-gram names some hubs, and each holder is paired with one hub of
+   another component, the one it shares most prefix n-grams with: at most a pair a holder and round,
+   which joins most of any dense group. Then all holders of an n-gram whose components still
+   differ are paired; pairs within a component cannot change it and are left out.
+4. Pairs pass the length and positional filters while they are joined, then the suffix filter
+   (upper bounds of the overlap), before the sets themselves are compared, once per pair and in whole
+   numbers.
 
 The result names components, so links inside a component need not all be listed; none between
 different components is lost.
@@ -29,7 +32,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .bpe import slices
@@ -42,7 +45,7 @@ _BLOCKS = 64
 POOL_MORE = 12
 #: Hubs that a shared n-gram names in a round, and rounds of them before all pairs are left.
 HUBS, HUB_ROUNDS = 8, 3
-#: Classes of the suffix filter: n-grams beyond the prefix are counted by this many hash ranges.
+#: Classes of the suffix filter: shared n-grams of a set are counted by this many hash classes.
 RANGES = 16
 
 _LOWER = bytes.maketrans(bytes(range(0x41, 0x5B)), bytes(range(0x61, 0x7B)))
@@ -194,29 +197,56 @@ def pools(docs: DataFrame, n: int, percent: int, table: np.ndarray) -> DataFrame
     return docs.mapInArrow(run, "gram long, key long")
 
 
-def class_sets(docs: DataFrame, n: int, percent: int, table: np.ndarray) -> DataFrame:
-    """(id, n, prefix, ranges, grams) of given representatives: the prefix in order, the rest
-    counted by hash range, and the whole set as packed sorted hashes."""
-    shared = docs.sparkSession.sparkContext.broadcast(table)
-    bar = frequent_bar(table)
-
+def class_sets(docs: DataFrame, n: int) -> DataFrame:
+    """(id, key, n, grams) of given representatives: the whole set as packed sorted hashes."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in batches:
             ids, at = rows.column(0).to_pylist(), 0
             for sets in _sets(rows, n):
-                turn = [ordered(s, shared.value, bar) for s in sets]
-                cut = [prefix_length(len(s), percent) for s in sets]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(ids[at:at + len(sets)], pa.int64()),
+                     pa.array([_key(s) for s in sets], pa.int64()),
                      pa.array([len(s) for s in sets], pa.int32()),
-                     pa.array([o[:p].view(np.int64) for o, p in zip(turn, cut)], pa.list_(pa.int64())),
-                     pa.array([np.bincount((o[p:] >> np.uint64(60)).astype(np.int64), minlength=RANGES)
-                               for o, p in zip(turn, cut)], pa.list_(pa.int32())),
                      pa.array([s.tobytes() for s in sets], pa.binary())],
-                    names=["id", "n", "prefix", "ranges", "grams"])
+                    names=["id", "key", "n", "grams"])
                 at += len(sets)
 
-    return docs.mapInArrow(run, "id long, n int, prefix array<long>, ranges array<int>, grams binary")
+    return docs.mapInArrow(run, "id long, key long, n int, grams binary")
+
+
+def single_grams(sets: DataFrame) -> DataFrame:
+    """(id, key, n, gram): a row per n-gram of each set."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in batches:
+            for at in range(0, rows.num_rows, 1024):
+                part = rows.slice(at, 1024)
+                sizes = part.column(2).to_numpy()
+                grams = np.concatenate([np.frombuffer(g.as_buffer(), np.int64) for g in part.column(3)])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.repeat(part.column(k).to_numpy(), sizes)) for k in range(3)]
+                    + [pa.array(grams)], names=["id", "key", "n", "gram"])
+
+    return sets.mapInArrow(run, "id long, key long, n int, gram long")
+
+
+def rare_first(sets: DataFrame) -> DataFrame:
+    """(id, key, n, gram, s, r): the n-grams that several sets hold, each with its rank r among the
+    s such n-grams of its set, in the order of the exact number of sets that hold it."""
+    whole = single_grams(sets)
+    shared = whole.groupBy("gram").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
+    own = Window.partitionBy("id", "key", "n")
+    return (whole.join(shared, "gram")
+            .withColumn("r", F.dense_rank().over(own.orderBy("df", "gram")) - F.lit(1))
+            .withColumn("s", F.count(F.lit(1)).over(own).cast("int"))
+            .select("id", "key", "n", "gram", "s", "r"))
+
+
+def hash_classes(placed: DataFrame) -> DataFrame:
+    """(id, ranges): the shared n-grams of each set counted by hash class."""
+    at = F.col("gram").bitwiseAND(F.lit(RANGES - 1))
+    return placed.groupBy("id", "key", "n").agg(
+        *[F.count_if(at == F.lit(k)).cast("int").alias(f"r{k}") for k in range(RANGES)]) \
+        .select("id", F.array(*[f"r{k}" for k in range(RANGES)]).alias("ranges"))
 
 
 def _overlap_needed(na: Column, nb: Column, percent: int) -> Column:
@@ -228,28 +258,32 @@ def _long_enough(na: Column, nb: Column, percent: int) -> Column:
     return F.least(na, nb).cast("long") * F.lit(100) >= F.greatest(na, nb).cast("long") * F.lit(percent)
 
 
+def _can_reach(x: str, y: str, percent: int) -> Column:
+    """The positional filter on rows of sets x and y that meet at an n-gram: what both hold before
+    it and from it on suffices for a link."""
+    r, rest = [F.least(F.col(f"{c}{x}"), F.col(f"{c}{y}")) for c in ("r", "t")]
+    return r + rest >= _overlap_needed(F.col(f"n{x}"), F.col(f"n{y}"), percent)
+
+
 def _filtered(met: DataFrame, percent: int) -> DataFrame:
-    """Distinct pairs (a, b) of rows (a, na, pa, b, nb, pb), one per shared prefix n-gram, that
-    pass the positional filter: shared so far plus what can follow the last shared position."""
-    pairs = met.groupBy("a", "b", "na", "nb").agg(
-        F.count(F.lit(1)).alias("shared"), F.max("pa").alias("pa"), F.max("pb").alias("pb"))
-    most = F.col("shared") + F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb")) - F.lit(1)
+    """Distinct pairs (a, b) of rows (a, ka, na, ra, ta and the same of b), one per shared prefix
+    n-gram, that pass the positional filter at their last one: shared so far plus what can follow."""
+    pairs = met.groupBy("a", "b", "ka", "kb", "na", "nb").agg(
+        F.count(F.lit(1)).alias("shared"), F.min("ta").alias("ta"), F.min("tb").alias("tb"))
+    most = F.col("shared") + F.least("ta", "tb") - F.lit(1)
     return pairs.filter(most >= _overlap_needed(F.col("na"), F.col("nb"), percent)) \
-        .select("a", "b", "na", "nb")
+        .select("a", "b", "na", "nb").distinct()
 
 
-def _suffix_passed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The suffix filter: prefixes can share all of the shorter one, suffixes in each hash range
-    at most the smaller count."""
-    left = sets.select(F.col("id").alias("a"), F.col("ranges").alias("ra"))
-    right = sets.select(F.col("id").alias("b"), F.col("ranges").alias("rb"))
-    met = pairs.join(left, "a").join(right, "b")
+def _suffix_passed(pairs: DataFrame, ranges: DataFrame, percent: int) -> DataFrame:
+    """The suffix filter: sets can share in each hash class at most the smaller count. Whole sets are
+    counted, because an n-gram of one prefix may lie in the suffix of the other."""
+    left = ranges.select(F.col("id").alias("a"), F.col("ranges").alias("ra"))
+    right = ranges.select(F.col("id").alias("b"), F.col("ranges").alias("rb"))
     in_ranges = reduce(lambda x, y: x + y, [F.least(F.col("ra")[i], F.col("rb")[i])
                                             for i in range(RANGES)])
-    pre = [_columns(F.col(c), percent)[0] for c in ("na", "nb")]
-    # a prefix n-gram of one set may lie in the suffix of the other, so both prefixes count
-    return met.filter(in_ranges + pre[0] + pre[1]
-                      >= _overlap_needed(F.col("na"), F.col("nb"), percent)).select("a", "b")
+    enough = in_ranges >= _overlap_needed(F.col("na"), F.col("nb"), percent)
+    return pairs.join(left, "a").join(right, "b").filter(enough).select("a", "b").distinct()
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -269,18 +303,27 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return met.select("a", "b", "ga", "gb").mapInArrow(run, "a long, b long")
 
 
-def _hub_pairs(rows: DataFrame, seed: int, percent: int) -> DataFrame:
-    """Distinct pairs (a, b, na, nb), a < b, of a hub and another holder of its n-gram that is in
-    another component ``c``. An n-gram names HUBS hubs at most, other ones for another seed."""
+def _hub_pairs(rows: DataFrame, tried: DataFrame | None, seed: int, percent: int) -> DataFrame:
+    """Distinct pairs (a, b, na, nb), a < b: each holder of a shared n-gram with one hub of another
+    component ``c``, not tried before, that shares most prefix n-grams with it. An n-gram names HUBS
+    hubs at most, other ones for another seed."""
     hub = (rows.groupBy("gram", F.pmod(F.xxhash64("id", F.lit(seed)), F.lit(HUBS)).alias("salt"))
-           .agg(F.min(F.struct(F.xxhash64(F.lit(seed), "id").alias("h"), "id", "n", "c")).alias("hub"))
-           .select("gram", F.col("hub.id").alias("i"), F.col("hub.n").alias("ni"), F.col("hub.c").alias("ci")))
-    right = rows.select("gram", F.col("id").alias("j"), F.col("n").alias("nj"), F.col("c").alias("cj"))
-    met = hub.join(right, "gram").filter((F.col("ci") != F.col("cj")) & _long_enough(
-        F.col("ni"), F.col("nj"), percent))
+           .agg(F.min(F.struct(F.xxhash64(F.lit(seed), "id").alias("h"), "id", "n", "c", "r", "t")).alias("hub"))
+           .select("gram", *[F.col(f"hub.{x}").alias(y) for x, y in (
+               ("id", "i"), ("n", "ni"), ("c", "ci"), ("r", "ri"), ("t", "ti"))]))
+    right = rows.select("gram", *[F.col(x).alias(y) for x, y in (
+        ("id", "j"), ("n", "nj"), ("c", "cj"), ("r", "rj"), ("t", "tj"))])
+    met = hub.join(right, "gram").filter(
+        (F.col("ci") != F.col("cj")) & _long_enough(F.col("ni"), F.col("nj"), percent)
+        & _can_reach("i", "j", percent))
     lower = F.col("i") < F.col("j")
-    return met.select(*[F.when(lower, F.col(x)).otherwise(F.col(y)).alias(c) for x, y, c in (
-        ("i", "j", "a"), ("j", "i", "b"), ("ni", "nj", "na"), ("nj", "ni", "nb"))]).distinct()
+    pairs = met.groupBy("i", "j", "ni", "nj").agg(F.count(F.lit(1)).alias("shared")).select(
+        "j", "shared", *[F.when(lower, F.col(x)).otherwise(F.col(y)).alias(c) for x, y, c in (
+            ("i", "j", "a"), ("j", "i", "b"), ("ni", "nj", "na"), ("nj", "ni", "nb"))])
+    if tried is not None:
+        pairs = pairs.join(tried.select("a", "b"), ["a", "b"], "left_anti")
+    best = F.max(F.struct("shared", F.xxhash64("a", "b", F.lit(seed)).alias("h"), "a", "b", "na", "nb"))
+    return pairs.groupBy("j").agg(best.alias("p")).select("p.a", "p.b", "p.na", "p.nb").distinct()
 
 
 def _ties(members: DataFrame, classes: DataFrame) -> DataFrame:
@@ -323,39 +366,42 @@ def near_components(docs: DataFrame, n: int = 3, percent: int = 90, id_col: str
     release(pool)
 
     near = texts.filter(maybe_in(wanted, "id")(F.col("doc_id")))   # few others' texts are dealt
-    sets = land(class_sets(near.join(wanted, near.doc_id == wanted.id, "left_semi"),
-                           n, percent, table), "sets")
-    shown = sets.select("id", "n", F.posexplode("prefix").alias("pos", "gram"))
+    sets = land(class_sets(near.join(wanted, near.doc_id == wanted.id, "left_semi"), n)
+                .filter("n > 0"), "sets")
+    placed = land(rare_first(sets), "placed")
+    ranges = land(hash_classes(placed), "ranges")
+    # rank r among the s shared n-grams, t of them from it on; the n - s others come first
+    shown = placed.filter(F.col("n") - F.col("s") + F.col("r") < prefix_n) \
+        .withColumn("t", F.col("s") - F.col("r"))
     twice = shown.groupBy("gram").agg(F.min("id").alias("i0"), F.max("id").alias("i1")) \
         .filter("i0 <> i1").select("gram")
-    held = land(shown.join(twice, "gram").groupBy("gram", "id", "n").agg(F.min("pos").alias("pos")), "held")
-    slim = sets.select("id", "ranges")
+    held = land(shown.join(twice, "gram").select("gram", "id", "key", "n", "r", "t").distinct(), "held")
+    release(placed)
 
     tried, links, joined = None, None, None
     for seed in range(HUB_ROUNDS):
         rows = held.withColumn("c", F.col("id")) if joined is None else \
             held.join(joined, "id", "left").withColumn("c", F.coalesce("component", "id"))
-        pairs = _hub_pairs(rows, seed, percent)
-        if tried is not None:
-            pairs = pairs.join(tried.select("a", "b"), ["a", "b"], "left_anti")
-        pairs = land(pairs, "pairs")
-        new = land(verified(_suffix_passed(pairs, slim, percent), sets, percent), "links")
+        pairs = land(_hub_pairs(rows, tried, seed, percent), "pairs")
+        new = land(verified(_suffix_passed(pairs, ranges, percent), sets, percent), "links")
         tried = pairs if tried is None else tried.unionByName(pairs)
         links = new if links is None else links.unionByName(new)
         joined = land(components(links), "joined")
 
-    placed = held.join(joined, "id", "left").withColumn("c", F.coalesce("component", "id"))
-    open_grams = placed.groupBy("gram").agg(F.min("c").alias("c0"), F.max("c").alias("c1")) \
+    whole = held.join(joined, "id", "left").withColumn("c", F.coalesce("component", "id"))
+    open_grams = whole.groupBy("gram").agg(F.min("c").alias("c0"), F.max("c").alias("c1")) \
         .filter("c0 <> c1").select("gram")
-    placed = land(placed.join(open_grams, "gram").select("gram", "id", "n", "pos", "c"), "open")
-    other = placed.select("gram", F.col("id").alias("b"), F.col("n").alias("nb"),
-                          F.col("pos").alias("pb"), F.col("c").alias("cb"))
-    met = (placed.select("gram", F.col("id").alias("a"), F.col("n").alias("na"),
-                         F.col("pos").alias("pa"), F.col("c").alias("ca"))
-           .join(other, "gram").filter((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb"))
-                                       & _long_enough(F.col("na"), F.col("nb"), percent)))
+    rows = land(whole.join(open_grams, "gram").select("gram", "id", "key", "n", "r", "t", "c"), "open")
+
+    def side(x: str) -> DataFrame:
+        return rows.select("gram", F.col("id").alias(x), F.col("key").alias(f"k{x}"),
+                           *[F.col(c).alias(f"{c}{x}") for c in ("n", "r", "t", "c")])
+
+    met = side("a").join(side("b"), "gram").filter(
+        (F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb"))
+        & _long_enough(F.col("na"), F.col("nb"), percent) & _can_reach("a", "b", percent))
     rest = _filtered(met, percent).join(tried.select("a", "b"), ["a", "b"], "left_anti")
-    more = land(verified(_suffix_passed(rest, slim, percent), sets, percent)
+    more = land(verified(_suffix_passed(rest, ranges, percent), sets, percent)
                 .unionByName(_ties(members, classes)), "links")
     found = land(components(links.union(more)) if not more.isEmpty() else joined, "joined")
 
