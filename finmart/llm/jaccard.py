@@ -386,7 +386,8 @@ def near_components(docs: DataFrame, n: int = 3, percent: int = 90, id_col: str
         new = land(verified(_suffix_passed(pairs, ranges, percent), sets, percent), "links")
         tried = pairs if tried is None else tried.unionByName(pairs)
         links = new if links is None else links.unionByName(new)
-        joined = land(components(links), "joined")
+        if joined is None or not new.isEmpty():
+            joined = land(components(links), "joined")
 
     whole = held.join(joined, "id", "left").withColumn("c", F.coalesce("component", "id"))
     open_grams = whole.groupBy("gram").agg(F.min("c").alias("c0"), F.max("c").alias("c1")) \
