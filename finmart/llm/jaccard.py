@@ -17,9 +17,9 @@ equal sets form a class, and only classes are joined, so copies are never paired
    another component, the one it shares most prefix n-grams with: at most a pair a holder and round,
    which joins most of any dense group. Then all holders of an n-gram whose components still
    differ are paired; pairs within a component cannot change it and are left out.
-4. Pairs pass the length and positional filters while they are joined, then the suffix filter
-   (upper bounds of the overlap), before the sets themselves are compared, once per pair and in whole
-   numbers.
+4. Pairs pass the length, positional and (hubs: right after) suffix filters, upper bounds of the
+   overlap, while they are joined, before the sets themselves are compared, once per pair and in
+   whole numbers.
 
 The result names components, so links inside a component need not all be listed; none between
 different components is lost.
@@ -242,11 +242,11 @@ def rare_first(sets: DataFrame) -> DataFrame:
 
 
 def hash_classes(placed: DataFrame) -> DataFrame:
-    """(id, ranges): the shared n-grams of each set counted by hash class."""
+    """(id, key, ranges): the shared n-grams of each set counted by hash class."""
     at = F.col("gram").bitwiseAND(F.lit(RANGES - 1))
     return placed.groupBy("id", "key", "n").agg(
         *[F.count_if(at == F.lit(k)).cast("int").alias(f"r{k}") for k in range(RANGES)]) \
-        .select("id", F.array(*[f"r{k}" for k in range(RANGES)]).alias("ranges"))
+        .select("id", "key", F.array(*[f"r{k}" for k in range(RANGES)]).alias("ranges"))
 
 
 def _overlap_needed(na: Column, nb: Column, percent: int) -> Column:
@@ -275,15 +275,19 @@ def _filtered(met: DataFrame, percent: int) -> DataFrame:
         .select("a", "b", "na", "nb").distinct()
 
 
+def _in_classes(percent: int) -> Column:
+    """The suffix filter on columns (na, ha, nb, hb): sets can share in each hash class at most the
+    smaller count. Whole sets are counted, because an n-gram of one prefix may lie in the suffix of
+    the other."""
+    most = reduce(lambda x, y: x + y, [F.least(F.col("ha")[i], F.col("hb")[i]) for i in range(RANGES)])
+    return most >= _overlap_needed(F.col("na"), F.col("nb"), percent)
+
+
 def _suffix_passed(pairs: DataFrame, ranges: DataFrame, percent: int) -> DataFrame:
-    """The suffix filter: sets can share in each hash class at most the smaller count. Whole sets are
-    counted, because an n-gram of one prefix may lie in the suffix of the other."""
-    left = ranges.select(F.col("id").alias("a"), F.col("ranges").alias("ra"))
-    right = ranges.select(F.col("id").alias("b"), F.col("ranges").alias("rb"))
-    in_ranges = reduce(lambda x, y: x + y, [F.least(F.col("ra")[i], F.col("rb")[i])
-                                            for i in range(RANGES)])
-    enough = in_ranges >= _overlap_needed(F.col("na"), F.col("nb"), percent)
-    return pairs.join(left, "a").join(right, "b").filter(enough).select("a", "b").distinct()
+    """The distinct pairs (a, b) that pass the suffix filter."""
+    left = ranges.select(F.col("id").alias("a"), F.col("ranges").alias("ha"))
+    right = ranges.select(F.col("id").alias("b"), F.col("ranges").alias("hb"))
+    return pairs.join(left, "a").join(right, "b").filter(_in_classes(percent)).select("a", "b").distinct()
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -392,17 +396,19 @@ def near_components(docs: DataFrame, n: int = 3, percent: int = 90, id_col: str
     whole = held.join(joined, "id", "left").withColumn("c", F.coalesce("component", "id"))
     open_grams = whole.groupBy("gram").agg(F.min("c").alias("c0"), F.max("c").alias("c1")) \
         .filter("c0 <> c1").select("gram")
-    rows = land(whole.join(open_grams, "gram").select("gram", "id", "key", "n", "r", "t", "c"), "open")
+    rows = land(whole.join(open_grams, "gram").join(ranges.withColumnRenamed("ranges", "h").distinct(), ["id", "key"])
+                .select("gram", "id", "key", "n", "r", "t", "c", "h"), "open")
 
     def side(x: str) -> DataFrame:
         return rows.select("gram", F.col("id").alias(x), F.col("key").alias(f"k{x}"),
-                           *[F.col(c).alias(f"{c}{x}") for c in ("n", "r", "t", "c")])
+                           *[F.col(c).alias(f"{c}{x}") for c in ("n", "r", "t", "c", "h")])
 
     met = side("a").join(side("b"), "gram").filter(
         (F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb"))
-        & _long_enough(F.col("na"), F.col("nb"), percent) & _can_reach("a", "b", percent))
+        & _long_enough(F.col("na"), F.col("nb"), percent) & _can_reach("a", "b", percent)
+        & _in_classes(percent))
     rest = _filtered(met, percent).join(tried.select("a", "b"), ["a", "b"], "left_anti")
-    more = land(verified(_suffix_passed(rest, ranges, percent), sets, percent)
+    more = land(verified(rest.select("a", "b").distinct(), sets, percent)
                 .unionByName(_ties(members, classes)), "links")
     found = land(components(links.union(more)) if not more.isEmpty() else joined, "joined")
 
