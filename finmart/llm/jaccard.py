@@ -16,7 +16,9 @@ equal sets form a class, and only classes are joined, so copies are never paired
 3. In a few rounds each shared n-gram names some hubs, and each holder is paired with one hub of
    another component, the one it shares most prefix n-grams with: at most a pair a holder and round,
    which joins most of any dense group. Then all holders of an n-gram whose components still
-   differ are paired; pairs within a component cannot change it and are left out.
+   differ are paired; pairs within a component cannot change it and are left out. Each holder
+   brings the ``BEFORE`` n-grams before this one, and a pair that shares one of these is not listed
+   again; at its first shared n-gram it always is.
 4. Pairs pass the length, positional and (hubs: right after) suffix filters, upper bounds of the
    overlap, while they are joined, before the sets themselves are compared, once per pair and in
    whole numbers.
@@ -45,6 +47,8 @@ _BLOCKS = 64
 POOL_MORE = 12
 #: Hubs that a shared n-gram names in a round, and rounds of them before all pairs are left.
 HUBS, HUB_ROUNDS = 8, 3
+#: N-grams before its own that a row of the last join on n-grams brings along.
+BEFORE = 16
 #: Classes of the suffix filter: shared n-grams of a set are counted by this many hash classes.
 RANGES = 16
 
@@ -266,13 +270,11 @@ def _can_reach(x: str, y: str, percent: int) -> Column:
 
 
 def _filtered(met: DataFrame, percent: int) -> DataFrame:
-    """Distinct pairs (a, b) of rows (a, ka, na, ra, ta and the same of b), one per shared prefix
-    n-gram, that pass the positional filter at their last one: shared so far plus what can follow."""
-    pairs = met.groupBy("a", "b", "ka", "kb", "na", "nb").agg(
-        F.count(F.lit(1)).alias("shared"), F.min("ta").alias("ta"), F.min("tb").alias("tb"))
-    most = F.col("shared") + F.least("ta", "tb") - F.lit(1)
-    return pairs.filter(most >= _overlap_needed(F.col("na"), F.col("nb"), percent)) \
-        .select("a", "b", "na", "nb").distinct()
+    """Distinct pairs (a, b) of rows (a, ka, na, ta and the same of b) that pass the positional filter
+    at their first shared n-gram, which is among the rows: nothing shared lies before it."""
+    pairs = met.groupBy("a", "b", "ka", "kb", "na", "nb").agg(F.max("ta").alias("ta"), F.max("tb").alias("tb"))
+    return pairs.filter(F.least("ta", "tb") >= _overlap_needed(F.col("na"), F.col("nb"), percent)) \
+        .select("a", "b").distinct()
 
 
 def _in_classes(percent: int) -> Column:
@@ -396,19 +398,21 @@ def near_components(docs: DataFrame, n: int = 3, percent: int = 90, id_col: str
     whole = held.join(joined, "id", "left").withColumn("c", F.coalesce("component", "id"))
     open_grams = whole.groupBy("gram").agg(F.min("c").alias("c0"), F.max("c").alias("c1")) \
         .filter("c0 <> c1").select("gram")
-    rows = land(whole.join(open_grams, "gram").join(ranges.withColumnRenamed("ranges", "h").distinct(), ["id", "key"])
-                .select("gram", "id", "key", "n", "r", "t", "c", "h"), "open")
+    own = Window.partitionBy("id", "key", "n").orderBy("r").rowsBetween(-BEFORE, -1)
+    rows = land(whole.join(open_grams, "gram").withColumn("e", F.collect_list("gram").over(own))
+                .join(ranges.withColumnRenamed("ranges", "h").distinct(), ["id", "key"])
+                .select("gram", "id", "key", "n", "r", "t", "c", "e", "h"), "open")
 
     def side(x: str) -> DataFrame:
         return rows.select("gram", F.col("id").alias(x), F.col("key").alias(f"k{x}"),
-                           *[F.col(c).alias(f"{c}{x}") for c in ("n", "r", "t", "c", "h")])
+                           *[F.col(c).alias(f"{c}{x}") for c in ("n", "r", "t", "c", "e", "h")])
 
     met = side("a").join(side("b"), "gram").filter(
         (F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb"))
         & _long_enough(F.col("na"), F.col("nb"), percent) & _can_reach("a", "b", percent)
-        & _in_classes(percent))
+        & ~F.arrays_overlap("ea", "eb") & _in_classes(percent))
     rest = _filtered(met, percent).join(tried.select("a", "b"), ["a", "b"], "left_anti")
-    more = land(verified(rest.select("a", "b").distinct(), sets, percent)
+    more = land(verified(rest, sets, percent)
                 .unionByName(_ties(members, classes)), "links")
     found = land(components(links.union(more)) if not more.isEmpty() else joined, "joined")
 

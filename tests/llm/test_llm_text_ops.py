@@ -280,6 +280,27 @@ def test_ngram_join_dense_groups(sp):
         assert got == _brute(rows, n, percent)
 
 
+def test_ngram_join_last_join_lists_first_shared_ngrams(sp, monkeypatch):
+    """One hub and no useful round: nearly all links come from the last join, whatever it brings along."""
+    import random
+    rnd = random.Random(11)
+    monkeypatch.setattr(jaccard, "HUB_ROUNDS", 1)
+    monkeypatch.setattr(jaccard, "HUBS", 1)
+    rows = []
+    for g in range(12):
+        base = [f"v{rnd.randrange(60)}" for _ in range(rnd.choice((20, 50, 90)))]
+        for k in range(12):
+            w = list(base)
+            for _ in range(rnd.randrange(6)):
+                w[rnd.randrange(len(w))] = f"v{rnd.randrange(60)}"
+            rows.append((g * 100 + k, " ".join(w)))
+    docs = sp.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    for before, n, percent in ((1, 1, 70), (16, 3, 80)):
+        monkeypatch.setattr(jaccard, "BEFORE", before)
+        got = {tuple(r) for r in jaccard.near_components(docs, n, percent).collect()}
+        assert got == _brute(rows, n, percent)
+
+
 def test_ngram_join_edges(edge, no_docs):
     rows = jaccard.near_components(edge).collect()
     by = {r.doc_id: r for r in rows}
