@@ -401,6 +401,32 @@ SELECT symbol, date, CASE WHEN abs(close - open) <= (high - low) * CAST(0.1 AS D
   {r('vm', R_MEAN, 'volume_ma_5')}, round(volume / NULLIF(vm, 0), {R_MEAN}) AS volume_ratio FROM b1"""
     lagged = ", ".join(f"round(lag({c}) {lag}, {PRICE_ROUND[c]}) AS {c}" for c in
                        ("pct_change", "daily_return", "volatility_5d", "volatility_20d"))
+    held = f"""{bars},
+sg AS (SELECT symbol, date, open, coalesce(round({_full('avg', 'close', 5)}, 6)
+    > round({_full('avg', 'close', 20)}, 6), false) AS held FROM bars),
+ps AS (SELECT symbol, date, held, coalesce(lag(held) {lag}, false) AS before, lead(date) {lag} AS next_date,
+    lead(open) {lag} AS next_open, lead(open, 2) {lag} / NULLIF(lead(open) {lag}, 0) - 1 AS gain FROM sg),
+nb AS (SELECT *, sum(CASE WHEN held AND NOT before THEN 1 ELSE 0 END) OVER ({W}
+    ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS trade FROM ps),
+tr AS (SELECT symbol, CAST(trade AS INTEGER) AS trade, count(*) FILTER (WHERE held) AS bars,
+    max(next_date) FILTER (WHERE held AND NOT before) AS entry_date,
+    max(next_open) FILTER (WHERE held AND NOT before) AS entry_price,
+    max(next_date) FILTER (WHERE before AND NOT held) AS exit_date,
+    max(next_open) FILTER (WHERE before AND NOT held) AS exit_price FROM nb WHERE held OR before GROUP BY 1, 2),
+td AS (SELECT *, exit_price / NULLIF(entry_price, 0) - 1 AS tret FROM tr WHERE entry_date IS NOT NULL)"""
+    q["signal_trades"] = f"""{held}
+SELECT symbol, trade, bars, entry_date, exit_date, {r('entry_price', R_MONEY)}, {r('exit_price', R_MONEY)},
+  {r('tret', R_ROLL, 'trade_return')} FROM td"""
+    q["signal_statistics"] = f"""{held},
+pt AS (SELECT symbol, count(tret) AS closed, count(*) FILTER (WHERE tret IS NULL) AS still,
+    avg(CASE WHEN tret > 0 THEN 1.0 WHEN tret <= 0 THEN 0.0 END) AS wins, avg(tret) AS mean,
+    sum(tret) FILTER (WHERE tret > 0) / NULLIF(-sum(tret) FILTER (WHERE tret < 0), 0) AS factor FROM td GROUP BY 1),
+pb AS (SELECT symbol, count(*) AS bars, count(*) FILTER (WHERE held) AS held_bars,
+    avg(h) * sqrt(252) / NULLIF(stddev_samp(h), 0) AS sharpe
+  FROM (SELECT symbol, held, CASE WHEN held THEN gain WHEN gain IS NOT NULL THEN 0 END AS h FROM ps) x GROUP BY 1)
+SELECT symbol, bars, held_bars, {r('sharpe', R_ROLL)}, coalesce(closed, 0) AS closed_trades,
+  coalesce(still, 0) AS open_trades, {r('wins', R_ROLL, 'win_rate')}, {r('mean', R_ROLL, 'mean_return')},
+  {r('factor', R_ROLL, 'profit_factor')} FROM pb LEFT JOIN pt USING (symbol)"""
     q["guarded_features"] = with_prices(f"SELECT symbol, date, {lagged} FROM prices")
     q["walk_forward"] = with_prices(f""", {_training()},
 wb AS (SELECT symbol, pct_change AS x, target AS y, least(floor((row_number() {lag} - 1) /

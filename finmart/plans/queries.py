@@ -14,7 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators import (boosting, clean, eda, features, forecast, indicators, marts, ml, quality, star)
+from ..operators import (boosting, clean, eda, features, forecast, indicators, marts, ml, quality, star,
+                         trades)
 from ..schemas import FIN_TYPE_KEY, STATEMENT_ORDER
 from ..session import materialize, scratch_path
 from ..sources import files
@@ -660,6 +661,23 @@ def q_walk_forward(spark, d):
     return rnd(indicators.walk_forward(frame), {"mae": R_ROLL, "rmse": R_ROLL})
 
 
+def _crossover_positions(spark, d):
+    bars = raw_prices(spark, d, land=False)
+    return trades.positions(bars.withColumn("up", trades.crossover()), F.col("up"))
+
+
+def q_signal_trades(spark, d):
+    """Every trade of the moving-average crossover, entered and left at the next open."""
+    return rnd(trades.trades(_crossover_positions(spark, d)),
+               {"entry_price": R_MONEY, "exit_price": R_MONEY, "trade_return": R_ROLL})
+
+
+def q_signal_statistics(spark, d):
+    """Win rate, profit factor and Sharpe ratio of these trades by symbol."""
+    return rnd(trades.trade_statistics(materialize(_crossover_positions(spark, d), "positions")),
+               {c: R_ROLL for c in ("win_rate", "mean_return", "profit_factor", "sharpe")})
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     name[2:]: fn for name, fn in sorted(globals().items())
     if name.startswith("q_") and callable(fn)
