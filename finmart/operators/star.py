@@ -17,7 +17,7 @@ from ..functions.dates import date_key, is_weekend, iso_weekday, month_name, qua
 from ..schemas import (COMPANY_EXCHANGE, COMPANY_INDUSTRY, FIN_TYPE_KEY, GOLD, METRIC_UNIT,
                        STATEMENT_ORDER, STATEMENT_TYPES, STOCK_METRIC_KEY, STOCK_METRICS)
 from .clean import metric_columns
-from .keys import dense_index
+from .keys import dense_index, index_cells
 
 
 def _conform(df: DataFrame, table: str) -> DataFrame:
@@ -143,11 +143,14 @@ def fact_finance(statements: dict[str, DataFrame], dim_company_df: DataFrame,
                  with_ids: bool = True) -> DataFrame:
     """Unpivot each statement, join company / metric (by name only) / date, union, key.
 
-    Key order: statement, source column position, date descending, symbol.
+    Key order: statement, source column position, date descending, symbol. With ids the joins and
+    the one sort run on the wide rows (``index_cells``); only the result is long.
     """
     companies = dim_company_df.select("company_key", F.col("ticker").alias("symbol"))
-    metrics = F.broadcast(dim_fin_metric_df.select("metric_key", "metric_name"))
     dates = F.broadcast(dim_date_df.select("date_key", "date"))
+    if with_ids:
+        return _conform(_keyed_statements(statements, companies, dates, dim_fin_metric_df), "fact_finance")
+    metrics = F.broadcast(dim_fin_metric_df.select("metric_key", "metric_name"))
     parts = None
     for name in STATEMENT_ORDER:
         if name not in statements:
@@ -158,26 +161,63 @@ def fact_finance(statements: dict[str, DataFrame], dim_company_df: DataFrame,
                 .join(dates, "date")
                 .withColumn("fin_type_key", F.lit(FIN_TYPE_KEY[name])))
         parts = long if parts is None else parts.unionByName(long)
-    if not with_ids:
-        return parts
-    keyed = dense_index(parts, ["fin_type_key", "col_ord", F.col("date").desc(), "symbol"],
-                        "fact_finance_id")
-    return _conform(keyed, "fact_finance")
+    return parts
+
+
+def _keyed_statements(statements: dict[str, DataFrame], companies: DataFrame, dates: DataFrame,
+                      dim_fin_metric_df: DataFrame) -> DataFrame:
+    """(fact_finance_id, date_key, company_key, fin_type_key, metric_key, value) of all statements.
+
+    Statements share the cell columns by position. The metric dimension has one row a column
+    of a statement, so its keys are literals of the plan."""
+    keys: dict[str, list[int]] = {}
+    for r in dim_fin_metric_df.select("metric_name", "metric_key").collect():
+        keys.setdefault(r.metric_name, []).append(r.metric_key)
+    names = {FIN_TYPE_KEY[n]: [c for c in metric_columns(statements[n]) if c in keys]
+             for n in STATEMENT_ORDER if n in statements}
+    width = max([1, *[len(cols) for cols in names.values()]])
+    cells = [f"v{i}" for i in range(width)]
+    wide = None
+    for name in STATEMENT_ORDER:
+        if name not in statements:
+            continue
+        kind = FIN_TYPE_KEY[name]
+        values = [F.col(f"`{c}`").cast("double") for c in names[kind]]
+        values += [F.lit(None).cast("double")] * (width - len(values))
+        rows = (statements[name].select("symbol", "date", *[v.alias(c) for v, c in zip(values, cells)])
+                .join(companies, "symbol").join(dates, "date").withColumn("fin_type_key", F.lit(kind)))
+        wide = rows if wide is None else wide.unionByName(rows)
+    copies = {kind: [len(keys[c]) for c in cols] + [0] * (width - len(cols)) for kind, cols in names.items()}
+    long = index_cells(wide, "fin_type_key", [F.col("date").desc(), "symbol"], cells, copies,
+                       ["date_key", "company_key"])
+    metric = F.lit(None)
+    for kind, cols in names.items():
+        if cols:
+            of_cell = F.array(*[F.array(*[F.lit(k) for k in keys[c]]) for c in cols])
+            metric = F.when(F.col("fin_type_key") == kind, of_cell[F.col("cell")][F.col("copy")]).otherwise(metric)
+    return long.select(F.col("id").alias("fact_finance_id"), "date_key", "company_key", "fin_type_key",
+                       metric.alias("metric_key"), "value")
 
 
 def fact_stock_prices(prices: DataFrame, dim_company_df: DataFrame, dim_date_df: DataFrame,
                       with_ids: bool = True) -> DataFrame:
     """Unpivot the price metrics, map names to keys, join company and date, key.
 
-    Key order: metric key, date, symbol.
+    Key order: metric key, date, symbol. With ids the joins and the one sort run on the wide rows
+    (``index_cells``); only the result is long.
     """
     companies = dim_company_df.select("company_key", F.col("ticker").alias("symbol"))
     dates = F.broadcast(dim_date_df.select("date_key", "date"))
-    long = unpivot_prices(prices).join(companies, "symbol").join(dates, "date")
     if not with_ids:
-        return long
-    keyed = dense_index(long, ["stock_metric_key", "date", "symbol"], "fact_price_id")
-    return _conform(keyed, "fact_stock_prices")
+        return unpivot_prices(prices).join(companies, "symbol").join(dates, "date")
+    present = [m for m in STOCK_METRICS if m in prices.columns]
+    wide = (prices.select("symbol", "date", *[F.col(m).cast("double").alias(m) for m in present])
+            .join(companies, "symbol").join(dates, "date").withColumn("_all", F.lit(1)))
+    long = index_cells(wide, "_all", ["date", "symbol"], present, {1: [1] * len(present)},
+                       ["date_key", "company_key"])
+    key = F.array(*[F.lit(STOCK_METRIC_KEY[m]) for m in present])
+    return _conform(long.select(F.col("id").alias("fact_price_id"), "date_key", "company_key",
+                                key[F.col("cell")].alias("stock_metric_key"), "value"), "fact_stock_prices")
 
 
 class LazyTables(dict):
@@ -222,9 +262,10 @@ def build_star(spark: SparkSession, prices: DataFrame | None,
     Without prices (a source skipped by a tolerant load) the date dimension comes from
     the statements alone and the price fact is left out, so only dependants are skipped.
 
-    With ``land`` each data-derived table is written once when first built, so the
-    facts reuse the dimensions and marts read Gold instead of re-deriving it (facts by year,
-    ordered by company). An empty date or company dimension raises: no key would be valid.
+    With ``land`` each data-derived dimension is written once when first built. A fact is landed
+    as its keyed wide rows (``index_cells``), with and without ``land``: reading it unpivots them, so
+    marts read Gold instead of re-deriving it. An empty date or company dimension raises: no key
+    would be valid.
     """
     from ..session import materialize
 
@@ -232,11 +273,11 @@ def build_star(spark: SparkSession, prices: DataFrame | None,
     # prices may be given as a zero-argument builder, run only if a table needs it
     get_prices = prices if callable(prices) else (lambda: prices)
     t: LazyTables
-    landed = {"dim_date", "dim_company", "fact_finance", "fact_stock_prices"}
+    landed = {"dim_date", "dim_company"}
 
     def maybe_land(name, build):
         def landed_build():
-            return materialize(build(), name, by_year=name.startswith("fact"))
+            return materialize(build(), name)
         return landed_build if land and name in landed else build
 
     builders = {

@@ -81,7 +81,7 @@ def run_etl(spark: SparkSession, raw: dict[str, DataFrame], silver_path: str | N
         gold[name]
     if gold_path:
         for name, df in gold.items():
-            files.write_gold(df, name, gold_path)
+            files.write_gold(df, name, gold_path, dealt=True)
         gold = files.read_gold(spark, gold_path)
     if warehouse_db:
         from ..session import scratch_path
