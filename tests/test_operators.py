@@ -558,6 +558,17 @@ def test_walk_forward_expands(spark):
     assert all(abs(r.mae) < 1e-9 for r in out)
 
 
+def test_walk_forward_runs_the_windows_of_a_series_once(spark):
+    rows = [(s, d("2024-01-01") + dt.timedelta(days=i), float(i * i % 7), 3.0 * (i * i % 7) - 1)
+            for s in ("A", "B", None) for i in range(23)]
+    df = spark.createDataFrame(rows, "symbol string, date date, pct_change double, target double")
+    out = indicators.walk_forward(df)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and plan.count("row_number()") == 1
+    got = sorted((r.symbol, r.fold, r.train_rows, r.test_rows, round(r.mae, 9)) for r in out.collect())
+    assert got == [(s, f, 4 * f, 4 if f < 4 else 7, 0.0) for s in ("A", "B") for f in (1, 2, 3, 4)]
+
+
 def test_divergent_forecasts_are_null_with_a_status(spark):
     rows = [("A", 1, None, 5.0), ("A", 2, None, float("nan")), ("A", 3, None, 7.0), ("B", 1, None, 1e13)]
     df = spark.createDataFrame(rows, "symbol string, step int, date date, predicted_price double")
