@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from .keys import cumulative_start
 
+#: Distinct values that a task joins with their group's positions, where groups are many.
+TASK_ROWS = 200_000
+
 
 def exact_quantiles_long(long: DataFrame, group_col: str, value_col: str,
                          probs: list[float], many_groups: bool = False) -> DataFrame:
@@ -21,7 +24,8 @@ def exact_quantiles_long(long: DataFrame, group_col: str, value_col: str,
        the group key (one small row per group) and the covering values weighted.
 
     With ``many_groups`` (symbols by month, say; ``group_col`` may be a struct) the positions
-    meet the values in a shuffle join instead of a broadcast one.
+    meet the values in a shuffle join instead of a broadcast one, over as many partitions as there
+    are ``TASK_ROWS`` values, so that a task's memory does not grow with the table.
 
     Returns ``(group_col, p, q)``; NULL values are ignored. For p = 0.5 this is the
     mean of the middle two on even counts, as ``median`` defines it.
@@ -29,6 +33,9 @@ def exact_quantiles_long(long: DataFrame, group_col: str, value_col: str,
     counted = (long.select(group_col, value_col).filter(F.col(value_col).isNotNull())
                .groupBy(group_col, value_col).agg(F.count(F.lit(1)).alias("_cnt")))
     runs = cumulative_start(counted, [group_col, value_col], "_cnt", "_start")
+    if many_groups:   # one exchange: the totals, the join and the sums all use it
+        cores = long.sparkSession.sparkContext.defaultParallelism
+        runs = runs.repartition(max(cores, -(-runs.count() // TASK_ROWS)), group_col)
     totals = runs.groupBy(group_col).agg(F.min("_start").alias("_first"),
                                          F.sum("_cnt").alias("_n"))
     pos = F.col("p") * (F.col("_n") - 1)

@@ -569,6 +569,18 @@ def test_walk_forward_runs_the_windows_of_a_series_once(spark):
     assert got == [(s, f, 4 * f, 4 if f < 4 else 7, 0.0) for s in ("A", "B") for f in (1, 2, 3, 4)]
 
 
+def test_quantiles_of_many_groups_use_more_tasks_for_more_values(spark, monkeypatch):
+    from finmart.operators import stats
+
+    monkeypatch.setattr(stats, "TASK_ROWS", 50)
+    df = spark.range(1000).select((F.col("id") % 90).alias("g"), (F.col("id") * 0.5).alias("value"))
+    out = stats.exact_quantiles_long(df, "g", "value", [0.25, 0.5], many_groups=True)
+    assert out.rdd.getNumPartitions() == 20
+    want = {(r.g, p): q for r in df.groupBy("g").agg(F.percentile("value", F.array(F.lit(0.25), F.lit(0.5)))
+                                                     .alias("q")).collect() for p, q in zip((0.25, 0.5), r.q)}
+    assert {(r.g, r.p): r.q for r in out.collect()} == pytest.approx(want)
+
+
 def test_divergent_forecasts_are_null_with_a_status(spark):
     rows = [("A", 1, None, 5.0), ("A", 2, None, float("nan")), ("A", 3, None, 7.0), ("B", 1, None, 1e13)]
     df = spark.createDataFrame(rows, "symbol string, step int, date date, predicted_price double")
