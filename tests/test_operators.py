@@ -581,6 +581,17 @@ def test_quantiles_of_many_groups_use_more_tasks_for_more_values(spark, monkeypa
     assert {(r.g, r.p): r.q for r in out.collect()} == pytest.approx(want)
 
 
+def test_compare_models_scores_each_model_once(spark):
+    from finmart.operators import ml
+
+    rows = [("A", i, "train" if i < 16 else "test", 0.01 * i, *[float(i * k % 5) for k in range(9)]) for i in range(20)]
+    frame = spark.createDataFrame(rows, ["symbol", "n", "split", "target", *ml.FEATURES])
+    ranked, _ = ml.compare_models(frame, [ml.candidates()[0]])
+    assert "UDF" not in ranked._jdf.queryExecution().optimizedPlan().toString()
+    assert [r.rank for r in ranked.collect()] == [1]
+    assert dict(ml.candidates())["Random Forest"].getMaxMemoryInMB() <= 16   # node sums that a cache holds
+
+
 def test_divergent_forecasts_are_null_with_a_status(spark):
     rows = [("A", 1, None, 5.0), ("A", 2, None, float("nan")), ("A", 3, None, 7.0), ("B", 1, None, 1e13)]
     df = spark.createDataFrame(rows, "symbol string, step int, date date, predicted_price double")
