@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import base64
 from collections.abc import Iterator
-from itertools import islice
+from itertools import filterfalse, islice
 
 import numpy as np
 import pandas as pd
@@ -88,21 +88,19 @@ class ChunkCache(dict):
 
     def _learn(self, chunks: set[str]) -> None:
         """Encode new chunks. A word before one stop or comma shares the entry of the bare word."""
-        bare, stopped, other = [], [], []
-        for c in chunks:
-            if c.isalpha():
-                bare.append(c)
-            elif not c or c[0].isspace() or c[-1].isspace():
+        bare, stopped, other = list(filter(str.isalpha, chunks)), [], []
+        for c in chunks.difference(bare):
+            if not c or c[0].isspace() or c[-1].isspace():
                 self[c] = None
             elif c[-1] in ".," and c[:-1].isalpha():
-                stopped.append(c)
+                stopped.append((c, c[:-1]))
             else:
                 other.append((c, self.find(" " + c)))
-        bare += {c[:-1] for c in stopped}.difference(self).difference(bare)
+        bare += {w for _, w in stopped if w not in self}.difference(bare)
         self.update(zip(bare, self.encode_new([" " + w for w in bare])))
         self._learn_pieces({".", ",", *(p for _, ps in other for p in ps)})
         at = self.pieces.__getitem__
-        self.update((c, self[c[:-1]] + at(c[-1])) for c in stopped)
+        self.update((c, self[w] + at(c[-1])) for c, w in stopped)
         self.update((c, b"".join(map(at, ps))) for c, ps in other)
 
     def _learn_pieces(self, wanted: set[str]) -> None:
@@ -121,10 +119,10 @@ class ChunkCache(dict):
     def encode(self, texts: list[str | None]) -> list[bytes]:
         self._shrink()
         cut = [t.split(" ") if t else [] for t in texts]
-        new: set[str] = set()
+        new: set[str] = set()   # one look-up a chunk; ``difference`` would go through all entries
         for chunks in cut:
-            new.update(chunks)
-        self._learn(new.difference(self))
+            new.update(filterfalse(self.__contains__, chunks))
+        self._learn(new)
         out, at = [], self.__getitem__
         for t, chunks in zip(texts, cut):
             try:

@@ -13,6 +13,7 @@ A null text is an empty one: its piece is the closing id alone. Repeated ids giv
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import compress
 
 import numpy as np
 import pyarrow as pa
@@ -27,6 +28,8 @@ CLOSING_ID = 0
 OPEN_BINS = 65_536
 #: Pieces packed by one task (a sizing target: any number works).
 TASK_PIECES = 60_000
+#: New words that the library encodes as one string: few calls, and short strings cost least a word.
+WORDS_A_CALL = 64
 
 
 class _Tokenizer:
@@ -60,23 +63,30 @@ class _Tokenizer:
         return kept_in_worker(("packing", path, pattern, entries), lambda: cls(path, pattern, entries))
 
     def _new(self, pre_tokens: list[str]) -> list[bytes]:
-        """Words of letters are encoded many at a time, each followed by a line end, whose id
-        then separates them; all else is encoded by itself."""
-        out: dict[str, bytes] = {}
-        words = [p for p in pre_tokens if p[:1] == " " and p[1:].isalpha()]
-        groups = [words[i:i + 512] for i in range(0, len(words), 512)]
-        done = self.model.encode_batch_fast(["".join(w + "\n" for w in g) for g in groups],
-                                            add_special_tokens=False)
-        for g, e in zip(groups, done):
+        """Words of letters, after a space or not, are encoded many at a time, each followed by a
+        line end, whose id then separates them; all else is encoded by itself."""
+        words = [(p[1:] if p[:1] == " " else p).isalpha() for p in pre_tokens]
+        together = iter(self._words(list(compress(pre_tokens, words))))
+        alone = iter(self._singly([p for p, word in zip(pre_tokens, words) if not word]))
+        return [next(together if word else alone) for word in words]
+
+    def _words(self, words: list[str]) -> list[bytes]:
+        groups = [words[i:i + WORDS_A_CALL] for i in range(0, len(words), WORDS_A_CALL)]
+        out: list[bytes] = []
+        for g, e in zip(groups, self.model.encode_batch_fast(["\n".join([*g, ""]) for g in groups],
+                                                             add_special_tokens=False)):
             ids = np.asarray(e.ids, dtype="<u4")
             ends = np.flatnonzero(ids == self.line[0])
             if len(self.line) == 1 and len(ends) == len(g):
-                raw, begins = ids.tobytes(), [0, *(ends[:-1] + 1).tolist()]
-                out.update((w, raw[4 * i:4 * j]) for w, i, j in zip(g, begins, ends.tolist()))
-        rest = [p for p in pre_tokens if p not in out]
-        done = self.model.encode_batch_fast(rest, add_special_tokens=False)
-        out.update((p, np.asarray(e.ids, dtype="<u4").tobytes()) for p, e in zip(rest, done))
-        return [out[p] for p in pre_tokens]
+                raw, ends = ids.tobytes(), (4 * ends).tolist()
+                out += [raw[i:j] for i, j in zip([0, *[4 + j for j in ends]], ends)]
+            else:
+                out += self._singly(g)
+        return out
+
+    def _singly(self, pre_tokens: list[str]) -> list[bytes]:
+        done = self.model.encode_batch_fast(pre_tokens, add_special_tokens=False)
+        return [np.asarray(e.ids, dtype="<u4").tobytes() for e in done]
 
 
 def cut(n: int, size: int) -> list[tuple[int, int]]:

@@ -111,6 +111,30 @@ def test_packing_uses_the_librarys_ids_for_added_tokens(text):
     assert np.frombuffer(packed, "<u4").tolist() == Tokenizer.from_file(path).encode(text, add_special_tokens=False).ids
 
 
+def test_chunk_cache_never_goes_through_its_entries():
+    """What is known is looked up; an entry costs nothing when a later text brings new words."""
+    class Cache(bpe.ChunkCache):
+        def __iter__(self):
+            raise AssertionError("went through all entries")
+
+    cache = Cache(queries.pattern(), lambda ps: [f"<{p}>".encode() for p in ps])
+    assert cache.encode(["one two, three"]) == [b"<one>< two><,>< three>"]
+    assert cache.encode(["a two. four, x9", "two"]) == [b"<a>< two><.>< four><,>< x><9>", b"<two>"]
+
+
+def test_packing_encodes_words_together_as_alone(monkeypatch):
+    import numpy as np
+    from tokenizers import Tokenizer
+    path = queries.tokenizer_file("byte_bpe_50k.json")
+    words = [" the", "The", " \u00e9t\u00e9", "\u6f22\u5b57", " x", "1", " 12", "!!", "\n", " don", "'t", "\u01c5"] * 3
+    model = Tokenizer.from_file(path)
+    alone = [model.encode(w, add_special_tokens=False).ids for w in words]
+    for size in (1, 4, 64):
+        monkeypatch.setattr(packing, "WORDS_A_CALL", size)
+        got = packing._Tokenizer(path, queries.pattern(), 10)._new(words)
+        assert [np.frombuffer(x, "<u4").tolist() for x in got] == alone
+
+
 def test_packing_many_tasks_share_their_ends(sp):
     items = sp.range(5000).selectExpr("id", "1 + pmod(xxhash64(id), 100) as length")
     out = packing.pack(items, size=100, open_bins=16, task_pieces=300).collect()
