@@ -325,6 +325,33 @@ def test_ngram_join_last_join_lists_first_shared_ngrams(sp, monkeypatch):
         assert got == _brute(rows, n, percent)
 
 
+def test_ngram_join_pools_travel_packed_and_count_what_others_show(sp, monkeypatch):
+    """A row a task and bucket, not one an n-gram; copies of a class show nothing to each other."""
+    import random
+
+    import numpy as np
+    rnd = random.Random(3)
+    rows = [(k, " ".join(f"w{rnd.randrange(300)}" for _ in range(150))) for k in range(40)]
+    rows += [(100 + k, rows[k][1].upper()) for k in range(5)] + [(200, ""), (201, None), (202, "alone")]
+    texts = jaccard._text_rows(sp.createDataFrame(rows, "doc_id long, text string").repartition(3), "doc_id", "text")
+    table = np.zeros(jaccard.COUNTERS, np.uint32)
+    sets = {d: jaccard.ngrams(t, 2) for d, t in rows}
+    holders = {}
+    for s in filter(len, sets.values()):
+        for g in jaccard.ordered(s, table, jaccard.frequent_bar(table))[:jaccard.pool_length(len(s), 80)].tolist():
+            holders.setdefault(g, []).append(jaccard._key(s))
+    want = {}
+    for keys in holders.values():
+        for k in keys if len(set(keys)) > 1 else ():
+            want[k] = want.get(k, 0) + 1
+    for flush, buckets in ((1 << 21, 4), (50, 7)):
+        monkeypatch.setattr(jaccard, "POOL_FLUSH", flush)
+        pool = jaccard.pools(texts, 2, 80, table, buckets)
+        got = {r.key: r.rows for r in jaccard.shown_by_others(pool, buckets).collect()}
+        assert got == want and len(want) >= 30
+        assert flush < 100 or pool.count() <= 3 * buckets
+
+
 def test_ngram_join_edges(edge, no_docs):
     rows = jaccard.near_components(edge).collect()
     by = {r.doc_id: r for r in rows}
