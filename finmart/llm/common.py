@@ -13,10 +13,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import drop_folders, materialize
+from ..session import materialize, release
 
 
-_CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 #: Bytes of an Arrow batch on the way to Python, whatever the number of rows: texts vary in length.
 ARROW_BYTES = "16m"
 
@@ -42,24 +41,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def land(df: DataFrame, name: str) -> DataFrame:
     """Write a stage into the shared checkpoint folder and read it back: lineage is cut, the
     stage runs once, and a lost executor costs a re-read of files instead of a re-run."""
-    conf, before = df.sparkSession.conf, df.sparkSession.conf.get(_CLEAN_UP)
-    conf.set(_CLEAN_UP, "true")   # the plan is not run again: its shuffle files may go at once
-    try:
-        out = materialize(df, f"llm-{name}")
-    finally:
-        conf.set(_CLEAN_UP, before)
+    out = materialize(df, f"llm-{name}")
     gc.collect()   # what else only dead plans refer to: Spark's cleaner acts on the JVM's collection
     df.sparkSession._jvm.System.gc()
     return out
 
 
-def release(*landed: DataFrame) -> None:
-    """Delete the folders of landed stages that nothing will read again."""
-    for df in landed:
-        files = df.inputFiles()
-        drop_folders(df.sparkSession, [files[0].rpartition("/")[0]] if files else [])
-
-
 _kept: dict = {}
 
 

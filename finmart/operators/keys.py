@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import ensure_checkpoint_dir, materialize
+from ..session import ensure_checkpoint_dir, materialize, materialize_slices
 
 
 def dense_index(df: DataFrame, order: list[Column | str], name: str, start: int = 1,
@@ -102,8 +102,27 @@ def _missing_before(block: str, columns: list[str]):
     return run
 
 
+#: Tasks of a slice at most: keeps the task numbers of slices apart.
+_SLICE_TASKS = 1 << 20
+
+
+def date_slices(df: DataFrame, passes: int, date: str = "date") -> list[Column]:
+    """Conditions on ``date``, in order, that cut the rows into at most ``passes`` stretches of about
+    the same size. The table of dates is bounded by the calendar."""
+    days = df.groupBy(date).agg(F.count(F.lit(1)).alias("n")).na.drop().orderBy(date).collect()
+    total, before, starts = sum(r.n for r in days), 0, []
+    for r in days:
+        if before * passes >= total * (len(starts) + 1):
+            starts.append(r[0])
+        before += r.n
+    edges = [None, *starts, None]
+    return [(F.lit(True) if a is None else F.col(date) >= F.lit(a))
+            & (F.lit(True) if b is None else F.col(date) < F.lit(b)) for a, b in zip(edges, edges[1:])]
+
+
 def index_cells(df: DataFrame, block: str, order: list[Column | str], columns: list[str],
-                copies: dict[int, list[int]], keep: list[str], start: int = 1) -> DataFrame:
+                copies: dict[int, list[int]], keep: list[str], start: int = 1,
+                slices: list[Column] | None = None) -> DataFrame:
     """Long rows (block, *keep, cell, copy, value, id) of a wide table's cells that are not NULL.
 
     ``id`` is the position of a cell in the order (block, column, ``order``), which the wide rows alone
@@ -111,15 +130,25 @@ def index_cells(df: DataFrame, block: str, order: list[Column | str], columns: l
     the rows before it that lack the column, behind the cells of earlier columns and tasks. So the
     sort and what is landed grow with the rows, not with rows x columns. ``copies`` says, by block,
     how many rows a cell of each column becomes. The table of offsets has one row a task and block.
+    ``slices`` are conditions that cut the order (of a single block) into stretches, first to last: each is
+    sorted and landed by itself, so only its rows are shuffled at a time.
     """
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     by = [F.col(block), *[F.col(c) if isinstance(c, str) else c for c in order]]
-    sorted_rows = (df.repartitionByRange(*by).sortWithinPartitions(*by)
-                   .select(F.spark_partition_id().alias("_part"), block, *keep, *columns))
-    schema = T.StructType([*sorted_rows.schema.fields, T.StructField("_at", T.LongType()),
-                           *[T.StructField(f"_m{i}", T.LongType()) for i in range(len(columns))]])
-    tagged = materialize(sorted_rows.mapInArrow(_missing_before(block, columns), schema), "keys")
+
+    def placed(rows: DataFrame, at: int = 0) -> DataFrame:
+        part = (F.spark_partition_id() + at * _SLICE_TASKS).alias("_part")
+        sorted_rows = (rows.repartitionByRange(*by).sortWithinPartitions(*by)
+                       .select(part, block, *keep, *columns))
+        schema = T.StructType([*sorted_rows.schema.fields, T.StructField("_at", T.LongType()),
+                               *[T.StructField(f"_m{i}", T.LongType()) for i in range(len(columns))]])
+        return sorted_rows.mapInArrow(_missing_before(block, columns), schema)
+
+    if slices and len(slices) > 1:
+        tagged = materialize_slices([placed(df.filter(only), i) for i, only in enumerate(slices)], "keys")
+    else:
+        tagged = materialize(placed(df), "keys")
 
     def each(value):   # one entry a column, by block
         out = F.lit(None)

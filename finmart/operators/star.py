@@ -17,7 +17,7 @@ from ..functions.dates import date_key, is_weekend, iso_weekday, month_name, qua
 from ..schemas import (COMPANY_EXCHANGE, COMPANY_INDUSTRY, FIN_TYPE_KEY, GOLD, METRIC_UNIT,
                        STATEMENT_ORDER, STATEMENT_TYPES, STOCK_METRIC_KEY, STOCK_METRICS)
 from .clean import metric_columns
-from .keys import dense_index, index_cells
+from .keys import date_slices, dense_index, index_cells
 
 
 def _conform(df: DataFrame, table: str) -> DataFrame:
@@ -200,11 +200,11 @@ def _keyed_statements(statements: dict[str, DataFrame], companies: DataFrame, da
 
 
 def fact_stock_prices(prices: DataFrame, dim_company_df: DataFrame, dim_date_df: DataFrame,
-                      with_ids: bool = True) -> DataFrame:
+                      with_ids: bool = True, passes: int = 1) -> DataFrame:
     """Unpivot the price metrics, map names to keys, join company and date, key.
 
     Key order: metric key, date, symbol. With ids the joins and the one sort run on the wide rows
-    (``index_cells``); only the result is long.
+    (``index_cells``), in ``passes`` stretches of dates; only the result is long.
     """
     companies = dim_company_df.select("company_key", F.col("ticker").alias("symbol"))
     dates = F.broadcast(dim_date_df.select("date_key", "date"))
@@ -214,7 +214,8 @@ def fact_stock_prices(prices: DataFrame, dim_company_df: DataFrame, dim_date_df:
     wide = (prices.select("symbol", "date", *[F.col(m).cast("double").alias(m) for m in present])
             .join(companies, "symbol").join(dates, "date").withColumn("_all", F.lit(1)))
     long = index_cells(wide, "_all", ["date", "symbol"], present, {1: [1] * len(present)},
-                       ["date_key", "company_key"])
+                       ["date_key", "company_key"],
+                       slices=date_slices(prices, passes) if passes > 1 else None)
     key = F.array(*[F.lit(STOCK_METRIC_KEY[m]) for m in present])
     return _conform(long.select(F.col("id").alias("fact_price_id"), "date_key", "company_key",
                                 key[F.col("cell")].alias("stock_metric_key"), "value"), "fact_stock_prices")
@@ -256,7 +257,8 @@ class LazyTables(dict):
 
 
 def build_star(spark: SparkSession, prices: DataFrame | None,
-               statements: dict[str, DataFrame], land: bool = False) -> dict[str, DataFrame]:
+               statements: dict[str, DataFrame], land: bool = False, passes: int = 1,
+               release_prices: bool = False) -> dict[str, DataFrame]:
     """All five dimensions and both facts from Silver prices and statements (lazily).
 
     Without prices (a source skipped by a tolerant load) the date dimension comes from
@@ -266,8 +268,11 @@ def build_star(spark: SparkSession, prices: DataFrame | None,
     as its keyed wide rows (``index_cells``), with and without ``land``: reading it unpivots them, so
     marts read Gold instead of re-deriving it. An empty date or company dimension raises: no key
     would be valid.
+
+    The price fact is keyed in ``passes``. With ``release_prices`` (and ``land``) the prices are a landed
+    stage that nobody else reads: the price fact is their last reader and deletes them.
     """
-    from ..session import materialize
+    from ..session import materialize, release
 
     stmts = [statements[n] for n in STATEMENT_ORDER if n in statements]
     # prices may be given as a zero-argument builder, run only if a table needs it
@@ -290,8 +295,13 @@ def build_star(spark: SparkSession, prices: DataFrame | None,
         "fact_finance": lambda: fact_finance(statements, t["dim_company"],
                                              t["dim_fin_metric"], t["dim_date"]),
     }
+    def price_fact():
+        fact = fact_stock_prices(get_prices(), t["dim_company"], t["dim_date"], passes=passes)
+        if land and release_prices:   # dim_date is landed by now
+            release(get_prices())
+        return fact
+
     if prices is not None:
-        builders["fact_stock_prices"] = lambda: fact_stock_prices(get_prices(), t["dim_company"],
-                                                                  t["dim_date"])
+        builders["fact_stock_prices"] = price_fact
     t = LazyTables({k: maybe_land(k, b) for k, b in builders.items()})
     return t

@@ -10,14 +10,15 @@ from ..session import materialize
 
 
 def silver_prices(raw_prices: DataFrame, default_symbol: str = DEFAULT_SYMBOL,
-                  land: bool = False, series_rows: int | None = None) -> DataFrame:
+                  land: bool = False, series_rows: int | None = None, passes: int = 1) -> DataFrame:
     """Light clean, date coercion, per-symbol return/volatility features, symbol.
 
     With ``series_rows``, series of more rows than that are windowed in pieces (the cleaned bars
     are landed to count them).
 
     ``land`` checkpoints the result: the Silver → Gold stage boundary, so the
-    several Gold tables built from it do not each recompute the windows.
+    several Gold tables built from it do not each recompute the windows; with ``passes``
+    so many slices of the symbols are windowed one after the other.
     """
     df = clean.preprocess_raw(raw_prices)
     df = clean.coerce_dates(df, "date")
@@ -28,7 +29,7 @@ def silver_prices(raw_prices: DataFrame, default_symbol: str = DEFAULT_SYMBOL,
         df = features.add_price_features_in_pieces(df, series_rows)
     else:
         df = features.add_price_features(df)
-    return materialize(df) if land else df
+    return materialize(df, by="symbol", passes=passes) if land else df
 
 
 def silver_statements(raw: dict[str, DataFrame],
@@ -56,10 +57,11 @@ def silver_layer(raw: dict[str, DataFrame],
 
 
 def gold_layer(spark: SparkSession, silver: dict[str, DataFrame],
-               prices: DataFrame | None = None, land: bool = False) -> dict[str, DataFrame]:
+               prices: DataFrame | None = None, land: bool = False, passes: int = 1,
+               release_prices: bool = False) -> dict[str, DataFrame]:
     statements = {n: silver[n] for n in STATEMENT_ORDER if n in silver}
     return star.build_star(spark, prices if prices is not None else silver.get("prices"),
-                           statements, land)
+                           statements, land, passes, release_prices)
 
 
 def run_etl(spark: SparkSession, raw: dict[str, DataFrame], silver_path: str | None = None,

@@ -17,11 +17,11 @@ from pyspark.sql import types as T
 from ..operators import (boosting, clean, eda, features, forecast, indicators, marts, ml, quality, star,
                          trades)
 from ..schemas import FIN_TYPE_KEY, STATEMENT_ORDER
-from ..session import materialize, scratch_path
+from ..session import materialize, release, scratch_path
 from ..sources import files
 from ..functions.numeric import round_sig
 from ..operators.stats import exact_quantiles_long
-from ..sources.fixtures import prices_from_events, raw_prices, raw_statements, read_table
+from ..sources.fixtures import line_passes, prices_from_events, raw_prices, raw_statements, read_table
 from . import etl
 
 R_MONEY, R_STAT, R_ROLL, R_MEAN = 6, 7, 6, 4
@@ -69,16 +69,26 @@ def silver_statements(spark, d) -> dict[str, DataFrame]:
     return etl.silver_statements(raw_statements(spark, d))
 
 
+def landed_silver_prices(spark, d) -> DataFrame:
+    """Silver prices landed once; the Bronze bars that were landed for them go."""
+    raw = raw_prices(spark, d)
+    silver = etl.silver_prices(raw, land=True, passes=line_passes(spark, d))
+    release(raw)
+    return silver
+
+
 def gold(spark, d) -> dict[str, DataFrame]:
-    """Gold tables over Silver landed once (the ETL's Silver → Gold boundary)."""
+    """Gold tables over Silver landed once (the ETL's Silver → Gold boundary). The landed prices go when
+    the price fact, their last reader, is keyed."""
     silver = etl.silver_statements(raw_statements(spark, d), land=True)
     landed = {}
 
     def prices():   # landed on first use only (dim_company/dim_fin_metric never need it)
         if "p" not in landed:
-            landed["p"] = etl.silver_prices(raw_prices(spark, d), land=True)
+            landed["p"] = landed_silver_prices(spark, d)
         return landed["p"]
-    return etl.gold_layer(spark, silver, prices, land=True)
+    return etl.gold_layer(spark, silver, prices, land=True, passes=line_passes(spark, d),
+                          release_prices=True)
 
 
 def split_frame(spark, d) -> DataFrame:
@@ -177,7 +187,7 @@ def _cells(tables: dict[str, DataFrame]) -> DataFrame:
 
 def q_silver_roundtrip(spark, d):
     silver = dict(etl.silver_statements(raw_statements(spark, d), land=True).items())   # both writes read it
-    silver["prices"] = etl.silver_prices(raw_prices(spark, d), land=True)
+    silver["prices"] = landed_silver_prices(spark, d)
     path = scratch_path(spark, "silver")
     files.write_silver(silver, path)
     files.write_silver(silver, path)  # second write must replace, not append

@@ -99,7 +99,22 @@ def drop_folders(spark: SparkSession, paths: list[str]) -> None:
         at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
-def materialize(df, name: str = "stage"):
+_FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextlib.contextmanager
+def shuffles_freed(spark):
+    """Writes inside the block delete their shuffle files when they end: what is written is read from
+    its files from then on. Left to the JVM's garbage collection they lie beside the next stages'."""
+    before = spark.conf.get(_FREE_SHUFFLES, "false")
+    spark.conf.set(_FREE_SHUFFLES, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(_FREE_SHUFFLES, before)
+
+
+def materialize(df, name: str = "stage", by: str | None = None, passes: int = 1):
     """Cut lineage at a stage boundary by writing a table into the shared checkpoint folder.
 
     Used where several data-dependent passes (null counts, medians, keys) would
@@ -108,11 +123,34 @@ def materialize(df, name: str = "stage"):
     executor loss, and the re-read carries file statistics for join planning. The
     folder is ``spark.checkpoint.dir`` from the session (never a machine-local path
     on a cluster).
+
+    With ``passes`` the rows are computed and written in so many slices of the hash of ``by``, one after
+    the other, so only a slice's shuffle files lie on disk at a time. ``by`` has to be a key of the plan's
+    aggregates and windows: the condition then reaches the sources and no row is computed twice.
     """
-    spark = df.sparkSession
+    if passes < 2:
+        return materialize_slices([df], name)
+    from pyspark.sql import functions as F
+
+    at = F.pmod(F.xxhash64(by), F.lit(passes))
+    return materialize_slices([df.filter(at == i) for i in range(passes)], name)
+
+
+def materialize_slices(slices: list, name: str = "stage"):
+    """Frames of one schema, written one after the other into one table that is read back."""
+    spark, schema = slices[0].sparkSession, slices[0].schema
     path = scratch_path(spark, name)
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)   # known schema: no inference job
+    with shuffles_freed(spark):
+        for i, df in enumerate(slices):
+            df.write.mode("append" if i else "overwrite").option("compression", "zstd").parquet(path)
+    return spark.read.schema(schema).parquet(path)   # known schema: no inference job
+
+
+def release(*landed) -> None:
+    """Delete the folders of landed stages that nothing will read again."""
+    for df in landed:
+        files = df.inputFiles()
+        drop_folders(df.sparkSession, [files[0].rpartition("/")[0]] if files else [])
 
 
 def with_year(fact):

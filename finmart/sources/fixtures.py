@@ -29,6 +29,16 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+#: A stage over the lines is landed in passes of about so many of them, but in no more passes than
+#: that: each reads the columns of all lines again, and the shuffle files of one lie on disk.
+LINES_A_PASS, MOST_PASSES = 1_500_000, 8
+
+
+def line_passes(spark: SparkSession, sf_dir: str) -> int:
+    """In how many passes stages over the lines are landed (a count from file footers)."""
+    return max(1, min(MOST_PASSES, -(-read_table(spark, sf_dir, "lineitem").count() // LINES_A_PASS)))
+
+
 def prices_from_lines(lineitem: DataFrame, supplier: DataFrame) -> DataFrame:
     """Daily OHLCV bars per (symbol, date); min_by/max_by aggregate partially map-side. The price
     is part of the order of a day's lines, so lines that repeat a key leave no tie."""
@@ -182,7 +192,7 @@ def raw_statements(spark: SparkSession, sf_dir: str, land: bool = True) -> dict[
                               read_table(spark, sf_dir, "supplier"),
                               read_table(spark, sf_dir, "part"))
     if land:
-        ledger = materialize(ledger)
+        ledger = materialize(ledger, by="symbol", passes=line_passes(spark, sf_dir))
     return {name: build(ledger) for name, build in STATEMENT_BUILDERS.items()}
 
 
@@ -190,7 +200,7 @@ def raw_prices(spark: SparkSession, sf_dir: str, land: bool = True) -> DataFrame
     """Bronze daily bars (landed once, like the statements)."""
     bars = prices_from_lines(read_table(spark, sf_dir, "lineitem"),
                              read_table(spark, sf_dir, "supplier"))
-    return materialize(bars) if land else bars
+    return materialize(bars, by="symbol", passes=line_passes(spark, sf_dir)) if land else bars
 
 
 def raw_sources(spark: SparkSession, sf_dir: str, land: bool = True) -> dict[str, DataFrame]:
