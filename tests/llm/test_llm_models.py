@@ -174,6 +174,37 @@ def test_words_beyond_the_head_are_learnt_by_context(sp):
     assert abs(one - 1) < 1e-4
 
 
+@pytest.mark.parametrize("scale", [0.3, 40.0])      # 40: exp of a score overflows single precision
+def test_a_normaliser_is_computed_once_for_a_class_and_two_words(monkeypatch, scale):
+    names = [f"aa{k}".encode() for k in range(9)] + [f"bb{k}".encode() for k in range(5)]
+    v = lm.Vocabulary(0, 0, {}, np.zeros(lm.CLASSES), np.zeros(lm.CLASSES))
+    for w in names:
+        v.class_tokens[lm.tail_class(w)] += 100
+        v.class_types[lm.tail_class(w)] += 1
+    m = lm.Members.read(v, dict.fromkeys(names, 100), 64)
+    rng = np.random.default_rng(2)
+    tables = [(rng.normal(0, scale, t.shape)).astype(np.float32) for t in m.start()]
+    known = m.known({})
+    texts = [known.of([names[i] for i in rng.integers(0, len(names), 30)]) for _ in range(4)] * 3
+    rows, real = [], lm._log_sums
+    monkeypatch.setattr(lm, "_log_sums", lambda left, *more: rows.append(len(left)) or real(left, *more))
+    got = lm.Within(m, tables).log10(texts)
+    a, b, q = (t.astype(np.float64) for t in tables)
+    seen, want = set(), []
+    for text in texts:
+        total = 0.0
+        one, two = lm.contexts(text)
+        for w, x, y in zip(text, one, two):
+            k = int(m.classes[w]) - lm.HEAD - 1
+            if k >= 0 and m.first[k + 1] - m.first[k] > 1:
+                seen.add((k, x, y))
+                s = np.append(a[x] + b[y], 1.0) @ q[m.first[k]:m.first[k + 1]].T
+                total += s[m.place[w] - m.first[k]] - np.logaddexp.reduce(s)
+        want.append(total / math.log(10))
+    assert np.allclose(got, want, rtol=1e-4, atol=1e-3)
+    assert sum(rows) == len(seen) < sum(map(len, texts)) / 2
+
+
 def test_language_model_edges(edge, no_docs):
     rows = lm.score_documents(edge).collect()
     assert len(rows) == 11 and all(math.isfinite(r.score) and math.isfinite(r.base_score) for r in rows)
