@@ -109,6 +109,30 @@ def test_boosted_metrics_equal_sql_on_the_stored_predictions(spark, tmp_path):
     assert len(got) == 2 and [tuple(r) for r in got] == [pytest.approx(w) for w in want]
 
 
+def test_folds_are_cut_from_landed_moves_without_a_shuffle_of_rows(spark, monkeypatch):
+    class Seen(Exception):
+        pass
+
+    plans, real = [], boosting.date_folds
+
+    def record(frame, folds=3, land=False):
+        out = real(frame, folds, land)
+        plans.extend(df._jdf.queryExecution().executedPlan().toString() for df in (frame, out))
+        raise Seen
+    monkeypatch.setattr(boosting, "date_folds", record)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        with pytest.raises(Seen):
+            boosting.walk_forward_predictions(features.add_price_features(
+                spark.createDataFrame(_bars(60, ("A", "B")), BARS)))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "Window" not in plans[0]
+    assert "BroadcastHashJoin" in plans[1] and "SortMergeJoin" not in plans[1]
+    assert "Aggregate" not in plans[1]   # nor are the dates counted by every fit
+
+
 def test_moves_see_only_the_row_before_and_folds_follow_dates(spark):
     prices = features.add_price_features(spark.createDataFrame(_bars(60, ("A", "B")), BARS))
     frame = boosting.date_folds(boosting.move_frame(prices), 3)
